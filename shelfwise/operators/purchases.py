@@ -144,7 +144,7 @@ def _network_supply(stock: DataFrame, tags: Sequence[str]) -> DataFrame:
 def shortfalls(
     sales: DataFrame,
     stock: DataFrame,
-    brand_terms: DataFrame,
+    brand_terms: DataFrame | None,
     warehouses: DataFrame,
     as_of: dt.date,
     tags: Sequence[str] = (),
@@ -152,17 +152,22 @@ def shortfalls(
 ) -> DataFrame:
     """Selling products whose network stock is under (cover + lead) days of sales.
 
-    ``brand_terms`` has product_id, cover and lead. Products with project stock
-    are left out. Costs fall back from stock to sales to 0.
+    ``brand_terms`` has product_id, cover and lead; without it the defaults hold
+    for every product. Products with project stock are left out. Costs fall
+    back from stock to sales to 0.
     """
     days = F.col("cover") + F.col("lead")
     target = days * F.col("q30").cast("double") / p.month_days
     held = or_zero("stock_network").cast(NETWORK_QTY)
-    out = (
-        _network_demand(sales, warehouses, as_of, p)
-        .join(brand_terms, "product_id")
-        .join(_network_supply(stock, tags), "product_id", "left")
-        .filter(~F.coalesce("for_projects", F.lit(False)))
+    demand = _network_demand(sales, warehouses, as_of, p)
+    if brand_terms is None:
+        demand = demand.withColumns(
+            {"cover": F.lit(p.default_cover), "lead": F.lit(p.default_lead)}
+        )
+    else:
+        demand = demand.join(brand_terms, "product_id")
+    out = demand.join(_network_supply(stock, tags), "product_id", "left").filter(
+        ~F.coalesce("for_projects", F.lit(False))
     )
     if tags:
         out = out.filter(F.coalesce("tag_ok", F.lit(False)))
