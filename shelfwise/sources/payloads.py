@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.bind import let
+
 #: object keys that may hold the record list, in the order they are tried (fixed values)
 SALES_ENVELOPE = ("ventas", "data", "resultado")
 STOCK_ENVELOPE = ("inventario", "data", "resultado")
@@ -59,19 +61,21 @@ def decode(landed: DataFrame, result_tag: str) -> DataFrame:
     ``status`` is ok, raw (an element that holds no JSON) or error.
     """
     span = F.nullif(F.regexp_extract("body", r"(?s)(\[\{.*\}\])", 1), F.lit(""))
-    found = landed.withColumn("span", span).withColumn("element", _xml_text(F.col("body"), result_tag))
-    payload = F.when(_is_json(F.col("span")), F.col("span")).when(
-        _is_json(F.col("element")), F.col("element")
-    )
-    status = (
-        F.when(F.col("payload").isNotNull(), "ok")
-        .when(F.col("element").isNotNull(), "raw")
-        .otherwise("error")
-    )
-    return (
-        found.withColumn("payload", payload)
-        .withColumn("status", status)
-        .select("source", "page", "body", "payload", "status")
+    element = _xml_text(F.col("body"), result_tag)
+    texts = F.filter(F.array(span, element), lambda t: t.isNotNull())
+
+    def judge(candidates: Column) -> Column:
+        valid = F.filter(candidates, _is_json)
+        return F.struct(
+            F.get(valid, 0).alias("payload"),
+            F.when(F.size(valid) > 0, "ok")
+            .when(F.size(candidates) > 0, "raw")
+            .otherwise("error")
+            .alias("status"),
+        )
+
+    return landed.withColumn("found", let(texts, judge)).select(
+        "source", "page", "body", "found.payload", "found.status"
     )
 
 
@@ -80,13 +84,15 @@ def record_lists(decoded: DataFrame, envelope: Sequence[str]) -> DataFrame:
 
     Unknown forms and empty lists give NULL.
     """
-    payload = F.col("payload")
-    keys = F.json_object_keys(payload)
-    nested = F.when(F.array_contains(keys, envelope[0]), F.get_json_object(payload, f"$.{envelope[0]}"))
-    for key in envelope[1:]:
-        nested = nested.when(F.array_contains(keys, key), F.get_json_object(payload, f"$.{key}"))
-    is_list = F.ltrim(payload).startswith("[")
-    return decoded.withColumn("records", F.when(is_list, payload).otherwise(nested))
+    names = F.array(*(F.lit(k) for k in envelope))
+
+    def unwrap(payload: Column) -> Column:
+        present = F.filter(names, lambda k: F.array_contains(F.json_object_keys(payload), k))
+        path = F.concat(F.lit("$."), F.get(present, 0))
+        nested = F.call_function("get_json_object", payload, path)
+        return F.when(F.ltrim(payload).startswith("["), payload).otherwise(nested)
+
+    return decoded.withColumn("records", let(F.col("payload"), unwrap))
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:

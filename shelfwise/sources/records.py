@@ -52,9 +52,8 @@ def explode_records(lists: DataFrame, schema: T.StructType) -> DataFrame:
     ``seq`` orders records over all files: page, file, position.
     """
     parsed = F.from_json("records", T.ArrayType(schema))
-    rows = lists.filter(F.col("records").isNotNull()).select(
-        "source", "page", F.posexplode(parsed).alias("pos", "r")
-    )
+    # outer: the plain form makes the optimizer parse a second time, in a filter
+    rows = lists.select("source", "page", F.posexplode_outer(parsed).alias("pos", "r"))
     return rows.filter(F.col("r").isNotNull()).select(
         F.struct("page", "source", "pos").alias("seq"), "r.*"
     )
