@@ -444,6 +444,7 @@ WHERE EXISTS (SELECT 1 FROM m_stock t WHERE t.product_id = a.product_id
 Q["kpi_transfers"] = """
 SELECT COUNT(*) AS pending FROM t_stored
 WHERE state = 'PENDIENTE' AND to_region IN ('ASIA', 'EUROPE')"""
+Q["kpi_transfers_live"] = "SELECT COUNT(*) AS pending FROM t_all WHERE to_region IN ('ASIA', 'EUROPE')"
 Q["kpi_purchases"] = f"""
 SELECT COUNT(*) AS purchases, {d('COALESCE(SUM(CAST(ROUND(CAST(buy_qty AS DOUBLE) * unit_cost, 2) AS DECIMAL(18,2))), 0)')}
   AS purchase_value FROM e_purchases"""

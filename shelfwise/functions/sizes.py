@@ -1,8 +1,9 @@
-"""Broadcast only what was counted, and where results may be checkpointed."""
+"""Broadcast only what was counted, and where intermediate tables are kept."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,23 +21,42 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write df to the session's checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is the shared one of ``spark.checkpoint.dir``; only a session
-    without that setting (a local test) gets a temporary folder.
+    Only a local session without that setting (a test) gets a temporary folder.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="shelfwise-checkpoint-")
-    context.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.gettempdir()
+
+
+class Scratch:
+    """Intermediate tables of one job, written as Parquet in the shared folder.
+
+    A kept frame survives the loss of executors, has no lineage, and is read
+    back with column pruning and filter pushdown. Use it as a context manager
+    to drop the tables when the job ends.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/shelfwise-{uuid.uuid4().hex}"
+        self._tables = 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self._tables += 1
+        path = f"{self.folder}/{self._tables}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.delete(path, True)

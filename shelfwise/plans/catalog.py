@@ -64,21 +64,9 @@ def _position(t: Tables) -> DataFrame:
     return daily.position_of(t, AS_OF)
 
 
-def _metrics(t: Tables) -> DataFrame:
-    return metrics.metrics_of(_position(t))
-
-
-def _alerts(t: Tables) -> DataFrame:
-    return M.with_state(A.alerts(_position(t)))
-
-
-def _transfers(t: Tables) -> DataFrame:
-    return M.with_state(transfers.transfers(_position(t), t.warehouses))
-
-
-def _pending_transfer_counts(t: Tables) -> DataFrame:
-    counts = M.with_state(transfers.transfer_counts(_position(t)))
-    return counts.filter(F.col("state") == K.PENDING)
+def _pending_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moves = M.stored(spark, sf_dir).transfers.filter(F.col("state") == K.PENDING)
+    return moves.groupBy("to_region").agg(F.count(F.lit(1)).alias("transfers"))
 
 
 def _purchases(t: Tables) -> DataFrame:
@@ -105,7 +93,7 @@ def network_metrics(t, spark, sf_dir):
 
 @query
 def region_metrics(t, spark, sf_dir):
-    return metrics.region_metrics(_metrics(t), t.sales, t.stock, t.warehouses, t.regions, AS_OF)
+    return metrics.region_metrics(M.stored(spark, sf_dir).metrics, t.sales, t.stock, t.warehouses, t.regions, AS_OF)
 
 
 # --- alerts ---------------------------------------------------------------------
@@ -149,13 +137,13 @@ def alert_counts(t, spark, sf_dir):
 @query
 def alerts_rebuild(t, spark, sf_dir):
     unmoved = A.unmoved_stock(t.sales, t.stock, t.warehouses, AS_OF)
-    return A.rebuild_no_rotation(_alerts(t), unmoved, AS_OF)
+    return A.rebuild_no_rotation(M.stored(spark, sf_dir).alerts, unmoved, AS_OF)
 
 
 @query
 def alerts_rebuild_counts(t, spark, sf_dir):
     unmoved = A.unmoved_stock(t.sales, t.stock, t.warehouses, AS_OF)
-    return A.rebuild_counts(_alerts(t), unmoved)
+    return A.rebuild_counts(M.stored(spark, sf_dir).alerts, unmoved)
 
 
 # --- transfers ------------------------------------------------------------------
@@ -277,12 +265,12 @@ def kpi_sales_filtered(t, spark, sf_dir):
 
 @query
 def kpi_alerts(t, spark, sf_dir):
-    return kpis.pending_alerts(_alerts(t), t.stock, t.warehouses, TAGGED)
+    return kpis.pending_alerts(M.stored(spark, sf_dir).alerts, t.stock, t.warehouses, TAGGED)
 
 
 @query
 def kpi_transfers(t, spark, sf_dir):
-    return kpis.pending_transfers_from_counts(_pending_transfer_counts(t), SOME_REGIONS)
+    return kpis.pending_transfers(M.stored(spark, sf_dir).transfers, SOME_REGIONS)
 
 
 @query
@@ -297,23 +285,30 @@ def kpi_purchases_live(t, spark, sf_dir):
     return rows.withColumn("purchase_value", F.round("purchase_value", 2))
 
 
-def _health_items(t: Tables, f: Filters = Filters()) -> DataFrame:
-    return kpis.health_items(t.sales, t.stock, _alerts(t), t.warehouses, t.products, AS_OF, f)
+def _health_items(t: Tables, alerts: DataFrame, f: Filters = Filters()) -> DataFrame:
+    return kpis.health_items(t.sales, t.stock, alerts, t.warehouses, t.products, AS_OF, f)
 
 
 @query
 def health(t, spark, sf_dir):
-    return kpis.health(_health_items(t))
+    return kpis.health(_health_items(t, M.stored(spark, sf_dir).alerts))
 
 
 @query
 def health_filtered(t, spark, sf_dir):
-    return kpis.health(_health_items(t, MIXED))
+    return kpis.health(_health_items(t, M.stored(spark, sf_dir).alerts, MIXED))
 
 
 @query
 def health_pct(t, spark, sf_dir):
-    return kpis.health_shares(kpis.health(_health_items(t)), _alerts(t))
+    alerts = M.stored(spark, sf_dir).alerts
+    return kpis.health_shares(kpis.health(_health_items(t, alerts)), alerts)
+
+
+@query
+def kpi_transfers_live(t, spark, sf_dir):
+    """Transfers by the counting form, from today's positions."""
+    return kpis.pending_transfers_from_counts(transfers.transfer_counts(_position(t)), SOME_REGIONS)
 
 
 @query
@@ -323,8 +318,8 @@ def lost_sales(t, spark, sf_dir):
 
 @query
 def kpi_legacy(t, spark, sf_dir):
-    pending = kpis.pending_transfers_from_counts(_pending_transfer_counts(t))
-    return kpis.legacy(t.sales, t.stock, _alerts(t), pending, AS_OF)
+    pending = kpis.pending_transfers(M.stored(spark, sf_dir).transfers)
+    return kpis.legacy(t.sales, t.stock, M.stored(spark, sf_dir).alerts, pending, AS_OF)
 
 
 # --- lists and reports ------------------------------------------------------------
@@ -352,46 +347,46 @@ def filter_tags(t, spark, sf_dir):
 
 @query
 def alert_list(t, spark, sf_dir):
-    return reports.alert_list(_alerts(t), t.stock, t.product_brand, t.warehouses)
+    return reports.alert_list(M.stored(spark, sf_dir).alerts, t.stock, t.product_brand, t.warehouses)
 
 
 @query
 def alert_list_filtered(t, spark, sf_dir):
     return reports.alert_list(
-        _alerts(t), t.stock, t.product_brand, t.warehouses, limit=40, level=K.LEVEL_HIGH, f=MIXED
+        M.stored(spark, sf_dir).alerts, t.stock, t.product_brand, t.warehouses, limit=40, level=K.LEVEL_HIGH, f=MIXED
     )
 
 
 @query
 def alert_list_text_order(t, spark, sf_dir):
-    return reports.alert_list_by_level(_alerts(t), t.product_brand, t.warehouses)
+    return reports.alert_list_by_level(M.stored(spark, sf_dir).alerts, t.product_brand, t.warehouses)
 
 
 @query
 def alert_summary(t, spark, sf_dir):
-    return reports.alert_summary(_alerts(t))
+    return reports.alert_summary(M.stored(spark, sf_dir).alerts)
 
 
 @query
 def transfer_list(t, spark, sf_dir):
-    return reports.transfer_list(_transfers(t), t.stock, t.product_brand, t.warehouses)
+    return reports.transfer_list(M.stored(spark, sf_dir).transfers, t.stock, t.product_brand, t.warehouses)
 
 
 @query
 def transfer_list_text_order(t, spark, sf_dir):
     return reports.transfer_list(
-        _transfers(t), t.stock, t.product_brand, t.warehouses, f=OUTLET, order="text"
+        M.stored(spark, sf_dir).transfers, t.stock, t.product_brand, t.warehouses, f=OUTLET, order="text"
     )
 
 
 @query
 def warehouse_list(t, spark, sf_dir):
-    return reports.warehouse_list(t.warehouses, _metrics(t))
+    return reports.warehouse_list(t.warehouses, M.stored(spark, sf_dir).metrics)
 
 
 @query
 def warehouse_top(t, spark, sf_dir):
-    return reports.warehouse_top(_metrics(t), t.product_brand, SAMPLE_WAREHOUSE)
+    return reports.warehouse_top(M.stored(spark, sf_dir).metrics, t.product_brand, SAMPLE_WAREHOUSE)
 
 
 @query
@@ -431,7 +426,7 @@ def product_header(t, spark, sf_dir):
 
 @query
 def product_stock(t, spark, sf_dir):
-    return reports.product_stock(t.stock, t.warehouses, _metrics(t), SAMPLE_PRODUCT)
+    return reports.product_stock(t.stock, t.warehouses, M.stored(spark, sf_dir).metrics, SAMPLE_PRODUCT)
 
 
 @query
@@ -442,18 +437,19 @@ def product_sales(t, spark, sf_dir):
 @query
 def region_cards(t, spark, sf_dir):
     return reports.region_cards(
-        t.regions, t.warehouses, t.stock, t.sales, _alerts(t), _pending_transfer_counts(t), AS_OF
+        t.regions, t.warehouses, t.stock, t.sales, M.stored(spark, sf_dir).alerts,
+        _pending_moves(spark, sf_dir), AS_OF,
     )
 
 
 @query
 def warehouse_cards(t, spark, sf_dir):
-    return reports.warehouse_cards(t.warehouses, t.stock, t.sales, _alerts(t), AS_OF)
+    return reports.warehouse_cards(t.warehouses, t.stock, t.sales, M.stored(spark, sf_dir).alerts, AS_OF)
 
 
 @query
 def warehouse_cards_filtered(t, spark, sf_dir):
-    return reports.warehouse_cards(t.warehouses, t.stock, t.sales, _alerts(t), AS_OF, MIXED)
+    return reports.warehouse_cards(t.warehouses, t.stock, t.sales, M.stored(spark, sf_dir).alerts, AS_OF, MIXED)
 
 
 @query
@@ -508,17 +504,17 @@ def stock_by_type(t, spark, sf_dir):
 
 @query
 def critical_products(t, spark, sf_dir):
-    return views.critical_products(_metrics(t), t.product_brand, t.warehouses)
+    return views.critical_products(M.stored(spark, sf_dir).metrics, t.product_brand, t.warehouses)
 
 
 @query
 def overstock(t, spark, sf_dir):
-    return views.overstock(_metrics(t), t.product_brand, t.warehouses)
+    return views.overstock(M.stored(spark, sf_dir).metrics, t.product_brand, t.warehouses)
 
 
 @query
 def low_rotation(t, spark, sf_dir):
-    return views.low_rotation(_metrics(t), t.product_brand, t.warehouses)
+    return views.low_rotation(M.stored(spark, sf_dir).metrics, t.product_brand, t.warehouses)
 
 
 @query
@@ -699,7 +695,7 @@ def _changes(rows: DataFrame, keys: list[str], states: list[str]) -> DataFrame:
 
 @query
 def apply_alert_status(t, spark, sf_dir):
-    rows = _alerts(t).withColumn("handled_by", F.lit(None).cast("string")).withColumn(
+    rows = M.stored(spark, sf_dir).alerts.withColumn("handled_by", F.lit(None).cast("string")).withColumn(
         "handled_at", F.lit(None).cast("timestamp_ntz")
     )
     changes = _changes(rows, lifecycle.ALERT_KEY, ["VISTA", "IGNORADA"])
@@ -709,7 +705,7 @@ def apply_alert_status(t, spark, sf_dir):
 
 @query
 def apply_transfer_status(t, spark, sf_dir):
-    rows = _transfers(t).withColumn("executed", F.lit(False)).withColumn(
+    rows = M.stored(spark, sf_dir).transfers.withColumn("executed", F.lit(False)).withColumn(
         "executed_at", F.lit(None).cast("timestamp_ntz")
     )
     changes = _changes(rows, lifecycle.TRANSFER_KEY, ["APROBADO", "EJECUTADO"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions.filters import NO_FILTERS, Filters
-from shelfwise.functions.sizes import durable
+from shelfwise.functions.sizes import Scratch
 from shelfwise.operators import alerts as A
 from shelfwise.operators import kpis, metrics, purchases, reports, transfers
 from shelfwise.params import DEFAULTS, Params
@@ -26,16 +26,17 @@ def run_daily(
 ) -> dict[str, object]:
     """Metrics, alerts, transfers and purchases of a day, written to their tables.
 
-    The positions are computed once and checkpointed; every output reads them.
+    The positions are computed once and kept as a table; every output reads them.
     """
     t = storage.open_tables(spark, root)
-    position = durable(position_of(t, as_of, p))
-    written = storage.write_metrics(metrics.metrics_of(position), root, as_of)
-    raised = storage.replace_pending(A.alerts(position, p=p), root, "alerts", as_of)
-    moves = storage.replace_pending(
-        transfers.transfers(position, t.warehouses, p).withColumn("executed", F.lit(False)),
-        root, "transfers", as_of,
-    )
+    with Scratch(spark) as scratch:
+        position = scratch.keep(position_of(t, as_of, p))
+        written = storage.write_metrics(metrics.metrics_of(position), root, as_of)
+        raised = storage.replace_pending(A.alerts(position, p=p), root, "alerts", as_of)
+        moves = storage.replace_pending(
+            transfers.transfers(position, t.warehouses, p).withColumn("executed", F.lit(False)),
+            root, "transfers", as_of,
+        )
     buys = storage.replace_pending(
         purchases.purchases(t.sales, t.stock, t.product_brand, t.warehouses, as_of, p),
         root, "purchases", as_of,

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.sizes import durable
+from shelfwise.functions.sizes import Scratch
 from shelfwise.operators.merges import (
     map_brands,
     merge_products,
@@ -25,7 +25,13 @@ from shelfwise.sources.payloads import (
     read_payloads,
     record_lists,
 )
-from shelfwise.sources.storage import append_sales, read_table, replace_partitions, table_path
+from shelfwise.sources.storage import (
+    append_sales,
+    read_table,
+    replace_partitions,
+    replace_table,
+    table_path,
+)
 
 #: name part of the result element in each feed (fixed values)
 SALES_TAG = "Result"
@@ -43,11 +49,14 @@ def stock_records(landed: DataFrame, result_tag: str = STOCK_TAG) -> DataFrame:
     return R.explode_records(lists, R.STOCK_RECORD)
 
 
-def _load_products(spark: SparkSession, root: str, records: DataFrame, key_field: str) -> int:
-    batch = map_brands(R.product_rows(records, key_field), read_table(spark, root, "brands"))
-    merged = durable(merge_products(read_table(spark, root, "products"), batch))
-    replace_partitions(merged, root, "products")
-    return batch.count()
+def _load_products(
+    spark: SparkSession, root: str, records: DataFrame, key_field: str, scratch: Scratch
+) -> int:
+    rows = scratch.keep(R.product_rows(records, key_field))
+    batch = map_brands(rows, read_table(spark, root, "brands"))
+    merged = merge_products(read_table(spark, root, "products"), batch)
+    replace_table(scratch.keep(merged), root, "products")
+    return rows.count()
 
 
 def load_sales(
@@ -58,37 +67,41 @@ def load_sales(
 
     Returns the rows processed and the rows inserted.
     """
-    records = durable(records)
-    rows = R.sales_rows(records)
-    if first is not None:
-        rows = rows.filter(F.col("sale_date").between(F.lit(first), F.lit(last or first)))
-    products = _load_products(spark, root, records, "REFER")
-    bad = R.bad_sales(records)
-    _keep_bad(bad, root, "sales")
-    fresh = new_sales(read_table(spark, root, "sales"), rows, ORDER)
-    return {
-        "processed": rows.count(),
-        "inserted": append_sales(durable(fresh), root),
-        "products": products,
-        "quarantined": bad.count(),
-    }
+    with Scratch(spark) as scratch:
+        records = scratch.keep(records)
+        rows = R.sales_rows(records)
+        if first is not None:
+            rows = rows.filter(F.col("sale_date").between(F.lit(first), F.lit(last or first)))
+        products = _load_products(spark, root, records, "REFER", scratch)
+        bad = R.bad_sales(records)
+        _keep_bad(bad, root, "sales")
+        fresh = scratch.keep(new_sales(read_table(spark, root, "sales"), rows, ORDER))
+        return {
+            "processed": rows.count(),
+            "inserted": append_sales(fresh, root),
+            "products": products,
+            "quarantined": bad.count(),
+        }
 
 
 def load_stock(
     spark: SparkSession, root: str, records: DataFrame, day: dt.date, zero_missing: bool = False
 ) -> dict[str, int]:
     """Products, current stock and the day's snapshot."""
-    records = durable(records)
-    products = _load_products(spark, root, records, "REFERENCIA")
-    bad = R.bad_stock(records)
-    _keep_bad(bad, root, "stock")
-    rows = R.stock_rows(records)
-    current = merge_stock(read_table(spark, root, "stock"), rows, ORDER, zero_missing=zero_missing)
-    replace_partitions(current, root, "stock", spread=True)
-    snapshot = rows.withColumn("snapshot_date", F.lit(day))
-    stored = read_table(spark, root, "stock_daily").filter(F.col("snapshot_date") == F.lit(day))
-    replace_partitions(merge_snapshot(stored, snapshot, ORDER), root, "stock_daily")
-    return {"processed": rows.count(), "products": products, "quarantined": bad.count()}
+    with Scratch(spark) as scratch:
+        records = scratch.keep(records)
+        products = _load_products(spark, root, records, "REFERENCIA", scratch)
+        bad = R.bad_stock(records)
+        _keep_bad(bad, root, "stock")
+        rows = R.stock_rows(records)
+        stored = read_table(spark, root, "stock")
+        current = merge_stock(stored, rows, ORDER, zero_missing=zero_missing)
+        replace_partitions(current, root, "stock", spread=True)
+        snapshot = rows.withColumn("snapshot_date", F.lit(day))
+        same_day = F.col("snapshot_date") == F.lit(day)
+        today = read_table(spark, root, "stock_daily").filter(same_day)
+        replace_partitions(merge_snapshot(today, snapshot, ORDER), root, "stock_daily")
+        return {"processed": rows.count(), "products": products, "quarantined": bad.count()}
 
 
 def _keep_bad(bad: DataFrame, root: str, feed: str) -> None:

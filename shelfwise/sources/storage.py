@@ -75,6 +75,11 @@ def replace_partitions(df: DataFrame, root: str, name: str, spread: bool = False
     return seen.get["rows"]
 
 
+def replace_table(df: DataFrame, root: str, name: str) -> None:
+    """Overwrite an unpartitioned table. df must not read the table it replaces."""
+    conform(df, name).write.mode("overwrite").parquet(table_path(root, name))
+
+
 def append_sales(df: DataFrame, root: str) -> int:
     seen = Observation()
     rows = conform(df, "sales").hint("rebalance", *PARTITIONS["sales"])

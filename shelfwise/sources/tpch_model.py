@@ -7,12 +7,17 @@ same rows. Fact tables are derived lazily from ``lineitem``; nothing is copied.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import constants as K
+from shelfwise.functions.sizes import Scratch
+from shelfwise.operators.alerts import alerts
+from shelfwise.operators.metrics import metrics_of, stock_position
+from shelfwise.operators.transfers import transfers
 from shelfwise.tables import Tables
 
 #: last ship date of the generated data, the same at every scale
@@ -192,6 +197,37 @@ def model(spark: SparkSession, sf_dir: str) -> Tables:
     return _opened(spark.sparkContext.applicationId, spark, sf_dir)
 
 
+@dataclass(frozen=True)
+class Stored:
+    """What a daily run leaves behind: today's metrics, and alerts and transfers with states."""
+
+    metrics: DataFrame
+    alerts: DataFrame
+    transfers: DataFrame
+
+
+@lru_cache(maxsize=8)
+def _stored(_app: str, spark: SparkSession, sf_dir: str) -> Stored:
+    t = model(spark, sf_dir)
+    scratch = Scratch(spark)
+    position = scratch.keep(
+        stock_position(t.sales, t.stock, t.product_brand, t.warehouses, AS_OF)
+    )
+    return Stored(
+        scratch.keep(metrics_of(position)),
+        scratch.keep(with_state(alerts(position))),
+        scratch.keep(with_state(transfers(position, t.warehouses))),
+    )
+
+
+def stored(spark: SparkSession, sf_dir: str) -> Stored:
+    """The outputs of the daily run over the model, written once per session and folder.
+
+    The dashboard reads these tables, as it does in production.
+    """
+    return _stored(spark.sparkContext.applicationId, spark, sf_dir)
+
+
 def with_state(df: DataFrame) -> DataFrame:
     """Give derived alerts or transfers a lifecycle state, to exercise state filters."""
     handled = F.col("product_id") % 7 == 0
