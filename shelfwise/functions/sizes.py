@@ -16,6 +16,18 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def small_ones(frames: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> set[str]:
+    """The names of the frames with at most max_rows rows, counted in one job."""
+    counts = [
+        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
+        for n, df in frames.items()
+    ]
+    merged = counts[0]
+    for count in counts[1:]:
+        merged = merged.unionByName(count)
+    return {r["name"] for r in merged.collect() if r["rows"] <= max_rows}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast after the count; otherwise leave the join to AQE."""
     return F.broadcast(df) if is_small(df, max_rows) else df

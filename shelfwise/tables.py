@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.sizes import BROADCAST_ROWS, is_small
+from shelfwise.functions.sizes import BROADCAST_ROWS, small_ones
 
 DIMENSIONS = ("warehouse_types", "regions", "warehouses", "brands", "products")
 
@@ -31,7 +31,7 @@ class Tables:
         with AQE splitting skewed keys.
         """
         frames = {n: getattr(self, n) for n in DIMENSIONS if getattr(self, n) is not None}
-        small = {n for n, df in frames.items() if is_small(df, max_rows)}
+        small = small_ones(frames, max_rows)
         hinted = {n: F.broadcast(frames[n]) for n in small}
         return replace(self, **hinted, small=frozenset(small))
 
