@@ -603,7 +603,6 @@ def brand_breakdown(
         ).alias("totals")
     ).scalar()
     brand = product_brand.select("product_id", "brand_id", "brand_name", "category", "abc_class")
-    # a stocked pair is one row, so pairs per product count its warehouses' rows once
     held = (
         in_view.filter(F.col("qty") > 0)
         .join(brand, "product_id")

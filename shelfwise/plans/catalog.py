@@ -647,6 +647,8 @@ def payload_sales(t, spark, sf_dir):
         F.lit(1).cast("long").alias("page"),
         let(F.to_json(F.struct(*fields)), packed).alias("body"),
     )
+    # one input file here stands for many landed ones, which Spark reads in parallel
+    landed = landed.repartition(spark.sparkContext.defaultParallelism)
     lists = payloads.record_lists(payloads.decode(landed, "Result"), payloads.SALES_ENVELOPE)
     rows = records.sales_rows(records.explode_records(lists, records.SALES_RECORD))
     return rows.select(

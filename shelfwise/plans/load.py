@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.sizes import Scratch
+from shelfwise.functions.sizes import Scratch, broadcast_if_small
 from shelfwise.operators.merges import (
     map_brands,
     merge_products,
@@ -95,6 +95,10 @@ def load_stock(
         _keep_bad(bad, root, "stock")
         rows = R.stock_rows(records)
         stored = read_table(spark, root, "stock")
+        if not zero_missing:
+            # only warehouses of the feed are read (dynamic pruning) and rewritten
+            touched = broadcast_if_small(rows.select("warehouse_id").distinct())
+            stored = stored.join(touched, "warehouse_id", "left_semi")
         current = merge_stock(stored, rows, ORDER, zero_missing=zero_missing)
         replace_partitions(current, root, "stock", spread=True)
         snapshot = rows.withColumn("snapshot_date", F.lit(day))
