@@ -57,7 +57,8 @@ def test_dimensions_over_the_bound_give_the_same_rows_without_hints(spark):
     from shelfwise.operators import metrics
     from shelfwise.plans import daily
 
-    t = tables(spark, stock=[("P", "W1", 5, 1), ("P", "R1", 5, 1)], sales=[("P", "W1", 1, 3)])
+    t = tables(spark, stock=[("P", "W1", 5, 1), ("P", "R1", 5, 1)], sales=[("P", "W1", 1, 3)]).checked()
+    assert t.small == {"warehouse_types", "regions", "warehouses", "brands", "products"}
     bare = tables(spark, stock=[("P", "W1", 5, 1), ("P", "R1", 5, 1)], sales=[("P", "W1", 1, 3)])
     large = type(t)(**{**{n: getattr(bare, n) for n in ("sales", "stock", "warehouse_types", "stock_daily")},
                        "products": spark.createDataFrame([("P", "CP", "Name P", "A")], t.products.schema),

@@ -86,7 +86,7 @@ def tables(
             f"snapshot_date date, warehouse_id string, product_id string, qty {q}, unit_cost {q},"
             " stock_tag string",
         ),
-    ).checked()
+    )
 
 
 def rows(df, *cols):
