@@ -8,6 +8,7 @@ from world import TODAY, days_ago, tables
 import __spark_entry__ as entry
 from shelfwise import schemas
 from shelfwise.functions.filters import look_back
+from shelfwise.operators import reports
 from shelfwise.operators import transfers as T
 from shelfwise.plans import daily
 from shelfwise.sources import storage
@@ -66,10 +67,9 @@ def test_metrics_of_one_day_prune_partitions(spark, tmp_path):
 
 
 def test_limited_lists_sort_with_top_k(spark):
-    t = tables(spark, sales=[("P", "W1", 1, 1, 1)])
-    from shelfwise.operators import reports
-
-    top = reports.top_products(t.sales, t.stock, t.products, t.warehouses, TODAY)
+    # more rows than the limit, or the optimizer drops it
+    t = tables(spark, sales=[(f"P{i}", "W1", 1, 1, 1) for i in range(9)])
+    top = reports.top_products(t.sales, t.stock, t.products, t.warehouses, TODAY, limit=5)
     assert "TakeOrderedAndProject" in plan_of(top)
 
 
