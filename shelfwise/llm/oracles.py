@@ -13,7 +13,7 @@ grams AS (
   SELECT DISTINCT doc_id, unnest(CASE
     WHEN len(w) = 0 THEN []::VARCHAR[]
     WHEN len(w) = 1 THEN [w[1]]
-    ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS g
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
   FROM words
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
@@ -36,4 +36,38 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.low, d.doc_id) AS co
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN lowest l ON l.node = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op2_minhash_groups": _MINHASH}
+_MIXING = r"""
+WITH sized AS (
+  SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents
+),
+sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM sized GROUP BY source
+),
+ranked AS (
+  SELECT *, 2 * source_size AS cap, 150 * sum(source_size) OVER () AS budget,
+         coalesce(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+         sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+  FROM sums WINDOW o AS (ORDER BY source_size * (10 // weight), source)
+),
+judged AS (SELECT *, 100 * cap * open_weight <= (budget - 100 * given) * weight AS stops FROM ranked),
+plan AS (
+  SELECT source, source_size, CASE WHEN stops THEN cap::DOUBLE ELSE
+    ((budget - 100 * sum(CASE WHEN stops THEN cap ELSE 0 END) OVER ()) * weight)::DOUBLE
+    / (100 * sum(CASE WHEN stops THEN 0 ELSE weight END) OVER ())::DOUBLE END AS target
+  FROM judged
+),
+rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM plan)
+SELECT s.doc_id, s.size::BIGINT AS size, r.source_size, r.target,
+  (s.size * (floor(rate) + CASE WHEN
+     ('0x' || substr(md5('20011104:' || coalesce(s.doc_id::VARCHAR, '-') || ':' || coalesce(s.text, '')), 1, 13))::BIGINT
+     / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_minhash_groups": _MINHASH,
+    "op3_source_mix": _MIXING,
+}

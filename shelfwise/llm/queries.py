@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import minhash
-from shelfwise.llm.common import table
+from shelfwise.llm import minhash, mixing
+from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -20,3 +20,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op2_minhash_groups(spark, sf_dir):
     return minhash.near_duplicate_groups(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@query
+def op3_source_mix(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents"), Work(spark))
