@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import minhash, mixing
+from shelfwise.llm import minhash, mixing, packing
 from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,8 @@ def op2_minhash_groups(spark, sf_dir):
 @query
 def op3_source_mix(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"), Work(spark))
+
+
+@query
+def op8_packed_sequences(spark, sf_dir):
+    return packing.packed_places(table(spark, sf_dir, "documents"), Work(spark))
