@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import minhash, mixing, packing
+from shelfwise.llm import minhash, mixing, packing, quality
 from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,9 @@ def op3_source_mix(spark, sf_dir):
 @query
 def op8_packed_sequences(spark, sf_dir):
     return packing.packed_places(table(spark, sf_dir, "documents"), Work(spark))
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    found = quality.judged(table(spark, sf_dir, "documents"), Work(spark))
+    return found.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
