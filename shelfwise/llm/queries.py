@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import minhash, mixing, packing, quality
+from shelfwise.llm import minhash, mixing, packing, pii, quality, tokencount
 from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,13 @@ def op8_packed_sequences(spark, sf_dir):
 def op9_quality_rules(spark, sf_dir):
     found = quality.judged(table(spark, sf_dir, "documents"), Work(spark))
     return found.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pseudonyms(spark, sf_dir):
+    return pii.pseudonymised(table(spark, sf_dir, "documents"))
