@@ -147,3 +147,25 @@ def binaries(matrix: np.ndarray) -> pa.Array:
     offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * width)
     data = np.ascontiguousarray(matrix)
     return pa.Array.from_buffers(pa.binary(), rows, [None, offsets.buffers()[1], pa.py_buffer(data)])
+
+
+def by_value(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """Groups of rows of a stream that is sorted by a column without nulls."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        values = batch.column(column).to_numpy(zero_copy_only=False)
+        if not len(values):
+            continue
+        ends = [*(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        if held and held[0].column(column)[0].as_py() != values[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        start = 0
+        for end in ends:
+            if start and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            start = end
+    if held:
+        yield pa.Table.from_batches(held)

@@ -8,21 +8,23 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import WORD, Memo, Work, binaries, chunks, fresh, lists, mix64, text_key
+from shelfwise.llm.common import WORD, Memo, Work, binaries, by_value, chunks, fresh, lists, mix64, text_key
 from shelfwise.llm.components import components
 
-BANDS = 32
-ROWS = 4
+BANDS = 30
+ROWS = 5
 SLOTS = BANDS * ROWS
 #: a pair whose signatures agree in a smaller share is no candidate: for a pair at a
-#: similarity of 0.8 that is five standard deviations below the mean
-MARGIN = 0.18
-#: a bucket with more classes is split by a second band instead of being compared within
-GROUP = 256
+#: similarity of 0.8 that is 4.6 standard deviations below the mean
+MARGIN = 0.15
+#: a bucket with more classes beside its largest component is split by a second band first
+GROUP = 20_000
+#: n-grams of the sets that are compared with each other in one task
+CELL_GRAMS = 2_000_000
 _TEXT_CHARS = 3_000_000
 
 
@@ -153,10 +155,10 @@ class NearDuplicates:
     a band of their signatures meet in a bucket. A bucket's smallest class is compared with
     all the others first (a star), which joins groups of copies without forming their
     pairs; where a bucket still holds several components, its classes of different
-    components are compared with each other, in groups of up to ``GROUP`` classes, larger
-    buckets being split by a second band until they are no larger or are one
-    component. Candidates are confirmed on the full sets. With 32 bands of 4 slots a pair
-    at 0.8 meets in no band with a probability of 5e-8, and in fewer than two with 1e-6.
+    components are compared with each other. Buckets with more than ``GROUP`` classes
+    beside their largest component are split by a second band first. Links are
+    confirmed on the full sets. With 30 bands of 5 slots a
+    pair at 0.8 meets in no band with a probability of 7e-6, and one at 0.85 with 6e-8.
 
     Without words or text a document's set is empty and it is linked with nothing. Rows
     equal in id and text are one document; rows with a null id take part like all others.
@@ -184,25 +186,24 @@ class NearDuplicates:
         sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("leader"))
         return rows.join(sizes.filter("n > 1"), "bucket").select("bucket", "class", "n", "leader")
 
+    def _grams(self, wanted: DataFrame) -> DataFrame:
+        """The full sets of some classes, from the text of one document of each."""
+        keys = self.classes.join(wanted, "class", "left_semi").select("rep.doc_id", "rep.text_key")
+        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+        match = texts["doc_id"].eqNullSafe(keys["doc_id"]) & (texts["text_key"] == keys["text_key"])
+        held = texts.join(keys, match, "left_semi").select("text")
+        sets = held.mapInArrow(_sets(self.size), "class binary, grams array<long>")
+        return self.work.keep(sets.dropDuplicates(["class"]))
+
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (src, dst) of classes that are linked, checked on their full sets."""
-        sketch = self.classes.select("class", "sketch")
-        a = sketch.select(F.col("class").alias("src"), F.col("sketch").alias("sketch_a"))
-        b = sketch.select(F.col("class").alias("dst"), F.col("sketch").alias("sketch_b"))
+        a = self.classes.select(F.col("class").alias("src"), F.col("sketch").alias("sketch_a"), F.col("size").alias("a"))
+        b = self.classes.select(F.col("class").alias("dst"), F.col("sketch").alias("sketch_b"), F.col("size").alias("b"))
         near = pairs.distinct().join(a, "src").join(b, "dst")
+        near = near.filter(100 * F.least("a", "b") >= self.percent * F.greatest("a", "b"))
         floor = self.percent / 100 - MARGIN
         near = self.work.keep(near.filter(_agreement("sketch_a", "sketch_b") >= floor).select("src", "dst"))
-        wanted = near.select(F.col("src").alias("class")).union(near.select("dst")).distinct()
-        keys = self.classes.join(wanted, "class", "left_semi").select("rep.doc_id", "rep.text_key")
-        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-        held = texts.join(
-            keys,
-            texts["doc_id"].eqNullSafe(keys["doc_id"]) & (texts["text_key"] == keys["text_key"]),
-            "left_semi",
-        )
-        grams = self.work.keep(
-            held.select("text").mapInArrow(_sets(self.size), "class binary, grams array<long>").dropDuplicates(["class"])
-        )
+        grams = self._grams(near.select(F.col("src").alias("class")).union(near.select("dst")).distinct())
         left = grams.select(F.col("class").alias("src"), F.col("grams").alias("grams_a"))
         right = grams.select(F.col("class").alias("dst"), F.col("grams").alias("grams_b"))
         shared = F.size(F.array_intersect("grams_a", "grams_b"))
@@ -226,33 +227,100 @@ class NearDuplicates:
         return self._found[1]
 
     def _spanning(self, members: DataFrame, found: DataFrame) -> DataFrame:
-        """Members of buckets that still hold several components, beside the leader's pairs."""
+        """Members of buckets that hold several components beside the leader, whose pairs are done.
+
+        home is the bucket's largest component, others the number of rows of the rest.
+        """
         known = found.select(F.col("node").alias("class"), "component")
         named = members.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
         rest = named.filter(F.col("class") != F.col("leader"))
-        open_ = rest.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-        return rest.join(open_.filter("a != b").select("bucket"), "bucket")
+        parts = rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+        largest = F.max(F.struct("n", "component")).alias("largest")
+        homes = parts.groupBy("bucket").agg(largest, F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        homes = homes.filter("parts > 1").select(
+            "bucket", F.col("largest.component").alias("home"), (F.col("n") - F.col("largest.n")).alias("others")
+        )
+        return rest.select("bucket", "class", "component").join(homes, "bucket")
 
     def _within(self, members: DataFrame) -> DataFrame:
-        """Pairs of different components within buckets of a bounded size."""
-        floor = self.percent / 100 - MARGIN
-        sketch = self.classes.select("class", "sketch")
-
-        def pairs(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values("class")
-            bits = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(group), -1)
-            names = group["class"].to_numpy()
-            part = pd.factorize(group["component"])[0]
-            src, dst = [], []
-            for i in range(len(group) - 1):
-                near = (bits[i + 1 :] == bits[i]).mean(axis=1) >= floor
-                for j in np.flatnonzero(near & (part[i + 1 :] != part[i])):
-                    src.append(names[i + 1 + j])
-                    dst.append(names[i])
-            return pd.DataFrame({"src": src, "dst": dst})
-
-        wide = members.select("bucket", "class", "component").join(sketch, "class")
-        return wide.groupBy("bucket").applyInPandas(pairs, "src binary, dst binary").distinct()
+        """Links between different components of the same buckets, found on the full sets.
+
+        Buckets with one home are compared together, so that each class's set is read once for all
+        of them. Classes of the home are dealt into blocks, the others into blocks of their
+        own, by the size of their sets; each pair of such blocks, and each pair of blocks
+        of others, is a cell, which one task compares. With few others a set is
+        in one or two cells.
+        """
+        rows = members.select("home", "class", "component").distinct()
+        rows = rows.join(self.classes.select("class", "size"), "class")
+        own = F.col("component") == F.col("home")
+        rows = self.work.keep(rows.withColumn("own", own))
+
+        def blocks(condition) -> Column:
+            total = F.coalesce(F.sum(F.when(condition, F.col("size"))), F.lit(0))
+            return F.greatest(F.ceil(total / F.lit(CELL_GRAMS)), F.lit(1)).cast("int")
+
+        counts = rows.groupBy("home").agg(blocks(F.col("own")).alias("owns"), blocks(~F.col("own")).alias("others"))
+        dealt = rows.join(counts, "home").withColumn(
+            "block", F.pmod(F.xxhash64("class"), F.when(F.col("own"), F.col("owns")).otherwise(F.col("others")))
+        )
+
+        def cell(kind: str, first, second) -> Column:
+            return F.xxhash64("home", F.lit(kind), first, second)
+
+        def upto(n: str) -> Column:
+            return F.sequence(F.lit(0), F.col(n) - 1)
+
+        across = F.when(
+            F.col("own"), F.transform(upto("others"), lambda x: cell("home", F.col("block"), x.cast("long")))
+        ).otherwise(F.transform(upto("owns"), lambda x: cell("home", x.cast("long"), F.col("block"))))
+        among = F.when(
+            ~F.col("own"),
+            F.transform(
+                upto("others"),
+                lambda x: cell("rest", F.least(F.col("block"), x.cast("long")), F.greatest(F.col("block"), x.cast("long"))),
+            ),
+        ).otherwise(F.array().cast("array<long>"))
+        cells = dealt.select("class", "component", "own", F.explode(F.concat(across, among)).alias("cell"))
+        grams = self._grams(rows.select("class").distinct())
+        wide = cells.join(grams, "class").repartition("cell").sortWithinPartitions("cell")
+        percent = self.percent
+
+        def links(names: list, part: np.ndarray, own: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> list:
+            ids = np.unique(flat, return_inverse=True)[1]
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            mark = np.zeros(int(ids.max()) + 1, dtype=np.int64)
+            found = []
+            for i in np.flatnonzero(~own):
+                mine = ids[starts[i] : ends[i]]
+                mark[mine] = 1
+                shared = np.add.reduceat(mark[ids], starts)
+                mark[mine] = 0
+                alike = 100 * shared >= percent * (sizes + sizes[i] - shared)
+                linked = np.flatnonzero(alike & (part != part[i]))
+                # one link to each other component will do
+                for j in linked[np.unique(part[linked], return_index=True)[1]]:
+                    found.append((max(names[i], names[j]), min(names[i], names[j])))
+            return found
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in by_value(batches, "cell"):
+                grams = table.column("grams").combine_chunks()
+                pairs = links(
+                    table.column("class").to_pylist(),
+                    table.column("component").combine_chunks().dictionary_encode().indices.to_numpy(),
+                    table.column("own").to_numpy(),
+                    grams.flatten().to_numpy(),
+                    grams.value_lengths().to_numpy().astype(np.int64),
+                )
+                if pairs:
+                    src, dst = zip(*pairs, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(src, pa.binary()), pa.array(dst, pa.binary())], names=["src", "dst"]
+                    )
+
+        return self.work.keep(wide.mapInArrow(run, "src binary, dst binary").distinct())
 
     def _split(self, members: DataFrame) -> DataFrame:
         """Buckets dealt out anew by each of the other bands."""
@@ -272,23 +340,19 @@ class NearDuplicates:
         self.classes = self.work.keep(
             signed.filter("n_shingles > 0")
             .groupBy("class")
-            .agg(rep, F.min("doc_id").alias("low_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+            .agg(rep, F.min("doc_id").alias("low_id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
         )
         members, depth = self.work.keep(self._members()), 0
         while True:
             star = members.filter(F.col("class") != F.col("leader"))
             self._edges.append(self._confirmed(star.select(F.col("class").alias("src"), F.col("leader").alias("dst"))))
-            found = self._components()
-            rest = self.work.keep(self._spanning(members, found))
-            self.work.drop(members)
+            rest = self.work.keep(self._spanning(members, self._components()))
             if not rest.head(1):
                 break
-            # what is large after three splits is compared whole, in blocks
-            large = rest.filter(F.col("n") > GROUP) if depth < 3 else rest.limit(0)
-            self._edges.append(
-                self._confirmed(self._within(rest.filter(F.col("n") <= GROUP) if depth < 3 else self._blocks(rest)))
-            )
-            if not large.head(1):
+            now = rest if depth == 3 else rest.filter(F.col("others") <= GROUP)
+            self._edges.append(self._within(now))
+            large = rest.filter(F.col("others") > GROUP)
+            if depth == 3 or not large.head(1):
                 break
             members, depth = self.work.keep(self._split(large)), depth + 1
         found = self._components()
@@ -306,18 +370,6 @@ class NearDuplicates:
         names = ["doc_id", "text_key", "n_shingles", "component", "component_id"]
         return linked.select(*names).unionByName(alone.select(*names))
 
-    @staticmethod
-    def _blocks(members: DataFrame) -> DataFrame:
-        """Buckets as pairs of blocks: each pair of members meets in one group of at most 2 * GROUP."""
-        blocks = F.ceil(F.col("n") / F.lit(GROUP / 2)).cast("int")
-        mine = members.withColumn("blocks", blocks).withColumn(
-            "mine", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-        )
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-        rows = mine.select("bucket", "class", "component", "mine", other)
-        cell = F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other"))
-        return rows.select(cell.alias("bucket"), "class", "component").distinct()
-
 
 def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs; see NearDuplicates.
