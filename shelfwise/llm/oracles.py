@@ -67,7 +67,65 @@ SELECT s.doc_id, s.size::BIGINT AS size, r.source_size, r.target,
 FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source
 """
 
+#: canonical links and refreshes with absolute targets, as the given pages have no others
+_URLS = r"""
+WITH RECURSIVE rules(rule, ruling) AS (VALUES
+  ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'),
+  ('com/fr/', 'allow'), ('com/de/', 'block')),
+seen AS (
+  SELECT page_id, url, html,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+),
+noded AS (
+  SELECT *, CASE WHEN contains(regexp_extract(url, '(?s)^([^#]*)', 1), '://') THEN
+    translate(regexp_extract(url, '(?s)^(.*?)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    || '://' || host || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) END AS node
+  FROM seen
+),
+hits AS (
+  SELECT DISTINCT host, path, rule, ruling FROM seen, rules
+  WHERE ('.' || host) LIKE '%.' || split_part(rule, '/', 1)
+    AND starts_with(path, substr(rule, strpos(rule, '/')))
+),
+chosen AS (
+  SELECT host, path, rule, ruling FROM hits
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, ruling) = 1
+),
+tags AS (
+  SELECT node AS src, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM noded WHERE node IS NOT NULL
+),
+edges AS (
+  SELECT DISTINCT src, regexp_extract(target, '(?s)^([^#]*)', 1) AS dst FROM (
+    SELECT src, CASE
+      WHEN regexp_matches(tag, '(?is)\brel\s*=\s*["'']?canonical\b')
+      THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+      WHEN regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')
+      THEN regexp_extract(tag, '(?is)url\s*=\s*["'']?([^"''\s>]+)', 1) END AS target
+    FROM tags) WHERE contains(target, '://')
+),
+both_ways AS (SELECT src, dst FROM edges WHERE src != dst UNION SELECT dst, src FROM edges WHERE src != dst),
+reach AS (
+  SELECT DISTINCT src AS node, src AS other FROM both_ways
+  UNION SELECT r.node, b.dst FROM reach r JOIN both_ways b ON b.src = r.other
+),
+lowest AS (SELECT node, min(other) AS low FROM reach GROUP BY node),
+known AS (
+  SELECT n.page_id, n.host, n.path, c.rule, c.ruling, coalesce(l.low, n.node) AS alias_group
+  FROM noded n LEFT JOIN chosen c USING (host, path) LEFT JOIN lowest l ON l.node = n.node
+)
+SELECT page_id, host, path, rule, alias_group, coalesce(ruling, CASE WHEN alias_group IN (
+    SELECT alias_group FROM known WHERE ruling IS NOT NULL AND alias_group IS NOT NULL
+    GROUP BY alias_group HAVING min(ruling) = 'block')
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM known
+"""
+
 ORACLES: dict[str, str] = {
     "op2_minhash_groups": _MINHASH,
     "op3_source_mix": _MIXING,
+    "op5_url_verdicts": _URLS,
 }

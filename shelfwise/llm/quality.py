@@ -257,13 +257,12 @@ def judged(docs: DataFrame, work: Work, cutoff: float = CUTOFF, min_group: int =
     by_source = part.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     big = F.col("n") >= min_group
     small = by_source.filter(~big).groupBy("lang").agg(F.sum("n").alias("lang_n"))
-    rest = small.filter(F.col("lang_n") < min_group).agg(F.coalesce(F.sum("lang_n"), F.lit(0)).alias("rest_n"))
+    rest = small.filter(F.col("lang_n") < min_group).agg(F.sum("lang_n")).first()[0] or 0
     pools = by_source.join(small.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")), "left")
-    pools = pools.withColumn("one", F.lit(1)).join(rest.withColumn("one", F.lit(1)), "one")
     name = (
         F.when(big, F.to_json(F.array("lang", "source")))
         .when(F.col("lang_n") >= min_group, F.to_json(F.array("lang")))
-        .when(F.col("rest_n") >= min_group, F.lit("[]"))
+        .when(F.lit(rest >= min_group), F.lit("[]"))
     )
     pools = pools.select(F.col("lang").alias("l"), F.col("source").alias("s"), name.alias("pool"))
     pools = hint_if_small(pools, work)

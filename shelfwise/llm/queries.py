@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import minhash, mixing, packing, pii, quality, tokencount
+from shelfwise.llm import linededup, minhash, mixing, packing, pii, quality, tokencount, urlfilter
 from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,14 @@ def op4_token_counts(spark, sf_dir):
 @query
 def op10_pseudonyms(spark, sf_dir):
     return pii.pseudonymised(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_line_templates(spark, sf_dir):
+    found = linededup.without_recurring_lines(table(spark, sf_dir, "documents"), Work(spark))
+    return found.select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@query
+def op5_url_verdicts(spark, sf_dir):
+    return urlfilter.judged(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark), Work(spark))
