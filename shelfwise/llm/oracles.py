@@ -124,8 +124,21 @@ SELECT page_id, host, path, rule, alias_group, coalesce(ruling, CASE WHEN alias_
 FROM known
 """
 
+_WARC = r"""
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+first AS (SELECT payload_digest, max(page_id) AS page FROM sized WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page IS NULL OR page = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page != page_id THEN page END AS refers_to
+FROM sized LEFT JOIN first USING (payload_digest)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_minhash_groups": _MINHASH,
     "op3_source_mix": _MIXING,
     "op5_url_verdicts": _URLS,
+    "op7_warc_records": _WARC,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import linededup, minhash, mixing, packing, pii, quality, tokencount, urlfilter
+from shelfwise.llm import linededup, minhash, mixing, packing, pii, quality, tokencount, urlfilter, warc
 from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op1_line_templates(spark, sf_dir):
 @query
 def op5_url_verdicts(spark, sf_dir):
     return urlfilter.judged(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark), Work(spark))
+
+
+@query
+def op7_warc_records(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"), Work(spark))
