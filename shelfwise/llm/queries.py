@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import linededup, minhash, mixing, packing, pii, quality, tokencount, urlfilter, warc
+from shelfwise.llm import linededup, minhash, mixing, nndescent, packing, pii, quality, tokencount, urlfilter, warc
 from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op5_url_verdicts(spark, sf_dir):
 @query
 def op7_warc_records(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"), Work(spark))
+
+
+@query
+def op6_embedding_links(spark, sf_dir):
+    return nndescent.linked_vectors(table(spark, sf_dir, "embeddings"), Work(spark))
