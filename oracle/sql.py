@@ -736,44 +736,51 @@ SELECT COALESCE(stock_tag, 'SIN_OBSERVACION') AS stock_tag, COUNT(*) AS items, {
 FROM m_stock s JOIN m_warehouses w ON w.warehouse_id = s.warehouse_id AND w.wtype = 'Venta'
 WHERE qty > 0 GROUP BY stock_tag"""
 
-# --- views: the raw many-to-many joins -------------------------------------------
-Q["warehouse_efficiency"] = f"""
-SELECT w.warehouse_id, w.name, w.wtype, w.region_id, {d('COALESCE(SUM(v.qty), 0)', 2)} AS sold_units,
-  {d('COALESCE(SUM(v.amount), 0)', 2)} AS sold_amount,
-  ROUND(COALESCE(CAST(SUM(s.qty) AS DOUBLE) / COUNT(s.qty), 0), 6) AS mean_stock,
-  {d('COALESCE(SUM(s.unit_cost * s.qty), 0)', 2)} AS stock_value,
-  CASE WHEN COALESCE(SUM(s.qty), 0) = 0 THEN 0.0 ELSE
-    ROUND(CAST(COALESCE(SUM(v.qty), 0) AS DOUBLE) / (CAST(SUM(s.qty) AS DOUBLE) / COUNT(s.qty)) * 100, 2)
-  END AS sold_over_available_pct,
-  COUNT(DISTINCT v.product_id) AS products_sold, COUNT(DISTINCT s.product_id) AS products_stocked
-FROM m_warehouses w LEFT JOIN m_sales v ON v.warehouse_id = w.warehouse_id AND {recent(30, 'v')}
-LEFT JOIN m_stock s ON s.warehouse_id = w.warehouse_id
-WHERE w.wtype = 'Venta' GROUP BY w.warehouse_id, w.name, w.wtype, w.region_id"""
-Q["warehouse_efficiency_corrected"] = f"""
-SELECT w.warehouse_id, w.name, w.wtype, w.region_id, {d('COALESCE(v.qty, 0)', 2)} AS sold_units,
-  {d('COALESCE(v.amount, 0)', 2)} AS sold_amount,
-  ROUND(COALESCE(CAST(s.qty AS DOUBLE) / s.n, 0), 6) AS mean_stock,
-  {d('COALESCE(s.value, 0)', 2)} AS stock_value,
-  CASE WHEN COALESCE(s.qty, 0) = 0 THEN 0.0 ELSE
-    ROUND(CAST(COALESCE(v.qty, 0) AS DOUBLE) / (CAST(s.qty AS DOUBLE) / s.n) * 100, 2)
-  END AS sold_over_available_pct,
-  COALESCE(v.n, 0) AS products_sold, COALESCE(s.n, 0) AS products_stocked
-FROM m_warehouses w
-LEFT JOIN (SELECT warehouse_id, SUM(qty) AS qty, SUM(amount) AS amount, COUNT(DISTINCT product_id) AS n
-  FROM m_sales WHERE {recent(30)} GROUP BY warehouse_id) v ON v.warehouse_id = w.warehouse_id
-LEFT JOIN (SELECT warehouse_id, SUM(qty) AS qty, SUM(qty * unit_cost) AS value, COUNT(*) AS n
-  FROM m_stock GROUP BY warehouse_id) s ON s.warehouse_id = w.warehouse_id
-WHERE w.wtype = 'Venta'"""
+# --- views: sales and stock rows of a warehouse meet many to many -----------------
+CTES["f_sold"] = f"""
+SELECT warehouse_id, product_id AS sold_id, qty AS sold, amount FROM m_sales WHERE {recent(30)}"""
+CTES["f_held"] = """
+SELECT warehouse_id, product_id AS held_id, qty AS held, qty * unit_cost AS worth FROM m_stock"""
+CTES["f_points"] = "SELECT * FROM m_warehouses WHERE wtype = 'Venta'"
+# every sold row beside every held row of the same place; either side may be missing
+CTES["f_meetings"] = """
+SELECT warehouse_id, sold_id, sold, amount, held_id, held, worth
+FROM f_points LEFT JOIN f_sold USING (warehouse_id) LEFT JOIN f_held USING (warehouse_id)"""
+CTES["f_inflated"] = """
+SELECT warehouse_id, SUM(sold) AS sold, SUM(amount) AS amount, SUM(held) AS held, COUNT(held) AS held_rows,
+  SUM(worth) AS worth, COUNT(DISTINCT sold_id) AS sold_ids, COUNT(DISTINCT held_id) AS held_ids
+FROM f_meetings GROUP BY warehouse_id"""
+CTES["f_plain"] = """
+SELECT warehouse_id, v.sold, v.amount, s.held, s.held_rows, s.worth, v.sold_ids, s.held_rows AS held_ids
+FROM f_points
+LEFT JOIN (SELECT warehouse_id, SUM(sold) AS sold, SUM(amount) AS amount, COUNT(DISTINCT sold_id) AS sold_ids
+  FROM f_sold GROUP BY ALL) v USING (warehouse_id)
+LEFT JOIN (SELECT warehouse_id, SUM(held) AS held, COUNT(*) AS held_rows, SUM(worth) AS worth
+  FROM f_held GROUP BY ALL) s USING (warehouse_id)"""
+
+
+def _efficiency(sums: str) -> str:
+    """Warehouses with the sums of one of the two CTEs above; a missing side counts as nothing."""
+    return f"""
+SELECT warehouse_id, name, wtype, region_id, {d('IFNULL(sold, 0)', 2)} AS sold_units,
+  {d('IFNULL(amount, 0)', 2)} AS sold_amount, ROUND(IFNULL(level, 0), 6) AS mean_stock,
+  {d('IFNULL(worth, 0)', 2)} AS stock_value,
+  IFNULL(ROUND(CAST(IFNULL(sold, 0) AS DOUBLE) / NULLIF(level, 0) * 100, 2), 0.0) AS sold_over_available_pct,
+  IFNULL(sold_ids, 0) AS products_sold, IFNULL(held_ids, 0) AS products_stocked
+FROM f_points JOIN (SELECT *, CAST(held AS DOUBLE) / held_rows AS level FROM {sums}) USING (warehouse_id)"""
+
+
+Q["warehouse_efficiency"] = _efficiency("f_inflated")
+Q["warehouse_efficiency_corrected"] = _efficiency("f_plain")
+# the sums of a region are those of its sales points
 Q["region_efficiency"] = f"""
-SELECT r.region_id, r.name, COUNT(DISTINCT w.warehouse_id) AS sales_points,
-  {d('COALESCE(SUM(v.amount), 0)', 2)} AS sold_amount,
-  {d('COALESCE(SUM(s.unit_cost * s.qty), 0)', 2)} AS stock_value,
-  CASE WHEN COALESCE(SUM(s.qty), 0) = 0 THEN 0.0 ELSE
-    ROUND(CAST(COALESCE(SUM(v.qty), 0) AS DOUBLE) / CAST(SUM(s.qty) AS DOUBLE) * 100, 2)
-  END AS sold_over_available_pct
-FROM m_regions r LEFT JOIN m_warehouses w ON w.region_id = r.region_id AND w.wtype = 'Venta'
-LEFT JOIN m_sales v ON v.warehouse_id = w.warehouse_id AND {recent(30, 'v')}
-LEFT JOIN m_stock s ON s.warehouse_id = w.warehouse_id GROUP BY r.region_id, r.name"""
+SELECT region_id, g.name, points AS sales_points, {d('amount', 2)} AS sold_amount, {d('worth', 2)} AS stock_value,
+  IFNULL(ROUND(CAST(sold AS DOUBLE) / NULLIF(CAST(held AS DOUBLE), 0) * 100, 2), 0.0) AS sold_over_available_pct
+FROM m_regions g JOIN (
+  SELECT region_id, COUNT(warehouse_id) AS points, IFNULL(SUM(sold), 0) AS sold,
+    IFNULL(SUM(amount), 0) AS amount, IFNULL(SUM(held), 0) AS held, IFNULL(SUM(worth), 0) AS worth
+  FROM m_regions LEFT JOIN f_points p USING (region_id) LEFT JOIN f_inflated USING (warehouse_id)
+  GROUP BY region_id) USING (region_id)"""
 Q["stock_by_type"] = f"""
 SELECT t.wtype, COUNT(DISTINCT w.warehouse_id) AS warehouses, COUNT(DISTINCT s.product_id) AS products,
   {d('COALESCE(SUM(s.qty), 0)')} AS units, {d('COALESCE(SUM(s.qty * s.unit_cost), 0)')} AS cost_value,
@@ -786,18 +793,18 @@ SELECT m.*, p.name AS product_name, b.name AS brand_name, b.category, b.abc_clas
 FROM m_metrics m JOIN m_products p ON p.product_id = m.product_id
 JOIN m_brands b ON b.brand_id = p.brand_id JOIN m_warehouses w ON w.warehouse_id = m.warehouse_id"""
 V = "product_id, product_name, brand_name, category, abc_class, warehouse_id, warehouse_name"
+CTES["f_ranks"] = """
+SELECT * FROM (VALUES ('PRINCIPAL', 'A', 1), ('PRINCIPAL', 'B', 2), ('OTRAS', 'A', 3), ('PRINCIPAL', 'C', 4),
+  ('OTRAS', 'B', 5)) t(category, abc_class, place)"""
+CTES["f_bands"] = """
+SELECT * FROM (VALUES (0, 3, 'CRÍTICO - Menos de 3 días'), (3, 7, 'ALTO - Menos de 7 días'),
+  (7, 15, 'MEDIO - Menos de 15 días')) t(above, below, label)"""
 Q["critical_products"] = f"""
-SELECT {V}, region_id, {d('stock')} AS stock, {d('daily')} AS daily, {d('days_of_stock')} AS days_of_stock,
-  stock_state, {d('reorder_point')} AS reorder_point,
-  CASE WHEN category = 'PRINCIPAL' AND abc_class = 'A' THEN 1
-       WHEN category = 'PRINCIPAL' AND abc_class = 'B' THEN 2
-       WHEN category = 'OTRAS' AND abc_class = 'A' THEN 3
-       WHEN category = 'PRINCIPAL' AND abc_class = 'C' THEN 4
-       WHEN category = 'OTRAS' AND abc_class = 'B' THEN 5 ELSE 6 END AS attention_rank,
-  CASE WHEN m.days_of_stock < 3 THEN 'CRÍTICO - Menos de 3 días'
-       WHEN m.days_of_stock < 7 THEN 'ALTO - Menos de 7 días'
-       WHEN m.days_of_stock < 15 THEN 'MEDIO - Menos de 15 días' END AS message
-FROM v_described m WHERE m.days_of_stock < 15 AND m.daily > 0 AND wtype = 'Venta'"""
+SELECT {V}, region_id, {d('stock')} AS stock, {d('daily')} AS daily, {d('m.days_of_stock')} AS days_of_stock,
+  stock_state, {d('reorder_point')} AS reorder_point, IFNULL(place, 6) AS attention_rank, label AS message
+FROM v_described m LEFT JOIN f_ranks USING (category, abc_class)
+JOIN f_bands ON m.days_of_stock < below AND (m.days_of_stock >= above OR above = 0)
+WHERE m.daily > 0 AND wtype = 'Venta'"""
 Q["overstock"] = f"""
 SELECT {V}, wtype, region_id, {d('stock')} AS stock, {d('daily')} AS daily,
   {d('days_of_stock')} AS days_of_stock, cover_days AS target_days,
@@ -809,31 +816,34 @@ SELECT {V}, wtype, {d('stock')} AS stock, {d('q90')} AS q90, {d('turn')} AS turn
   CASE WHEN abc_class = 'D' THEN 'ESPERADO (Marca clase D)' WHEN m.q90 = 0 THEN 'SIN MOVIMIENTO 90 DÍAS'
        WHEN m.turn < 0.5 THEN 'ROTACIÓN MUY BAJA' ELSE 'ROTACIÓN BAJA' END AS rotation
 FROM v_described m WHERE m.stock > 0 AND (m.q90 < 3 OR m.turn < 1)"""
-BS = f"""
-SELECT b.brand_id, b.name AS brand_name, b.category, b.abc_class, b.buy_every_days, b.cover_days,
-  b.cover_days + b.dc_lead AS total_cover, COUNT(DISTINCT p.product_id) AS products,
-  COUNT(DISTINCT CASE WHEN s.qty > 0 THEN p.product_id END) AS products_in_stock,
-  {d('COALESCE(SUM(s.qty), 0)')} AS units,
-  {d('COALESCE(SUM(s.qty * s.unit_cost), 0)', 2)} AS stock_value,"""
-_V30 = f"""(SELECT product_id, SUM(qty) AS qty, SUM(amount) AS amount FROM m_sales
-  WHERE {recent(30)} GROUP BY product_id)"""
-Q["brand_summary"] = f"""{BS} {d('COALESCE(SUM(v.qty), 0)', 2)} AS sold_units,
-  {d('COALESCE(SUM(v.amount), 0)', 2)} AS sold_amount,
-  CASE WHEN COALESCE(SUM(s.qty), 0) = 0 THEN 0.0 ELSE
-    ROUND(CAST(COALESCE(SUM(v.qty), 0) AS DOUBLE) / CAST(SUM(s.qty) AS DOUBLE) * 30, 1) END AS mean_days
-FROM m_brands b LEFT JOIN m_products p ON p.brand_id = b.brand_id
-LEFT JOIN m_stock s ON s.product_id = p.product_id LEFT JOIN {_V30} v ON v.product_id = p.product_id
-GROUP BY ALL"""
-Q["brand_summary_corrected"] = f"""{BS}
-  {d('COALESCE(MAX(k.qty), 0)', 2)} AS sold_units, {d('COALESCE(MAX(k.amount), 0)', 2)} AS sold_amount,
-  CASE WHEN COALESCE(MAX(k.qty), 0) = 0 THEN 0.0 ELSE
-    ROUND(CAST(COALESCE(SUM(s.qty), 0) AS DOUBLE) / CAST(MAX(k.qty) AS DOUBLE) * 30, 1) END AS mean_days
-FROM m_brands b LEFT JOIN m_products p ON p.brand_id = b.brand_id
-LEFT JOIN m_stock s ON s.product_id = p.product_id
-LEFT JOIN (SELECT x.brand_id, SUM(v.qty) AS qty, SUM(v.amount) AS amount
-  FROM m_products x JOIN {_V30} v ON v.product_id = x.product_id GROUP BY x.brand_id) k
-  ON k.brand_id = b.brand_id
-GROUP BY ALL"""
+# a product's stock rows and its sales of the month, side by side
+CTES["f_items"] = f"""
+SELECT p.brand_id, p.product_id, s.held, s.worth, IFNULL(s.held_rows, 0) AS held_rows,
+  IFNULL(s.stocked, FALSE) AS stocked, v.sold, v.amount
+FROM m_products p
+LEFT JOIN (SELECT product_id, SUM(qty) AS held, SUM(qty * unit_cost) AS worth, COUNT(*) AS held_rows,
+  BOOL_OR(qty > 0) AS stocked FROM m_stock GROUP BY ALL) s USING (product_id)
+LEFT JOIN (SELECT product_id, SUM(qty) AS sold, SUM(amount) AS amount FROM m_sales
+  WHERE {recent(30)} GROUP BY ALL) v USING (product_id)"""
+
+
+def _brands(times: str, over: str, under: str) -> str:
+    """Brands with sums over their products; each product's sales count ``times`` times."""
+    return f"""
+SELECT brand_id, g.name AS brand_name, category, abc_class, buy_every_days, cover_days,
+  cover_days + dc_lead AS total_cover, products, products_in_stock, {d('held')} AS units,
+  {d('worth', 2)} AS stock_value, {d('sold', 2)} AS sold_units, {d('amount', 2)} AS sold_amount,
+  IFNULL(ROUND(CAST({over} AS DOUBLE) / NULLIF(CAST({under} AS DOUBLE), 0) * 30, 1), 0.0) AS mean_days
+FROM m_brands g JOIN (
+  SELECT b.brand_id, COUNT(product_id) AS products, COUNT(*) FILTER (WHERE stocked) AS products_in_stock,
+    IFNULL(SUM(held), 0) AS held, IFNULL(SUM(worth), 0) AS worth,
+    IFNULL(SUM(sold * {times}), 0) AS sold, IFNULL(SUM(amount * {times}), 0) AS amount
+  FROM m_brands b LEFT JOIN f_items USING (brand_id) GROUP BY ALL) USING (brand_id)"""
+
+
+# joined raw, a product's sales are repeated for each of its stock rows
+Q["brand_summary"] = _brands("GREATEST(held_rows, 1)", "sold", "held")
+Q["brand_summary_corrected"] = _brands("1", "held", "sold")
 
 # --- loads and merges --------------------------------------------------------------
 CTES["i_docs"] = """
@@ -878,14 +888,23 @@ Q["payload_sales"] = f"""
 SELECT CAST(sale_date AS VARCHAR) AS sale_date, status AS doc_prefix, CAST(doc_no AS VARCHAR) AS doc_no,
   CAST(warehouse_id AS VARCHAR) AS warehouse_id, CAST(product_id AS VARCHAR) AS product_id,
   {d('CASE WHEN doc_no % 41 = 0 THEN 0 ELSE qty END')} AS qty, CAST(0 AS DOUBLE) AS unit_price, {d('amount')} AS amount
-FROM m_docs WHERE doc_no % 5 <> 4"""
+FROM m_docs"""
+Q["payload_errors"] = """
+SELECT 'page ' || CAST(doc_no % 50 AS VARCHAR) AS source,
+  CASE doc_no % 2 WHEN 0 THEN 'error' ELSE 'raw' END AS status, COUNT(*) AS payloads
+FROM m_docs WHERE doc_no % 5 = 4 GROUP BY ALL"""
+Q["payload_stock"] = f"""
+SELECT CAST(warehouse_id AS VARCHAR) AS warehouse_id, CAST(product_id AS VARCHAR) AS product_id, {d('qty')} AS qty,
+  {d('unit_cost')} AS unit_cost, {d('unit_price')} AS unit_price, NULLIF(TRIM(stock_tag), '') AS stock_tag
+FROM m_stock"""
 Q["bad_records"] = """
 SELECT CAST(doc_no AS VARCHAR) AS "NUMDOC", CAST(product_id AS VARCHAR) AS "REFER", 'n/a' AS "CANTID"
 FROM m_docs WHERE doc_no % 41 = 0"""
 Q["history_summary"] = """
-WITH slices AS (SELECT CAST(DATE '2001-07-01' + CAST(7 * i AS INTEGER) AS DATE) AS a,
-    LEAST(CAST(DATE '2001-07-01' + CAST(7 * i + 6 AS INTEGER) AS DATE), DATE '2001-11-01') AS b
-  FROM range(0, 18) t(i))
+WITH span AS (SELECT MIN(sale_date) AS lo, MAX(sale_date) AS hi FROM m_docs),
+  slices AS (SELECT CAST(lo + CAST(7 * i AS INTEGER) AS DATE) AS a,
+    LEAST(CAST(lo + CAST(7 * i + 6 AS INTEGER) AS DATE), hi) AS b
+  FROM span, range(0, 1000) t(i) WHERE lo + CAST(7 * i AS INTEGER) <= hi)
 SELECT CAST(a AS VARCHAR) AS start_date, CAST(b AS VARCHAR) AS end_date, COUNT(v.doc_no) AS loaded,
   COUNT(DISTINCT v.product_id) AS products, COUNT(*) FILTER (WHERE v.doc_no % 41 = 0) AS errors
 FROM slices LEFT JOIN m_docs v ON v.sale_date BETWEEN a AND b GROUP BY a, b"""

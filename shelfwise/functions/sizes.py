@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +11,14 @@ BROADCAST_ROWS = 100_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if df has at most max_rows rows; reads no more than that many plus one."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if df has at most max_rows rows, by a count that combines on the map side."""
+    return df.count() <= max_rows
 
 
 def small_ones(frames: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> set[str]:
     """The names of the frames with at most max_rows rows, counted in one job."""
     counts = [
-        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
         for n, df in frames.items()
     ]
     merged = counts[0]
@@ -36,14 +35,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local session without that setting (a test) gets a temporary folder.
+    Only a local session without that setting (a test) uses the warehouse folder instead.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.gettempdir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 class Scratch:

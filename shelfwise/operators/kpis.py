@@ -71,6 +71,10 @@ def sales_totals(
     meets the semi-join as one row.
     """
     recent = at_places(look_back(sales, as_of, p.month_days), warehouses, f, sales_point=False)
+    if not f.tags:
+        return recent.agg(
+            F.count(F.lit(1)).alias("sales_rows"), total("qty").alias("units"), total("amount").alias("amount")
+        )
     per_product = recent.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("qty").alias("qty"), F.sum("amount").alias("amount")
     )
@@ -258,7 +262,7 @@ def lost_sales(
     )
     gone = sold.join(stock.select(*PAIR, "qty"), PAIR, "left").filter(or_zero("qty") == 0)
     return without_projects(gone, stock).agg(
-        F.count_distinct(*PAIR).alias("items"),
+        F.count(F.lit(1)).alias("items"),  # a row a pair
         total("sold_amount").alias("amount"),
         total("sold_units").alias("units"),
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.sizes import broadcast_if_small
 
 SALES_KEY = ["doc_prefix", "doc_no", "product_id"]
 STOCK_KEY = ["warehouse_id", "product_id"]
@@ -34,14 +33,14 @@ def new_sales(
 
     Rows with a NULL in the key never conflict; they skip the aggregation and
     the join, where they would all meet in one task. The stored history is
-    only scanned for its keys and filtered by the batch's (broadcast if they
-    are few); it is not shuffled.
+    read for its keys only, and is filtered where it is read while the batch's
+    keys are few enough for Spark to broadcast, by their measured size. Beyond that
+    the keys are shuffled.
     """
     keys = keys or SALES_KEY
     keyed = one_per_key(batch.filter(_has_key(keys)), keys, order, last=False)
     if existing is not None:
-        wanted = broadcast_if_small(keyed.select(*keys))
-        known = existing.select(*keys).join(wanted, keys, "left_semi").distinct()
+        known = existing.select(*keys).join(keyed.select(*keys), keys, "left_semi").distinct()
         keyed = keyed.join(known, keys, "left_anti")
     return keyed.unionByName(batch.filter(~_has_key(keys)))
 
@@ -69,7 +68,7 @@ def merge_stock(
     if existing is None:
         return fresh.drop(*[c for c in order if c not in keys])
     columns = existing.columns
-    kept = existing.join(broadcast_if_small(fresh.select(*keys)), keys, "left_anti")
+    kept = existing.join(fresh.select(*keys), keys, "left_anti")
     if zero_missing:
         kept = kept.withColumn("qty", F.lit(0).cast(existing.schema["qty"].dataType))
     return kept.select(*columns).unionByName(fresh, allowMissingColumns=True).select(*columns)

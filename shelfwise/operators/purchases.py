@@ -271,7 +271,8 @@ def purchase_list(
     if priority is not None:
         rows = rows.filter(F.col("priority") == priority)
     rows = with_tagged_stock(rows, stock, tags)
-    top = rows.orderBy(priority_key(order), "cover_now", "product_id").limit(limit)
+    by = [priority_key(order), "cover_now", "product_id"]
+    top = rows.orderBy(*by).limit(limit)
     return (
         top.join(names, "product_id", "left")
         .join(b, "brand_id", "left")
@@ -280,6 +281,7 @@ def purchase_list(
             "stock_network", "projected", "qty", "cover_now", "cover_target",
             "unit_cost", "purchase_value", "order_date", "priority", "state",
         )
+        .orderBy(*by)
     )
 
 

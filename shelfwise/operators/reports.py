@@ -67,7 +67,7 @@ def alert_list(
     level: str | None = None,
     f: Filters = NO_FILTERS,
 ) -> DataFrame:
-    """Newest alerts with names, local stock value and national stock.
+    """Newest alerts with names, local stock value and national stock, and who handled them when.
 
     The limit is taken first and stock is read afterwards, only for the
     products of the limited list (broadcast; at most ``limit`` rows). A tag
@@ -87,10 +87,11 @@ def alert_list(
     if f.tags:
         tags = stock.select(*PAIR, "stock_tag")
         rows = rows.join(tags, PAIR, "left").filter(tag_matches("stock_tag", f.tags))
-    newest = F.col("generated_on").desc()
-    top = rows.orderBy(newest, "alert_type", "product_id", "warehouse_id").limit(limit)
+    order = [F.col("generated_on").desc(), "alert_type", "product_id", "warehouse_id"]
+    top = rows.orderBy(*order).limit(limit)
     wanted = F.broadcast(top.select("product_id").distinct())
     near = stock.join(wanted, "product_id", "left_semi")
+    handling = [c for c in ("handled_by", "handled_at") if c in alerts.columns]
     national = near.groupBy("product_id").agg(F.sum("qty").alias("national_stock"))
     local = near.select(*PAIR, value_of().alias("stock_value"))
     return (
@@ -102,7 +103,9 @@ def alert_list(
             "state", "region_id", "category", "abc_class", "brand_id",
             or_zero("stock_value").alias("stock_value"),
             or_zero("national_stock").alias("national_stock"),
+            *handling,
         )
+        .orderBy(*order)
     )
 
 
@@ -125,9 +128,8 @@ def alert_list_by_level(
     else:
         urgency = [K.LEVEL_CRITICAL, K.LEVEL_HIGH, K.LEVEL_MEDIUM]
         first = F.array_position(F.array(*(F.lit(x) for x in urgency)), F.col("level")).asc()
-    top = rows.orderBy(
-        first, "days_of_stock", "alert_type", "product_id", "warehouse_id"
-    ).limit(limit)
+    by = [first, "days_of_stock", "alert_type", "product_id", "warehouse_id"]
+    top = rows.orderBy(*by).limit(limit)
     w = warehouses.select("warehouse_id", F.col("name").alias("warehouse_name"))
     names = product_brand.select("product_id", "product_name")
     return (
@@ -137,6 +139,7 @@ def alert_list_by_level(
             "alert_type", "level", "product_id", "product_name", "warehouse_id",
             "warehouse_name", "stock", "days_of_stock", "daily", "message", "generated_on",
         )
+        .orderBy(*by)
     )
 
 
@@ -171,7 +174,8 @@ def transfer_list(
         "text": [priority_key("text").desc()],
         "rank": [priority_key("rank").asc()],
     }[order]
-    top = rows.orderBy(*first, "days_to", "product_id", "to_id", "from_id").limit(limit)
+    by = [*first, "days_to", "product_id", "to_id", "from_id"]
+    top = rows.orderBy(*by).limit(limit)
     names = product_brand.select("product_id", "product_name")
 
     def named(role: str) -> DataFrame:
@@ -187,6 +191,7 @@ def transfer_list(
             "product_id", "product_name", "from_id", "from_name", "to_id", "to_name",
             "to_region", "qty", "days_from", "days_to", "priority", "state",
         )
+        .orderBy(*by)
     )
 
 
@@ -232,16 +237,13 @@ def warehouse_top(
     metrics: DataFrame, product_brand: DataFrame, warehouse_id, limit: int = 100
 ) -> DataFrame:
     """The most valuable items of one warehouse."""
-    top = (
-        metrics.filter(F.col("warehouse_id") == warehouse_id)
-        .orderBy(F.col("stock_value").desc(), "product_id")
-        .limit(limit)
-    )
+    by = [F.col("stock_value").desc(), "product_id"]
+    top = metrics.filter(F.col("warehouse_id") == warehouse_id).orderBy(*by).limit(limit)
     names = product_brand.select("product_id", "product_name")
     return top.join(names, "product_id", "left").select(
         "product_id", "product_name", "stock", "stock_value", "q30", "daily",
         "days_of_stock", "turn", "stock_state",
-    )
+    ).orderBy(*by)
 
 
 # --- series and rankings -------------------------------------------------------
@@ -341,11 +343,12 @@ def top_products(
     if f.brands:
         chosen = names.filter(is_one_of("brand_id", f.brands)).select("product_id")
         per_product = per_product.join(chosen, "product_id", "left_semi")
-    top = with_tagged_stock(per_product, stock, f.tags).orderBy(
-        F.col("units").desc(), "product_id"
-    ).limit(limit)
-    return top.join(names, "product_id", "left").select(
-        "product_id", "product_name", "units", "amount", "warehouses"
+    by = [F.col("units").desc(), "product_id"]
+    top = with_tagged_stock(per_product, stock, f.tags).orderBy(*by).limit(limit)
+    return (
+        top.join(names, "product_id", "left")
+        .select("product_id", "product_name", "units", "amount", "warehouses")
+        .orderBy(*by)
     )
 
 
@@ -357,10 +360,10 @@ def product_search(
 ) -> DataFrame:
     """Products whose name, id or code contains the text, by total stock.
 
-    ``%`` and ``_`` in the text act as wildcards. Shorter than two characters
+    ``%`` and ``_`` in the text act as wildcards, a backslash stands for itself. Shorter than two characters
     finds nothing.
     """
-    pattern = f"%{query}%".lower()
+    pattern = f"%{query}%".lower().replace("\\", "\\\\")
     fields = [F.col("name"), F.col("product_id").cast("string"), F.col("code")]
     hit = F.lit(False)
     for field in fields:

@@ -183,22 +183,25 @@ def _described(metrics: DataFrame, product_brand: DataFrame, warehouses: DataFra
     return metrics.join(branded, "product_id").join(w, "warehouse_id")
 
 
+#: who is looked after first: brand category and class (fixed values); all others come last
+ATTENTION = {
+    (K.MAIN_BRANDS, "A"): 1,
+    (K.MAIN_BRANDS, "B"): 2,
+    (K.OTHER_BRANDS, "A"): 3,
+    (K.MAIN_BRANDS, "C"): 4,
+    (K.OTHER_BRANDS, "B"): 5,
+}
+
+
 def critical_products(
     metrics: DataFrame, product_brand: DataFrame, warehouses: DataFrame, p: Params = DEFAULTS
 ) -> DataFrame:
     """Items short of stock at sales points, ranked by brand category and class."""
     short = metrics.filter((F.col("days_of_stock") < p.medium_days) & (F.col("daily") > 0))
-    main = F.col("category") == K.MAIN_BRANDS
-    other = F.col("category") == K.OTHER_BRANDS
-    grade, days = F.col("abc_class"), F.col("days_of_stock")
-    attention = (
-        F.when(main & (grade == "A"), 1)
-        .when(main & (grade == "B"), 2)
-        .when(other & (grade == "A"), 3)
-        .when(main & (grade == "C"), 4)
-        .when(other & (grade == "B"), 5)
-        .otherwise(6)
-    )
+    days = F.col("days_of_stock")
+    ranks = F.create_map(*(F.lit(x) for pair in ATTENTION.items() for x in ("/".join(pair[0]), pair[1])))
+    place = F.concat_ws("/", "category", "abc_class")
+    attention = F.coalesce(F.try_element_at(ranks, place), F.lit(len(ATTENTION) + 1))
     band = (
         F.when(days < p.critical_days, K.BAND_CRITICAL)
         .when(days < p.low_days, K.BAND_HIGH)

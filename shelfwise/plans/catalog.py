@@ -622,33 +622,41 @@ def _sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PAGE_DOCUMENTS = 200
+SOURCES = 50
+
+
+def _pages(records: DataFrame, fields: list[str], page) -> DataFrame:
+    """Records as JSON, many to a text: all records of a page, which holds a bounded range of keys."""
+    body = F.to_json(F.struct(*fields)).alias("record")
+    return records.select(page.alias("page"), body).groupBy("page").agg(F.listagg("record", ",").alias("records"))
+
+
+def _enveloped(pages: DataFrame, envelope) -> DataFrame:
+    """The pages as landed texts, in each accepted form in turn."""
+    form, records = F.pmod("page", F.lit(6)), F.col("records")
+    in_xml = lambda inner: F.concat(
+        F.lit("<e><n:SalesResult>"), inner, F.lit("</n:SalesResult></e>")
+    )
+    spaced = F.concat(F.lit("[ "), records, F.lit(" ]"))
+    under = lambda key: F.concat(F.lit(f'{{"{key}": '), spaced, F.lit("}"))
+    body = (
+        F.when(form == 0, in_xml(spaced))
+        .when(form == 1, F.concat(F.lit("["), records, F.lit("]<env><ok/></env>")))
+        .when(form == 2, in_xml(under(envelope[0])))
+        .when(form == 3, in_xml(F.replace(under(envelope[1]), F.lit('"'), F.lit("&quot;"))))
+        .when(form == 4, in_xml(F.replace(under(envelope[2]), F.lit('"'), F.lit("&#34;"))))
+        .otherwise(F.concat(F.lit("noise "), F.lit("["), records, F.lit("] noise")))
+    )
+    return pages.select(F.concat(F.lit("page "), "page").alias("source"), "page", body.alias("body"))
+
+
 @query
 def payload_sales(t, spark, sf_dir):
-    """Sales lines packed in every accepted envelope, then parsed back to typed rows."""
+    """Sales lines in texts of many records, in every accepted envelope, parsed back to typed rows."""
     feed = _sales_feed(spark, sf_dir)
     fields = [c for c in feed.columns if c != "seq"]
-    form = F.col("NUMDOC").cast("long") % 5
-
-    def packed(record):
-        in_xml = lambda inner: F.concat(
-            F.lit("<e><n:SalesResult>"), inner, F.lit("</n:SalesResult></e>")
-        )
-        return (
-            F.when(form == 0, in_xml(F.concat(F.lit("[ "), record, F.lit(" ]"))))
-            .when(form == 1, F.concat(F.lit("["), record, F.lit("]<env><ok/></env>")))
-            .when(form == 2, in_xml(F.concat(F.lit('{"ventas": [ '), record, F.lit(" ]}"))))
-            .when(form == 3, in_xml(F.concat(
-                F.lit("[ "), F.replace(record, F.lit('"'), F.lit("&quot;")), F.lit(" ]"))))
-            .otherwise(F.lit("<e><Other>nothing here</Other></e>"))
-        )
-
-    landed = feed.select(
-        F.col("NUMDOC").alias("source"),
-        F.lit(1).cast("long").alias("page"),
-        let(F.to_json(F.struct(*fields)), packed).alias("body"),
-    )
-    # one input file here stands for many landed ones, which Spark reads in parallel
-    landed = landed.repartition(spark.sparkContext.defaultParallelism)
+    landed = _enveloped(_pages(feed, fields, F.floor(F.col("NUMDOC").cast("long") / PAGE_DOCUMENTS)), payloads.SALES_ENVELOPE)
     lists = payloads.record_lists(payloads.decode(landed, "Result"), payloads.SALES_ENVELOPE)
     rows = records.sales_rows(records.explode_records(lists, records.SALES_RECORD))
     return rows.select(
@@ -656,6 +664,42 @@ def payload_sales(t, spark, sf_dir):
     )
 
 
+@query
+def payload_errors(t, spark, sf_dir):
+    """Unreadable texts by source: an element that is no JSON, or no element at all."""
+    feed = _sales_feed(spark, sf_dir).withColumn("doc", F.col("NUMDOC").cast("long"))
+    bad = feed.filter(F.col("doc") % 5 == 4)
+    landed = bad.select(
+        F.concat(F.lit("page "), (F.col("doc") % SOURCES).cast("string")).alias("source"),
+        F.lit(1).cast("long").alias("page"),
+        F.when(F.col("doc") % 2 == 0, "<e><Other>nothing here</Other></e>")
+        .otherwise(F.concat(F.lit("<e><SalesResult>"), "NUMDOC", F.lit(" and no record</SalesResult></e>")))
+        .alias("body"),
+    )
+    bad = payloads.quarantine(payloads.decode(landed, "Result"))
+    return bad.groupBy("source", "status").agg(F.count(F.lit(1)).alias("payloads"))
+
+
+@query
+def payload_stock(t, spark, sf_dir):
+    """Stock rows as a stock feed in every accepted envelope, parsed back."""
+    text = lambda c: F.col(c).cast("string")
+    feed = t.stock.select(
+        text("warehouse_id").alias("BODEGA"),
+        text("product_id").alias("REFERENCIA"),
+        text("qty").alias("CANTIDAD"),
+        text("unit_cost").alias("VCOSTO"),
+        text("unit_price").alias("VVENTA"),
+        F.concat(F.lit(" "), F.coalesce("stock_tag", F.lit("")), F.lit(" ")).alias("OBSERV1"),
+    )
+    landed = _enveloped(_pages(
+        feed, feed.columns, F.floor(F.col("REFERENCIA").cast("long") / PAGE_DOCUMENTS)
+    ), payloads.STOCK_ENVELOPE)
+    lists = payloads.record_lists(payloads.decode(landed, "Result"), payloads.STOCK_ENVELOPE)
+    rows = records.stock_rows(records.explode_records(lists, records.STOCK_RECORD))
+    return rows.select("warehouse_id", "product_id", "qty", "unit_cost", "unit_price", "stock_tag")
+
+
 @query
 def bad_records(t, spark, sf_dir):
     return records.bad_sales(_sales_feed(spark, sf_dir)).select("NUMDOC", "REFER", "CANTID")
@@ -663,9 +707,8 @@ def bad_records(t, spark, sf_dir):
 
 @query
 def history_summary(t, spark, sf_dir):
-    return load.history_summary(
-        spark, _sales_feed(spark, sf_dir), dt.date(2001, 7, 1), dt.date(2001, 11, 1)
-    )
+    span = t.sales.agg(F.min("sale_date").alias("a"), F.max("sale_date").alias("b")).first()
+    return load.history_summary(spark, _sales_feed(spark, sf_dir), span["a"], span["b"])
 
 
 @query

@@ -55,29 +55,36 @@ def _load_products(
     rows = scratch.keep(R.product_rows(records, key_field))
     batch = map_brands(rows, read_table(spark, root, "brands"))
     merged = merge_products(read_table(spark, root, "products"), batch)
-    replace_table(scratch.keep(merged), root, "products")
+    replace_table(merged, root, "products")
     return rows.count()
 
 
 def load_sales(
     spark: SparkSession, root: str, records: DataFrame,
-    first: dt.date | None = None, last: dt.date | None = None,
+    first: dt.date | None = None, last: dt.date | None = None, batch: str | None = None,
 ) -> dict[str, int]:
-    """Products first, then sales that are not stored yet. Running it twice changes nothing.
+    """Products first, then sales that are not stored yet.
 
-    Returns the rows processed and the rows inserted.
+    The window is what the source was asked for; late records that it sends all the
+    same are stored like all others, and are counted as ``outside``. Rows whose key is
+    complete are stored once however often they come; those with a NULL in it are
+    stored again by each call. Quarantined records of a named batch replace those it has
+    left before.
     """
     with Scratch(spark) as scratch:
         records = scratch.keep(records)
         rows = R.sales_rows(records)
-        if first is not None:
-            rows = rows.filter(F.col("sale_date").between(F.lit(first), F.lit(last or first)))
         products = _load_products(spark, root, records, "REFER", scratch)
         bad = R.bad_sales(records)
-        _keep_bad(bad, root, "sales")
+        _keep_bad(bad, root, "sales_records", batch)
         fresh = scratch.keep(new_sales(read_table(spark, root, "sales"), rows, ORDER))
+        inside = F.lit(True)
+        if first is not None:
+            inside = F.col("sale_date").between(F.lit(first), F.lit(last or first))
+        counts = rows.agg(F.count(F.lit(1)).alias("processed"), F.count_if(~inside).alias("outside")).first()
         return {
-            "processed": rows.count(),
+            "processed": counts["processed"],
+            "outside": counts["outside"],
             "inserted": append_sales(fresh, root),
             "products": products,
             "quarantined": bad.count(),
@@ -85,14 +92,15 @@ def load_sales(
 
 
 def load_stock(
-    spark: SparkSession, root: str, records: DataFrame, day: dt.date, zero_missing: bool = False
+    spark: SparkSession, root: str, records: DataFrame, day: dt.date,
+    zero_missing: bool = False, batch: str | None = None,
 ) -> dict[str, int]:
     """Products, current stock and the day's snapshot."""
     with Scratch(spark) as scratch:
         records = scratch.keep(records)
         products = _load_products(spark, root, records, "REFERENCIA", scratch)
         bad = R.bad_stock(records)
-        _keep_bad(bad, root, "stock")
+        _keep_bad(bad, root, "stock_records", batch)
         rows = R.stock_rows(records)
         stored = read_table(spark, root, "stock")
         if not zero_missing:
@@ -108,14 +116,19 @@ def load_stock(
         return {"processed": rows.count(), "products": products, "quarantined": bad.count()}
 
 
-def _keep_bad(bad: DataFrame, root: str, feed: str) -> None:
-    """Bad records go to a JSON folder of their feed, named by where they came from."""
-    bad.write.mode("append").json(table_path(root, f"quarantine/{feed}_records"))
+def _keep_bad(bad: DataFrame, root: str, kind: str, batch: str | None) -> None:
+    """Bad records go to a JSON folder of their kind; a named batch has a folder of its own there."""
+    path = table_path(root, f"quarantine/{kind}")
+    if batch is None:
+        bad.write.mode("append").json(path)
+    else:
+        bad.write.mode("overwrite").json(f"{path}/batch={batch}")
 
 
-def keep_bad_payloads(landed: DataFrame, root: str, feed: str, result_tag: str) -> None:
-    bad = quarantine(decode(landed, result_tag))
-    bad.write.mode("append").json(table_path(root, f"quarantine/{feed}_payloads"))
+def keep_bad_payloads(
+    landed: DataFrame, root: str, feed: str, result_tag: str, batch: str | None = None
+) -> None:
+    _keep_bad(quarantine(decode(landed, result_tag)), root, f"{feed}_payloads", batch)
 
 
 def run_load(

@@ -44,13 +44,38 @@ def _xml_text(body: Column, tag: str) -> Column:
     element = rf"(?s)<[^<>/!?\s]*{tag}[^<>/\s]*(?:\s[^<>]*)?>\s*(?:<!\[CDATA\[)?([^<]+)"
     text = F.regexp_extract(body, element, 1)
     text = F.regexp_replace(text, r"\]\]>?\s*$", "]")
+    text = _numeric_entities(text)
     for entity, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
         text = F.replace(text, F.lit(f"&{entity};"), F.lit(char))
     return F.nullif(F.trim(text), F.lit(""))
 
 
+def _numeric_entities(text: Column) -> Column:
+    """Characters written by their number, decimal or hexadecimal; others stay as they are."""
+
+    def one(part: Column) -> Column:
+        hexadecimal = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+        decimal = F.conv(F.regexp_extract(part, r"^([0-9]{1,7});", 1), 10, 16)
+        code = F.lpad(F.when(hexadecimal != "", hexadecimal).otherwise(decimal), 8, "0")
+        char = F.decode(F.unhex(code), "UTF-32")
+        known = part.rlike(r"^([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});")
+        return F.when(known, F.concat(char, F.regexp_replace(part, "(?s)^[^;]*;", ""))).otherwise(
+            F.concat(F.lit("&#"), part)
+        )
+
+    def decoded(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one)
+        return F.concat(F.get(parts, 0), F.array_join(rest, ""))
+
+    return F.when(F.contains(text, F.lit("&#")), let(F.split(text, "&#"), decoded)).otherwise(text)
+
+
 def _is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """An array or an object, of any size; keys may be repeated. NaN and infinities are no JSON.
+
+    Both functions read on to the end of the text and keep nothing of it.
+    """
+    return F.json_array_length(text).isNotNull() | F.json_object_keys(text).isNotNull()
 
 
 def decode(landed: DataFrame, result_tag: str) -> DataFrame:

@@ -21,6 +21,7 @@ def table_path(root: str, name: str) -> str:
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One table with its declared schema; a table never written reads as empty."""
     schema = TABLES[name]
+    finish_replacement(spark, root, name)
     try:
         df = spark.read.schema(schema).parquet(table_path(root, name))
     except AnalysisException as e:
@@ -75,14 +76,40 @@ def replace_partitions(df: DataFrame, root: str, name: str, spread: bool = False
     return seen.get["rows"]
 
 
+def _files(spark: SparkSession, *paths: str):
+    """The file system of a path, and the paths for it."""
+    found = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return found[0].getFileSystem(spark._jsc.hadoopConfiguration()), *found
+
+
 def replace_table(df: DataFrame, root: str, name: str) -> None:
-    """Overwrite an unpartitioned table. df must not read the table it replaces."""
-    conform(df, name).write.mode("overwrite").parquet(table_path(root, name))
+    """Replace an unpartitioned table; df may read the one it replaces.
+
+    The new rows are written beside the table and take its place when they are whole. A
+    job that fails leaves the old table; if the exchange itself is cut short, the next
+    read or replacement ends it.
+    """
+    spark, path = df.sparkSession, table_path(root, name)
+    conform(df, name).write.mode("overwrite").parquet(f"{path}.next")
+    files, old, gone = _files(spark, path, f"{path}.old")
+    files.delete(gone, True)
+    if files.exists(old):
+        files.rename(old, gone)
+    finish_replacement(spark, root, name)
+    files.delete(gone, True)
+
+
+def finish_replacement(spark: SparkSession, root: str, name: str) -> None:
+    """Put a whole new table in its place where the old one has gone already."""
+    path = table_path(root, name)
+    files, here, new, whole = _files(spark, path, f"{path}.next", f"{path}.next/_SUCCESS")
+    if not files.exists(here) and files.exists(whole):
+        files.rename(new, here)
 
 
 def append_sales(df: DataFrame, root: str) -> int:
-    seen = Observation()
     """Append sales by date; files are sorted by product, so product filters skip row groups."""
+    seen = Observation()
     rows = conform(df, "sales").hint("rebalance", *PARTITIONS["sales"])
     rows = rows.sortWithinPartitions("sale_date", "product_id")
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))

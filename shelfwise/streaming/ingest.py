@@ -20,13 +20,14 @@ from shelfwise.plans.load import (
 from shelfwise.sources.payloads import stream_payloads
 
 
-def _run(stream: DataFrame, handle: Callable[[DataFrame], object], checkpoint: str) -> StreamingQuery:
+def _run(stream: DataFrame, handle: Callable[[DataFrame, str], object], checkpoint: str) -> StreamingQuery:
     """Hand every new file to ``handle`` once per batch, until no file is left.
 
-    A batch repeated after a failure is harmless: the loads are idempotent.
+    A batch repeated after a failure stores no complete key twice and replaces what it has
+    put into quarantine; rows with a NULL in their key are stored again.
     """
     return (
-        stream.writeStream.foreachBatch(lambda batch, _id: handle(batch))
+        stream.writeStream.foreachBatch(lambda batch, number: handle(batch, str(number)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -36,9 +37,9 @@ def _run(stream: DataFrame, handle: Callable[[DataFrame], object], checkpoint: s
 def ingest_sales(
     spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int = 1000
 ) -> StreamingQuery:
-    def handle(batch: DataFrame) -> None:
-        keep_bad_payloads(batch, root, "sales", SALES_TAG)
-        load_sales(batch.sparkSession, root, sales_records(batch))
+    def handle(batch: DataFrame, name: str) -> None:
+        keep_bad_payloads(batch, root, "sales", SALES_TAG, name)
+        load_sales(batch.sparkSession, root, sales_records(batch), batch=name)
 
     return _run(stream_payloads(spark, landing, max_files), handle, checkpoint)
 
@@ -51,8 +52,8 @@ def ingest_stock(
     day: dt.date,
     max_files: int = 1000,
 ) -> StreamingQuery:
-    def handle(batch: DataFrame) -> None:
-        keep_bad_payloads(batch, root, "stock", STOCK_TAG)
-        load_stock(batch.sparkSession, root, stock_records(batch), day)
+    def handle(batch: DataFrame, name: str) -> None:
+        keep_bad_payloads(batch, root, "stock", STOCK_TAG, name)
+        load_stock(batch.sparkSession, root, stock_records(batch), day, batch=name)
 
     return _run(stream_payloads(spark, landing, max_files), handle, checkpoint)

@@ -3,6 +3,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from world import one, rows
 
 from shelfwise.plans import load
@@ -52,12 +53,25 @@ OK = ("ok", [("P", "2"), ("Q", "3.50")])
         ("[{broken}]" + XML.format(SPACED), OK),
         ("", ("error", [])),
         (json.dumps([{"REFER": LONG, "CANTID": 1}]), ("ok", [(LONG, "1")])),
+        ('[{"REFER":"a","REFER":"P","CANTID":2}]', ("ok", [("P", "2")])),
+        (XML.format(SPACED.replace('"', "&#34;")), OK),
+        (XML.format(SPACED.replace('"', "&#x22;")), OK),
+        (XML.format('[ {&#34;REFER&#34;: &#34;&#x20AC; &#xZ;&#34;} ]'), ("ok", [("€ &#xZ;", None)])),
+        ('[{"REFER": NaN}]', ("raw", [])),
     ],
 )
 def test_envelopes(spark, body, expected):
     assert parsed(spark, body) == expected
 
 
+def test_a_large_payload_is_no_error(spark):
+    one_record = '{"REFER":"P","CANTID":2}'
+    many = F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit(one_record), 6_500_000), ","), F.lit("]"))
+    large = spark.range(1).select(F.lit("f").alias("source"), F.lit(1).alias("page"), many.alias("body"))
+    d = payloads.decode(large, "Result").select("status", F.length("payload"))
+    assert d.collect()[0][0] == "ok" and d.collect()[0][1] > 150_000_000
+
+
 def test_stock_envelope_does_not_know_the_sales_key(spark):
     assert parsed(spark, XML.format('{"ventas": ' + SPACED + "}"), payloads.STOCK_ENVELOPE) == ("ok", [])
     assert parsed(spark, XML.format('{"inventario": ' + SPACED + "}"), payloads.STOCK_ENVELOPE) == OK

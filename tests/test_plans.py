@@ -11,6 +11,7 @@ from shelfwise.functions.filters import look_back
 from shelfwise.operators import reports
 from shelfwise.operators import transfers as T
 from shelfwise.plans import daily
+from shelfwise.plans.catalog import CATALOG
 from shelfwise.sources import storage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,7 +24,7 @@ def plan_of(df, mode="simple"):
 
 
 @data
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(CATALOG))
 def test_no_cross_join_no_python_no_collected_group(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "collect_list", "collect_set"):

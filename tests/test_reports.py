@@ -38,6 +38,22 @@ def test_alert_list_tag_filter_on_a_left_join(spark):
     assert run("OUTLET") == [("W1",)]
 
 
+def test_lists_keep_their_order_without_broadcasts(spark):
+    t = tables(spark, stock=[("P", f"W{i}", i, 2) for i in (1, 2, 3)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = reports.alert_list(alert_rows(spark, 9), t.stock, t.product_brand, t.warehouses).collect()
+        assert [r["message"] for r in got] == [f"m{i}" for i in range(9)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_search_takes_a_backslash_as_it_is(spark):
+    t = tables(spark, products=[("P\\1", "A")], stock=[("P\\1", "W1", 1, 1)])
+    assert rows(reports.product_search(t.products, t.brands, t.stock, "P\\1"), "product_id") == [("P\\1",)]
+
+
 def test_levels_sort_as_text_or_by_urgency(spark):
     a = alert_rows(spark, 3).drop("level").join(
         spark.createDataFrame([("m0", "ALTO"), ("m1", "CRITICO"), ("m2", "MEDIO")], "message string, level string"), "message"

@@ -3,6 +3,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from world import TODAY, days_ago, one, rows, tables
 
@@ -130,7 +132,7 @@ def test_batch_load_is_idempotent(spark, tmp_path):
     plan = select_load(TODAY)
     run = lambda: load.run_load(spark, root, plan, str(inbox), str(tmp_path / "st"))
     got = run()
-    assert got["sales"] == {"processed": 4, "inserted": 3, "products": 4, "quarantined": 1}
+    assert got["sales"] == {"processed": 5, "outside": 1, "inserted": 4, "products": 4, "quarantined": 1}
     assert got["stock"] == {"processed": 1, "products": 1, "quarantined": 0}
     state = {n: rows(read(spark, root, n).drop("updated_at")) for n in ("sales", "products", "stock", "stock_daily")}
     assert run()["sales"]["inserted"] == 0
@@ -139,6 +141,33 @@ def test_batch_load_is_idempotent(spark, tmp_path):
     assert spark.read.json(f"{root}/quarantine/sales_payloads").filter("body = 'garbage'").count() == 2
 
 
+def test_a_replacement_cut_short_loses_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    rows_of = lambda *ids: spark.createDataFrame([(i,) for i in ids], "product_id string")
+    storage.replace_table(rows_of("a"), root, "products")
+    bad = rows_of("b").selectExpr("CAST(raise_error('lost') AS string) AS product_id")
+    with pytest.raises(Exception, match="lost"):
+        storage.replace_table(bad, root, "products")
+    assert rows(read(spark, root, "products"), "product_id") == [("a",)]
+    # the old table has gone, the new one is not in its place yet
+    with monkeypatch.context() as m:
+        m.setattr(storage, "finish_replacement", lambda *_: None)
+        storage.replace_table(rows_of("b"), root, "products")
+    assert not os.path.isdir(f"{root}/products")
+    assert rows(read(spark, root, "products"), "product_id") == [("b",)]
+    merged = read(spark, root, "products").unionByName(storage.conform(rows_of("c"), "products"))
+    storage.replace_table(merged, root, "products")
+    assert rows(read(spark, root, "products"), "product_id") == [("b",), ("c",)]
+
+
+def test_a_repeated_batch_replaces_its_quarantine(spark, tmp_path):
+    root = str(tmp_path)
+    landed = spark.createDataFrame([("f", 1, "junk")], "source string, page long, body string")
+    for _ in range(2):
+        load.keep_bad_payloads(landed, root, "sales", "Result", batch="7")
+    assert spark.read.json(f"{root}/quarantine/sales_payloads").count() == 1
+
+
 def test_streaming_in_two_runs_equals_one_batch(spark, tmp_path):
     inbox, cp = tmp_path / "in", str(tmp_path / "cp")
     stream_root, batch_root = str(tmp_path / "s"), str(tmp_path / "b")
