@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
@@ -48,6 +51,31 @@ class Memo(dict):
         return value
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application.
+
+    The archive lies on the driver, from where Spark itself hands it to every executor.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if not os.path.isdir(package):  # imported from such an archive
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "shelfwise.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+
+
 class Work:
     """Tables of one job, kept as Parquet in the folder that all executors share.
 
@@ -56,6 +84,7 @@ class Work:
     """
 
     def __init__(self, spark: SparkSession) -> None:
+        ship(spark)
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
@@ -80,6 +109,8 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; the queries begin with it, so the workers have the package by then."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -181,10 +181,14 @@ class NearDuplicates:
         rows = self.classes.select(F.explode("bands").alias("bucket"), "class")
         return self._in_company(rows)
 
-    @staticmethod
-    def _in_company(rows: DataFrame) -> DataFrame:
+    def _in_company(self, rows: DataFrame) -> DataFrame:
+        """Rows of buckets with several classes, with the bucket's smallest class as its leader.
+
+        Counts and leaders are written first, so that both sides of the join are shuffled
+        for it alone and Spark can split a hot bucket.
+        """
         sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("leader"))
-        return rows.join(sizes.filter("n > 1"), "bucket").select("bucket", "class", "n", "leader")
+        return rows.join(self.work.keep(sizes.filter("n > 1")), "bucket").select("bucket", "class", "n", "leader")
 
     def _grams(self, wanted: DataFrame) -> DataFrame:
         """The full sets of some classes, from the text of one document of each."""
