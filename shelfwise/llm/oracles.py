@@ -85,15 +85,6 @@ noded AS (
     || '://' || host || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) END AS node
   FROM seen
 ),
-hits AS (
-  SELECT DISTINCT host, path, rule, ruling FROM seen, rules
-  WHERE ('.' || host) LIKE '%.' || split_part(rule, '/', 1)
-    AND starts_with(path, substr(rule, strpos(rule, '/')))
-),
-chosen AS (
-  SELECT host, path, rule, ruling FROM hits
-  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, ruling) = 1
-),
 tags AS (
   SELECT node AS src, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
   FROM noded WHERE node IS NOT NULL
@@ -113,13 +104,25 @@ reach AS (
   UNION SELECT r.node, b.dst FROM reach r JOIN both_ways b ON b.src = r.other
 ),
 lowest AS (SELECT node, min(other) AS low FROM reach GROUP BY node),
+ends AS (
+  SELECT low, regexp_extract(node, '(?s)^.*?://([^/?#]*)', 1) AS host,
+    regexp_extract(node, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM lowest
+),
+hits AS (
+  SELECT DISTINCT host, path, rule, ruling FROM (SELECT host, path FROM seen UNION SELECT host, path FROM ends), rules
+  WHERE ('.' || host) LIKE '%.' || split_part(rule, '/', 1)
+    AND starts_with(path, substr(rule, strpos(rule, '/')))
+),
+chosen AS (
+  SELECT host, path, rule, ruling FROM hits
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, ruling) = 1
+),
 known AS (
   SELECT n.page_id, n.host, n.path, c.rule, c.ruling, coalesce(l.low, n.node) AS alias_group
   FROM noded n LEFT JOIN chosen c USING (host, path) LEFT JOIN lowest l ON l.node = n.node
 )
 SELECT page_id, host, path, rule, alias_group, coalesce(ruling, CASE WHEN alias_group IN (
-    SELECT alias_group FROM known WHERE ruling IS NOT NULL AND alias_group IS NOT NULL
-    GROUP BY alias_group HAVING min(ruling) = 'block')
+    SELECT low FROM ends JOIN chosen USING (host, path) GROUP BY low HAVING min(ruling) = 'block')
   THEN 'block' ELSE 'allow' END) AS verdict
 FROM known
 """

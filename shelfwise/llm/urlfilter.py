@@ -119,7 +119,7 @@ def judged(pages: DataFrame, rules: DataFrame, work: Work) -> DataFrame:
     A page with a rule has the rule's verdict, whatever its aliases have. One without a rule
     is blocked if one of its aliases is blocked by a rule and none is allowed by one:
     aliases are all addresses that redirects and canonical links connect, in either direction and
-    over any number of steps, and pages of the same address. All others are allowed.
+    over any number of steps, whether they are pages here or not. All others are allowed.
     A null url, or one without ://, has an empty host and path, no rule and no aliases. Null
     html has no links. alias_group is the smallest address of the aliases, else null.
     """
@@ -131,7 +131,9 @@ def judged(pages: DataFrame, rules: DataFrame, work: Work) -> DataFrame:
     edges = work.keep(links(pages).distinct())
     groups = work.keep(components(edges, work))
     known = rows.join(groups, "node", "left").withColumn("alias_group", F.coalesce("component", "node"))
-    named = known.filter("rule IS NOT NULL AND alias_group IS NOT NULL")
+    # the rules judge all addresses of a group, also those that are no pages here
+    ends = groups.select("component", host(F.col("node")).alias("host"), path(F.col("node")).alias("path"))
+    named = ruled(ends, rules, work).filter("rule IS NOT NULL").withColumnRenamed("component", "alias_group")
     rulings = named.groupBy("alias_group").agg(F.min("ruling").alias("first"))
     # "allow" sorts before "block": the first is "block" only if there is nothing else
     blocked = rulings.filter(F.col("first") == BLOCK).select("alias_group", F.lit(True).alias("blocked"))
