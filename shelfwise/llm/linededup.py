@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import WORD_PATTERN, Work, fresh, hint_if_small, text_key
+from shelfwise.llm.common import Work, fresh, text_key
 
 #: leading tokens that lead to a leaf of the tree, below the number of tokens
 DEPTH = 3
@@ -19,23 +19,27 @@ MIN_CONSTANT = 0.7
 FIELD = "<*>"
 
 
-def masked(tokens: Column) -> Column:
-    """Tokens with a digit are variable fields from the start."""
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+_WHITE = r"[\x09-\x0D]|  |^ | $"
 
 
-def _hash_all(values: Column) -> Column:
-    return F.xxhash64(F.array_join(values, "\u0001"), F.size(values))
+def normal(line: Column) -> Column:
+    """A line's tokens with one blank between them; tokens with a digit are fields from the start.
+
+    Most lines are so already, so it is only looked whether they are.
+    """
+    plain = F.when(line.rlike(_WHITE), F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(plain)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line of each document, with its leaf and a hash of its masked tokens."""
+    """A row for each line of each document, with its leaf and a hash of its normal form."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
     rows = given.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    rows = rows.withColumn("tokens", masked(F.regexp_extract_all("line", F.lit(WORD_PATTERN), 0)))
-    rows = rows.filter(F.size("tokens") >= MIN_TOKENS)
-    leaf = F.xxhash64(F.size("tokens"), F.array_join(F.slice("tokens", 1, DEPTH), "\u0001"))
-    return rows.select("doc_id", "text_key", "at", "tokens", leaf.alias("leaf"), _hash_all(F.col("tokens")).alias("form"))
+    rows = rows.select("doc_id", "text_key", "at", normal(F.col("line")).alias("line"))
+    blanks = F.length("line") - F.length(F.replace("line", F.lit(" ")))
+    rows = rows.filter((blanks + 1 >= MIN_TOKENS) & (F.col("line") != ""))
+    leaf = F.xxhash64(blanks, F.substring_index("line", " ", DEPTH))
+    return rows.select("doc_id", "text_key", "at", "line", leaf.alias("leaf"), F.xxhash64("line", blanks).alias("form"))
 
 
 class LineTemplates:
@@ -51,6 +55,7 @@ class LineTemplates:
     Leaves are counted on hashes first, so that only lines of leaves with several documents are
     cut into token rows, and each distinct line of a leaf only once, with the number of
     its documents: a line that a third of all documents have is one row after the map side.
+    No side of a join with lines or texts is bounded, so none is hinted for broadcast.
     Documents are told apart by id and text; rows equal in both are one.
     """
 
@@ -69,13 +74,13 @@ class LineTemplates:
         )
         leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("forms"))
         full = leaves.filter(F.col("docs") >= self.min_docs).select("leaf", "forms")
-        wanted = hint_if_small(forms.join(full, "leaf"), self.work)
-        texts = lines.join(wanted.select("leaf", "form", "docs", "forms"), ["leaf", "form"])
+        wanted = forms.join(full, "leaf")
+        texts = lines.select("leaf", "form", "line").join(wanted.select("leaf", "form", "docs", "forms"), ["leaf", "form"])
         # any of the equal ones
         distinct = texts.groupBy("leaf", "form").agg(
-            F.first("tokens").alias("tokens"), F.first("docs").alias("docs"), F.first("forms").alias("forms")
+            F.min("line").alias("line"), F.max("docs").alias("docs"), F.max("forms").alias("forms")
         )
-        distinct = self.work.keep(distinct)
+        distinct = self.work.keep(distinct.withColumn("tokens", F.split("line", " ")).drop("line"))
         single = distinct.filter("forms = 1").select("leaf", "form", "docs", "tokens")
         several = distinct.filter("forms > 1")
         parts = several.select("leaf", "form", "docs", F.posexplode("tokens").alias("place", "token"))
@@ -103,14 +108,14 @@ class LineTemplates:
         candidates = every.join(
             likely.select("leaf", "template", needed.alias("needed")), ["leaf", "template"]
         ).select("leaf", "form", "template", "needed")
-        hits = index.join(hint_if_small(candidates, self.work), ["leaf", "form"])
+        hits = index.join(candidates, ["leaf", "form"])
         hits = self.work.keep(hits.select("doc_id", "text_key", "at", "leaf", "template", "needed"))
         place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "at")
         per_doc = hits.groupBy("leaf", "template", "doc_id", "text_key").agg(F.min(place).alias("first"), F.first("needed").alias("needed"))
         recurring = per_doc.groupBy("leaf", "template").agg(
             F.count(F.lit(1)).alias("docs"), F.min("first").alias("stays"), F.first("needed").alias("needed")
         )
-        recurring = hint_if_small(recurring.filter("docs >= needed").select("leaf", "template", "stays"), self.work)
+        recurring = recurring.filter("docs >= needed").select("leaf", "template", "stays")
         gone = hits.join(recurring, ["leaf", "template"]).filter(place != F.col("stays"))
         return gone.select("doc_id", "text_key", "at").distinct()
 
@@ -123,8 +128,7 @@ def without_recurring_lines(docs: DataFrame, work: Work, **params) -> DataFrame:
     pass through; counts that clash with one are named with a trailing underscore.
     """
     gone = LineTemplates(docs, work, **params).dropped()
-    gone = gone.groupBy("doc_id", "text_key").agg(F.collect_list("at").alias("gone"))
-    gone = hint_if_small(gone, work)
+    gone = work.keep(gone.groupBy("doc_id", "text_key").agg(F.collect_list("at").alias("gone")))
     key, mark = fresh(docs, "text_key"), fresh(docs, "gone")
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), F.col("gone").alias(mark))
     keyed = docs.withColumn(key, text_key())

@@ -284,11 +284,10 @@ def judged(docs: DataFrame, work: Work, cutoff: float = CUTOFF, min_group: int =
 def drop_rejected(docs: DataFrame, work: Work, **params) -> DataFrame:
     """The rows of docs that are kept; all columns pass through.
 
-    The rejected rows' keys are counted and broadcast if they are few; otherwise both
-    sides are shuffled. Rows equal in id and text are judged alike.
+    The rejected rows' keys may be a share of all rows, so the join is left to Spark, which
+    shuffles both sides. Rows equal in id and text are judged alike.
     """
-    found = work.keep(judged(docs, work, **params).filter("NOT kept").select("doc_id", "text_key").distinct())
-    gone = hint_if_small(found, work)
+    gone = work.keep(judged(docs, work, **params).filter("NOT kept").select("doc_id", "text_key").distinct())
     key = fresh(docs, "text_key")
     keyed = docs.withColumn(key, text_key())
     match = keyed["doc_id"].eqNullSafe(gone["doc_id"]) & (keyed[key] == gone["text_key"])
