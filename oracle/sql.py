@@ -932,6 +932,25 @@ SELECT product_id, warehouse_id, {d('qty')} AS qty, {d('unit_cost')} AS unit_cos
   s.qty = 0 AS updated FROM m_stock s"""
 
 
+# --- sinks ---------------------------------------------------------------------------
+Q["stored_sales_window"] = f"""
+SELECT CAST(sale_date AS VARCHAR) AS sale_date, COUNT(*) AS sales_rows, {d('SUM(qty)')} AS units
+FROM m_sales WHERE {recent(30)} GROUP BY sale_date"""
+Q["metrics_sink"] = f"""
+SELECT stock_state, COUNT(*) AS items, {d('SUM(stock)')} AS units FROM m_metrics GROUP BY stock_state"""
+Q["alerts_sink"] = """
+SELECT alert_type, 'PENDIENTE' AS state, COUNT(*) AS alerts FROM a_all GROUP BY alert_type
+UNION ALL
+SELECT alert_type, 'VISTA', COUNT(*) FROM a_all WHERE product_id % 3 = 0 GROUP BY alert_type"""
+Q["page_report"] = """
+WITH pages AS (SELECT doc_no // 200 AS page, COUNT(*) AS records FROM m_docs GROUP BY 1),
+  last AS (SELECT records AS last_records FROM pages ORDER BY page DESC LIMIT 1)
+SELECT COUNT(*) AS pages, CAST(SUM(records) AS BIGINT) AS records,
+  MAX(page) - MIN(page) + 1 = COUNT(*) AND MAX(last_records) < 1000
+    AND COUNT(*) FILTER (WHERE records < 1000) = 1 AS complete,
+  COUNT(*) >= 100 AND MAX(last_records) >= 1000 AS hit_page_limit
+FROM pages, last"""
+
 def _needed(body: str) -> list[str]:
     """The CTEs a query uses, directly or through others, in definition order."""
     found: set[str] = set()

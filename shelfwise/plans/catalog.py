@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,12 @@ from pyspark.sql import types as T
 
 from shelfwise import constants as K
 from shelfwise.functions.bind import let
-from shelfwise.functions.filters import Filters
+from shelfwise.functions import sizes
+from shelfwise.functions.filters import Filters, look_back
 from shelfwise.operators import alerts as A
 from shelfwise.operators import kpis, lifecycle, merges, metrics, purchases, reports, transfers, views
 from shelfwise.plans import daily, load
-from shelfwise.sources import calendar, payloads, records
+from shelfwise.sources import calendar, payloads, records, storage
 from shelfwise.sources import tpch_model as M
 from shelfwise.tables import Tables
 
@@ -762,3 +764,52 @@ def apply_transfer_status(t, spark, sf_dir):
 def retag_stock(t, spark, sf_dir):
     items = t.stock.filter(F.col("qty") == 0).select("product_id", "warehouse_id")
     return lifecycle.retag_stock(t.stock, items, " AGOTADOS ")
+
+
+# --- sinks: written and read back --------------------------------------------------
+
+
+def _root(spark: SparkSession) -> str:
+    """A new folder for tables in the one that all executors share."""
+    return f"{sizes.shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+
+
+@query
+def stored_sales_window(t, spark, sf_dir):
+    """Sales stored by date; the month's rows are read back from their partitions only."""
+    root = _root(spark)
+    storage.append_sales(t.sales, root)
+    month = look_back(storage.read_table(spark, root, "sales"), AS_OF, 30)
+    return month.groupBy("sale_date").agg(F.count(F.lit(1)).alias("sales_rows"), F.sum("qty").alias("units"))
+
+
+@query
+def metrics_sink(t, spark, sf_dir):
+    """The day's metrics written twice: the second run replaces the first."""
+    root, found = _root(spark), M.stored(spark, sf_dir).metrics
+    for _ in range(2):
+        storage.write_metrics(found, root, AS_OF)
+    stored = storage.read_table(spark, root, "metrics")
+    return stored.groupBy("stock_state").agg(F.count(F.lit(1)).alias("items"), F.sum("stock").alias("units"))
+
+
+@query
+def alerts_sink(t, spark, sf_dir):
+    """Pending alerts of the day replaced twice; those handled in between stay beside the new ones."""
+    root, raised = _root(spark), A.alerts(_position(t))
+    storage.replace_pending(raised, root, "alerts", AS_OF)
+    pending = storage.read_table(spark, root, "alerts")
+    handled = F.when(F.col("product_id").cast("long") % 3 == 0, F.lit("VISTA")).otherwise(F.col("state"))
+    changed = _root(spark)
+    storage.replace_partitions(pending.withColumn("state", handled), changed, "alerts")
+    storage.replace_pending(raised, changed, "alerts", AS_OF)
+    stored = storage.read_table(spark, changed, "alerts")
+    return stored.groupBy("alert_type", "state").agg(F.count(F.lit(1)).alias("alerts"))
+
+
+@query
+def page_report(t, spark, sf_dir):
+    """Is a paged extraction of the sales lines complete?"""
+    feed = _sales_feed(spark, sf_dir)
+    page = F.floor(F.col("NUMDOC").cast("long") / PAGE_DOCUMENTS).alias("page")
+    return payloads.page_report(feed.groupBy(page).agg(F.count(F.lit(1)).alias("records")))
