@@ -79,16 +79,21 @@ def alert_list(
             rows = rows.filter(F.col(name) == wanted)
     w = warehouses.select("warehouse_id", F.col("name").alias("warehouse_name"), "region_id")
     names = product_brand.select("product_id", "product_name", "brand_id")
-    rows = (
-        rows.join(names, "product_id", "left")
-        .join(w, "warehouse_id", "left")
-        .filter(f.place() & is_one_of("brand_id", f.brands))
-    )
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.join(names, "product_id", "left").join(w, "warehouse_id", "left")
+
+    # look-ups come before the limit only where a filter needs them
+    early = bool(f.regions or f.warehouses or f.brands)
+    if early:
+        rows = named(rows).filter(f.place() & is_one_of("brand_id", f.brands))
     if f.tags:
         tags = stock.select(*PAIR, "stock_tag")
         rows = rows.join(tags, PAIR, "left").filter(tag_matches("stock_tag", f.tags))
     order = [F.col("generated_on").desc(), "alert_type", "product_id", "warehouse_id"]
     top = rows.orderBy(*order).limit(limit)
+    if not early:
+        top = named(top)
     wanted = F.broadcast(top.select("product_id").distinct())
     near = stock.join(wanted, "product_id", "left_semi")
     handling = [c for c in ("handled_by", "handled_at") if c in alerts.columns]
