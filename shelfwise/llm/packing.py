@@ -29,7 +29,9 @@ CELL_PIECES = 40_000
 _TEXT_CHARS = 2_000_000
 _CUT = len(np.zeros(1, "<u4").tobytes())
 #: a blank and what some engine may take for more white space: where words may not be cut apart
-_BLANK_RUN = re.compile(r" (?=[\s\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]|$)")
+_BLANK_RUN = re.compile(
+    r" (?=[\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]|$)"
+)
 
 
 class Encoder:
