@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.bind import let
 from shelfwise.llm.common import Work, fresh, text_key
 
 #: leading tokens that lead to a leaf of the tree, below the number of tokens
@@ -19,7 +20,7 @@ MIN_CONSTANT = 0.7
 FIELD = "<*>"
 
 
-_WHITE = r"[\x09-\x0D]|  |^ | $"
+_OTHER_WHITE = ("\t", "\x0b", "\x0c", "\r", "  ")
 
 
 def normal(line: Column) -> Column:
@@ -27,19 +28,37 @@ def normal(line: Column) -> Column:
 
     Most lines are so already, so it is only looked whether they are.
     """
-    plain = F.when(line.rlike(_WHITE), F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+    uneven = line.startswith(" ") | line.endswith(" ")
+    for white in _OTHER_WHITE:
+        uneven = uneven | F.contains(line, F.lit(white))
+    plain = F.when(uneven, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
     return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(plain)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line of each document, with its leaf and a hash of its normal form."""
+    """A row for each line of each document, with its leaf and a hash of its normal form.
+
+    Lines are brought into their form and chosen before they become rows: a filter over
+    rows would be moved below the form and have it made again for each of its mentions.
+    """
+
+    def parsed(line: Column, at: Column) -> Column:
+        def fields(form: Column) -> Column:
+            blanks = F.length(form) - F.length(F.replace(form, F.lit(" ")))
+            return F.struct(at.alias("at"), form.alias("line"), blanks.alias("blanks"))
+
+        return let(normal(line), fields)
+
+    def chosen(line: Column) -> Column:
+        return (line["blanks"] + 1 >= MIN_TOKENS) & (line["line"] != "")
+
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    rows = given.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    rows = rows.select("doc_id", "text_key", "at", normal(F.col("line")).alias("line"))
-    blanks = F.length("line") - F.length(F.replace("line", F.lit(" ")))
-    rows = rows.filter((blanks + 1 >= MIN_TOKENS) & (F.col("line") != ""))
-    leaf = F.xxhash64(blanks, F.substring_index("line", " ", DEPTH))
-    return rows.select("doc_id", "text_key", "at", "line", leaf.alias("leaf"), F.xxhash64("line", blanks).alias("form"))
+    forms = F.filter(F.transform(F.split("text", "\n"), parsed), chosen)
+    rows = given.select("doc_id", "text_key", F.inline(forms))
+    leaf = F.xxhash64("blanks", F.substring_index("line", " ", DEPTH))
+    return rows.select(
+        "doc_id", "text_key", "at", "line", leaf.alias("leaf"), F.xxhash64("line", "blanks").alias("form")
+    )
 
 
 class LineTemplates:
