@@ -209,9 +209,12 @@ def write_archives(pages: DataFrame, folder: str, work: Work) -> DataFrame:
 
     A task cuts its rows into archives of ARCHIVE_BYTES. An archive is written under a
     name of its task's attempt and moved to its own name when it is whole, so a repeated or
-    lost task leaves no half archive under that.
+    lost task leaves no half archive under that; as rows are sorted within a task, it
+    writes the same archives again.
     """
     rows = classified(pages, work).select("page_id", "url", "html", "size", "sha1", "refers_to")
+    # a repeated task cuts the same archives only if its rows come in the same order
+    rows = rows.sortWithinPartitions("page_id", "sha1", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _place(folder)
