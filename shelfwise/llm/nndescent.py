@@ -17,19 +17,29 @@ THRESHOLD = 0.95
 #: neighbours of a vector at first, and of saturated vectors at most
 NEIGHBOURS = 10
 MOST_NEIGHBOURS = 80
-#: random-projection trees for the first graph, vectors aimed at in a leaf and allowed in one
+#: random-projection trees made at once; their number follows from MISSED, the probability that
+#: a pair at the threshold shares a leaf of none. Vectors aimed at in a leaf and allowed in one
 TREES = 10
+MISSED = 0.001
 LEAF, LEAF_MOST = 64, 256
 FINER_BITS = 12
 #: rounds end when fewer than this share of neighbours is new
 SETTLED = 0.02
 MAX_ROUNDS = 6
-#: vectors whose links are looked up among all vectors, and the recall below which trees are added
-AUDITED = 256
+#: up to AUDITED vectors each is audited, of more a share down to one in AUDITED_PART; the recall
+#: below which trees are added, and how often before the search is given up with an error
+AUDITED = 20_000
+AUDITED_PART = 50
 RECALL = 0.95
-MORE_TREES = 2
+MORE_TREES = 8
+#: vectors with at most this many links are audited apart
+FEW_LINKS = 3
+#: vectors that are compared with a whole table in one pass over it
+PASS = 20_000
 #: vectors of a block where saturated vectors' links are counted
 BLOCK = 2048
+#: radians by which bounds on angles are widened for rounding
+SLACK = 1e-6
 SEED = 7
 _LIST = "node long, found array<long>, cosines array<double>"
 
@@ -157,9 +167,10 @@ class NeighbourGraph:
     each round every node's neighbours, and a bounded choice of the nodes it is a neighbour of,
     are compared with each other, and lists keep their best. A node whose list is full
     of links is saturated: its list is doubled, up to MOST_NEIGHBOURS; what saturated
-    nodes may still lack is counted later, within their component. Rounds end when little is new.
-    A bounded number of nodes is then compared with all vectors, and where their links
-    are not found to RECALL, trees are added. The recall is kept in ``recall``.
+    nodes may still lack is counted later, among all vectors. Rounds end when little is new.
+    A share of the other nodes is then compared with all of them, pair by pair, and where links
+    are not found to RECALL, of all nodes or of those with FEW_LINKS at most, trees are added; if
+    that does not help, an error tells the figures. The recall is kept in ``recall``.
     """
 
     def __init__(self, nodes: DataFrame, work: Work, threshold: float) -> None:
@@ -169,10 +180,18 @@ class NeighbourGraph:
         self.recall = 1.0
         self.graph: DataFrame | None = None
 
+    def _bits(self) -> int:
+        return min(50, max(1, math.ceil(math.log2(max(2, self.count / LEAF)))))
+
+    def trees(self) -> int:
+        """Trees that a pair at the threshold misses with probability MISSED, in whole calls of TREES."""
+        meet = (1 - math.acos(min(1.0, self.threshold)) / math.pi) ** self._bits()
+        wanted = math.log(MISSED) / math.log1p(-meet) if meet < 1 else 1
+        return TREES * math.ceil(wanted / TREES)
+
     def _leaves(self, first_tree: int, trees: int) -> DataFrame:
         """node and group, a row for each tree."""
-        bits = max(1, math.ceil(math.log2(max(2, self.count / LEAF))))
-        bits = min(bits, 50)
+        bits = self._bits()
         coded = self.nodes.select("node", "vector").mapInArrow(
             _codes(first_tree, trees, bits + FINER_BITS), "node long, codes array<long>"
         )
@@ -240,53 +259,97 @@ class NeighbourGraph:
             if self._round() < SETTLED:
                 break
 
+    def saturated(self) -> DataFrame:
+        full = (F.size("found") >= F.col("k")) & (F.element_at("cosines", -1) >= self.threshold)
+        return self.graph.filter(full).select("node")
+
     def audit(self) -> float:
-        """Recall of links of up to AUDITED nodes, the first by hash, compared with all vectors in blocks."""
-        chosen = self.nodes.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(AUDITED).collect()
-        by_size: dict[int, list] = {}
-        for row in chosen:
-            by_size.setdefault(len(row["vector"]), []).append(row)
-        sets = {
-            size: (
-                np.array([r["node"] for r in rows]),
-                _unit(pa.array([r["vector"] for r in rows], pa.list_(pa.float64())), len(rows)),
-            )
-            for size, rows in by_size.items()
-        }
+        """Recall of links of a share of the nodes that are not saturated, compared with all such nodes.
+
+        Links of saturated nodes are counted among all vectors later and need no audit.
+        """
+        part = min(AUDITED_PART, max(1, self.count // AUDITED))
+        open_ = self.nodes.join(self.saturated(), "node", "left_anti")
+        chosen = open_.filter(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(part)) == 0)
+        chosen = self.work.keep(chosen.join(self.graph.select("node", "found"), "node", "left"))
+        open_ = self.work.keep(open_)
         threshold = self.threshold
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sizes = batch.column(1).value_lengths().to_numpy()
-                for size in set(sizes.tolist()) & set(sets):
-                    part = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                    names = part.column(0).to_numpy()
-                    mine, unit = sets[size]
-                    i, j = np.nonzero(_unit(part.column(1), len(names)) @ unit.T >= threshold)
-                    apart = names[i] != mine[j]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(mine[j][apart]), pa.array(names[i][apart])], names=["node", "other"]
-                    )
-
-        true = self.nodes.select("node", "vector").mapInArrow(run, "node long, other long")
-        mine = self.graph.select("node", F.arrays_zip("found", "cosines").alias("z"), "k", "found")
-        # a saturated list is completed later; of such a node as many links as its list holds are asked for
-        counts = true.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-        held = mine.select("node", "k", F.size(F.filter("z", lambda x: x["cosines"] >= threshold)).alias("have"))
-        joined = counts.join(held, "node", "left")
-        asked = F.least("links", F.coalesce("k", F.lit(NEIGHBOURS)))
-        got, all_ = joined.agg(F.sum(F.least(asked, F.coalesce("have", F.lit(0)))), F.sum(asked)).first()
-        self.recall = got / all_ if all_ else 1.0
+        def compare(asked, batches):
+            names, unit, known = asked
+            for mine, given in batches:
+                i, j = np.nonzero(given @ unit.T >= threshold)
+                apart = mine[i] != names[j]
+                i, j = i[apart], j[apart]
+                got = np.fromiter((mine[a] in known[b] for a, b in zip(i, j, strict=True)), dtype=np.int64, count=len(j))
+                yield pa.RecordBatch.from_arrays([pa.array(names[j]), pa.array(got)], names=["node", "got"])
+
+        total = {True: [0, 0], False: [0, 0]}
+        for asked in _passes(chosen, extra="found"):
+            found = open_.mapInArrow(_against(asked, compare), "node long, got long")
+            each = found.groupBy("node").agg(F.count(F.lit(1)).alias("links"), F.sum("got").alias("got"))
+            sums = each.groupBy((F.col("links") <= FEW_LINKS).alias("few")).agg(F.sum("got"), F.sum("links"))
+            for few, got, links in sums.collect():
+                total[few][0] += got
+                total[few][1] += links
+        self.work.drop(chosen, open_)
+        self.audited = total
+        self.recall = min(got / links if links else 1.0 for got, links in total.values())
         return self.recall
 
     def build(self) -> None:
-        self.add_trees(0, TREES)
+        planned = self.trees()
+        for first in range(0, planned, TREES):
+            self.add_trees(first, TREES)
         self.descend()
-        for more in range(MORE_TREES):
+        for more in range(MORE_TREES + 1):
             if self.audit() >= RECALL:
-                break
-            self.add_trees(1 + more, TREES)
-            self.descend()
+                return
+            if more < MORE_TREES:
+                self.add_trees(planned + more * TREES, TREES)
+                self.descend()
+        raise RuntimeError(
+            f"recall of links {self.recall:.4f} is below {RECALL} after {planned + MORE_TREES * TREES} trees; "
+            f"found and true links of audited vectors with few links {self.audited[True]}, with more {self.audited[False]}"
+        )
+
+
+def _passes(rows: DataFrame, extra: str) -> Iterator[dict[int, tuple]]:
+    """rows (node, vector, extra) in parts of about PASS rows: names, unit vectors and extras by length of vector."""
+    parts = max(1, math.ceil(rows.count() / PASS))
+    for part in range(parts):
+        at = rows.filter(F.pmod(F.xxhash64(F.lit(SEED + 1), "node"), F.lit(parts)) == part)
+        table = at.select("node", "vector", extra).toArrow()
+        if not table.num_rows:
+            continue
+        sizes = np.array([len(v) for v in table.column(1)])
+        by_size = {}
+        for size in np.unique(sizes):
+            some = table.take(pa.array(np.flatnonzero(sizes == size)))
+            extras = some.column(2).to_pylist()
+            if extra == "found":
+                extras = [frozenset(e or ()) for e in extras]
+            by_size[int(size)] = (some.column(0).to_numpy(), _unit(some.column(1), some.num_rows), extras)
+        yield by_size
+
+
+def _against(asked: dict[int, tuple], compare):
+    """Batches of node and vector, cut to vectors of one length and to some rows, go to compare with the asked ones."""
+
+    def cut(batches, size):
+        for batch in batches:
+            sizes = batch.column("vector").value_lengths().to_numpy()
+            part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+            for start in range(0, part.num_rows, 512):
+                some = part.slice(start, 512)
+                yield some.column("node").to_numpy(), _unit(some.column("vector"), some.num_rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for size, given in asked.items():
+                yield from compare(given, cut([batch], size))
+
+    return run
 
 
 def _usable(col: str):
@@ -294,6 +357,47 @@ def _usable(col: str):
     return F.col(col).isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(col, lambda x: x != 0)
 
 
+def _near(asked: DataFrame, nodes: DataFrame, work: Work, threshold: float) -> DataFrame:
+    """component and node: which vectors may be linked to a saturated one of a component.
+
+    asked: node, component, vector. The saturated vectors of a component lie within an angle
+    of one of them; a vector linked to one lies within that angle and the threshold's. Others are
+    farther, whatever component they are in, so nothing that can be linked is left out.
+    """
+    centres = asked.groupBy("component").agg(F.min_by("vector", "node").alias("centre"))
+
+    def widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cosines = np.empty(batch.num_rows)
+            sizes = batch.column(1).value_lengths().to_numpy()
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                part = batch.take(pa.array(at))
+                cosines[at] = np.einsum("ij,ij->i", _unit(part.column(1), len(at)), _unit(part.column(2), len(at)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cosines)], names=["component", "cosine"])
+
+    spread = asked.join(centres, "component").select("component", "vector", "centre")
+    spread = spread.mapInArrow(widest, "component long, cosine double").groupBy("component").agg(F.min("cosine").alias("low"))
+    reach = F.acos(F.least(F.greatest("low", F.lit(-1.0)), F.lit(1.0))) + math.acos(threshold) + 2 * SLACK
+    bound = F.when(reach >= math.pi, F.lit(-2.0)).otherwise(F.cos(reach))
+    centres = centres.join(spread, "component").select(
+        F.col("component").alias("node"), F.col("centre").alias("vector"), bound.alias("bound")
+    )
+    centres = work.keep(centres)
+
+    def compare(given, batches):
+        names, unit, bounds = given
+        for mine, vectors in batches:
+            i, j = np.nonzero(vectors @ unit.T >= np.array(bounds))
+            yield pa.RecordBatch.from_arrays([pa.array(names[j]), pa.array(mine[i])], names=["component", "node"])
+
+    found = None
+    for part in _passes(centres, extra="bound"):
+        rows = work.keep(nodes.select("node", "vector").mapInArrow(_against(part, compare), "component long, node long"))
+        found = rows if found is None else found.unionByName(rows)
+    return nodes.select(F.lit(0).cast("long").alias("component"), "node").limit(0) if found is None else found
+
+
 def _within_cells(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_value(batches, "cell"):
@@ -303,21 +407,39 @@ def _within_cells(threshold: float):
                 continue
             names = table.column("node").to_numpy()
             weights = table.column("copies").to_numpy().astype(np.int64)
+            full = table.column("full").to_numpy(zero_copy_only=False).astype(bool)
+            own = table.column("own").to_numpy()
             unit = _unit(table.column("vector"), len(names))
             linked = unit[asks] @ unit[gives].T >= threshold
             linked &= names[asks][:, None] != names[gives][None, :]
+            other = gives[linked.any(axis=0)]
+            # what a vector that is not asked for gets from those that are
+            back = linked[:, ~full[gives]].T.astype(np.int64) @ weights[asks]
+            to = names[gives][~full[gives]]
+            nodes = np.concatenate([names[asks], to[back > 0]])
+            links = np.concatenate([linked.astype(np.int64) @ weights[gives], back[back > 0]])
+            reached = np.unique(own[other])
+            reached = reached[reached != own[asks[0]]]
+            empty, more = np.zeros(len(nodes), dtype=np.int64), len(reached)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[asks]), pa.array(linked.astype(np.int64) @ weights[gives])], names=["node", "links"]
+                [
+                    pa.array(np.concatenate([nodes, np.full(more, own[asks[0]])])),
+                    pa.array(np.concatenate([links, np.zeros(more, dtype=np.int64)])),
+                    pa.array(np.concatenate([empty, reached]), mask=np.arange(len(nodes) + more) < len(nodes)),
+                ],
+                names=["node", "links", "reached"],
             )
 
     return run
 
 
 def _counted_whole(asked: DataFrame, members: DataFrame, work: Work, threshold: float) -> DataFrame:
-    """node and links of saturated nodes: each is compared with all of its component, in pairs of blocks.
+    """Links of saturated nodes: each is compared with all that may be linked to its component, in pairs of blocks.
 
-    asked: node, component; members: node, component, copies, vector of these components. Counts,
-    not links, come out: a row for a node and block.
+    asked: node, component; members: node, component it may be linked to, own component,
+    copies, full (whether it is asked for itself), vector. Counts, not links, come out: node and
+    links, a row for a node and block, also of nodes that are not asked for, with their links to those
+    that are; and rows with a component as node and another one that is reached from it.
     """
     sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("gives"))
     wants = asked.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("asks"))
@@ -339,17 +461,17 @@ def _counted_whole(asked: DataFrame, members: DataFrame, work: Work, threshold:
         F.coalesce("asks", F.lit(False)).alias("asks"),
         F.coalesce("gives", F.lit(False)).alias("gives"),
     )
-    wide = both.join(members.select("node", "copies", "vector"), "node")
+    wide = both.join(members.select("node", "own", "copies", "full", "vector").dropDuplicates(["node"]), "node")
+    wide = wide.withColumn("cell", F.xxhash64("cell", F.size("vector")))
     wide = wide.repartition("cell").sortWithinPartitions("cell")
-    counts = wide.mapInArrow(_within_cells(threshold), "node long, links long")
-    return counts.groupBy("node").agg(F.sum("links").alias("links"))
+    return work.keep(wide.mapInArrow(_within_cells(threshold), "node long, links long, reached long"))
 
 
 def linked_vectors(vectors: DataFrame, work: Work, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of vectors (vec_id, embedding).
 
-    n_links counts the other rows at a cosine of threshold or more that were found; equal
-    vectors are linked and are counted without being compared. component_id is the smallest
+    n_links counts the other rows at a cosine of threshold or more that were found, all of them for
+    vectors with more than a list holds; equal vectors are linked and are counted without being compared. component_id is the smallest
     id reachable by links, itself included (null ids are not counted; null for a group
     of null ids only), kept whether it is the row's own, nulls being equal.
     Rows without a vector, and vectors that are zero, empty or hold null or non-finite numbers,
@@ -376,22 +498,31 @@ def linked_vectors(vectors: DataFrame, work: Work, threshold: float = THRESHOLD)
     groups = work.keep(components(edges, work))
     named = nodes.select("node", "copies", "low").join(groups, "node", "left")
     named = work.keep(named.withColumn("component", F.coalesce("component", "node")))
+    asked = work.keep(search.saturated().join(named.select("node", "component"), "node"))
+    vector_of = nodes.select("node", "vector")
+    near = _near(asked.join(vector_of, "node"), vector_of, work, threshold)
+    full = asked.select("node", F.lit(True).alias("full"))
+    known = named.select("node", "copies", F.col("component").alias("own")).join(full, "node", "left")
+    known = work.keep(known.withColumn("full", F.coalesce("full", F.lit(False))).join(vector_of, "node"))
+    whole = _counted_whole(asked, near.join(known, "node"), work, threshold)
+    counts = whole.filter("reached IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
+    # components that only links which no list had room for hold together
+    bridges = whole.filter("reached IS NOT NULL").select(F.col("node").alias("src"), F.col("reached").alias("dst")).distinct()
+    joined = components(bridges, work).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+    named = named.join(joined, "component", "left").withColumn("component", F.coalesce("wider", "component")).drop("wider")
+    named = work.keep(named)
+    # links among the others; those with a saturated node are in counts for both ends
     ends = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    weights = nodes.select(F.col("node").alias("dst"), "copies")
-    listed = ends.join(weights, "dst").groupBy("src").agg(F.sum("copies").alias("listed"), F.count(F.lit(1)).alias("near"))
-    saturated = graph.filter((F.size("found") >= F.col("k")) & (F.element_at("cosines", -1) >= threshold)).select("node")
-    asked = work.keep(saturated.join(named.select("node", "component"), "node"))
-    involved = asked.select("component").distinct()
-    members = named.select("node", "component", "copies").join(involved, "component", "left_semi")
-    members = members.join(nodes.select("node", "vector"), "node")
-    whole = _counted_whole(asked, members, work, threshold)
+    weights = known.filter("NOT full").select(F.col("node").alias("dst"), "copies")
+    listed = ends.join(weights, "dst").groupBy("src").agg(F.sum("copies").alias("listed"))
+    listed = listed.join(full.select(F.col("node").alias("src")), "src", "left_anti")
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     counted = (
         named.join(lowest, "component")
         .join(listed.select(F.col("src").alias("node"), "listed"), "node", "left")
-        .join(whole, "node", "left")
+        .join(counts, "node", "left")
     )
-    links = F.coalesce("links", "listed", F.lit(0)) + F.col("copies") - 1
+    links = F.coalesce("links", F.lit(0)) + F.coalesce("listed", F.lit(0)) + F.col("copies") - 1
     result = counted.select("node", links.alias("n_links"), "component_id")
     linked = rows.filter("usable").select("vec_id", "node").join(result, "node")
     alone = rows.filter("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -308,6 +308,27 @@ def test_vector_links_equal_brute_force(spark):
     assert nndescent.linked_vectors(frame.limit(0), Work(spark)).count() == 0
 
 
+def two_groups(sizes, dim=16, apart=0.9575, noise=0.006, seed=3):
+    """Tight groups, each vector of one linked to each of the other but nearer to its own."""
+    rng = np.random.default_rng(seed)
+    first, second = np.eye(dim)[0], np.eye(dim)[1]
+    second = apart * first + np.sqrt(1 - apart**2) * second
+    rows = [c + noise * rng.standard_normal(dim) for c, n in zip((first, second), sizes, strict=True) for _ in range(n)]
+    return [[float(x) for x in r] for r in rows]
+
+
+def test_links_beyond_full_lists_cross_groups(spark):
+    vectors = two_groups((100, 100)) + [[0.0] * 15 + [1.0]]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in nndescent.linked_vectors(frame, Work(spark)).collect()}
+    unit = np.array(vectors)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    assert near[:100, 100:200].mean() > 0.5
+    assert [got[i]["n_links"] for i in range(201)] == (near.sum(axis=1) - 1).tolist()
+    assert {got[i]["component_id"] for i in range(200)} == {0} and got[200]["component_id"] == 200
+
+
 # --- archives ---------------------------------------------------------------------
 
 
