@@ -50,6 +50,16 @@ _FINDER = re.compile(
 )
 #: each find has one of these and lies within a line
 _HINT = re.compile(r"[0-9@]")
+#: length of an IBAN by country; of others any end of a group is tried
+_IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24,
+    "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29,
+    "VG": 24, "XK": 20,
+}
 _HEX = re.compile(r"[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}")
 #: longer strings are permuted in parts of this length
 _PART = 64
@@ -272,6 +282,14 @@ class Pseudonyms:
 
     _intl = _phone
 
+    def _prefixes(self, kind: str, found: str) -> list[str]:
+        """The find and, of an IBAN, what is left of it at its other group ends: its country's length first."""
+        if kind != "iban":
+            return [found]
+        ends = [found, *(found[:at] for at in range(len(found) - 1, 0, -1) if found[at] == " ")]
+        length = _IBAN_LENGTHS.get(found[:2])
+        return sorted(ends, key=lambda e: len(e.replace(" ", "")) != length)
+
     #: the count that each find adds to
     NAMES = {
         "aws": "secret", "value": "secret", "hex": "secret", "iso": "date", "dmy": "date", "named_day": "date",
@@ -284,23 +302,38 @@ class Pseudonyms:
         if not text or not _HINT.search(text):
             return text, counts
 
-        def replace(match: re.Match) -> str:
+        def replaced(match: re.Match) -> tuple[str, int] | None:
+            """The pseudonym of a find and where what it replaces ends; None if nothing of it is valid."""
             found, kind = match[0], next(k for k in _GROUPS if match[k] is not None)
             if kind == "named":
                 kind, value = "value", match["value"]
                 made = self.memo[kind, value]
-                whole = made and found[: len(found) - len(value)] + made
+                whole, end = made and found[: len(found) - len(value)] + made, match.end()
             else:
-                whole = self.memo[kind, found]
+                for prefix in self._prefixes(kind, found):
+                    whole, end = self.memo[kind, prefix], match.start() + len(prefix)
+                    if whole is not None:
+                        break
             if whole is None:
-                return found
+                return None
             counts[KINDS.index(self.NAMES.get(kind, kind))] += 1
-            return whole
+            return whole, end
+
+        def line_of(line: str) -> str:
+            out, done, at = [], 0, 0
+            while match := _FINDER.search(line, at):
+                if (new := replaced(match)) is None:
+                    # an IBAN's groups may hide the beginning of another find
+                    at = match.start() + 1 if match["iban"] else match.end()
+                    continue
+                out += [line[done : match.start()], new[0]]
+                done = at = new[1]
+            return "".join(out) + line[done:]
 
         lines = text.split("\n")
         for i, line in enumerate(lines):
             if _HINT.search(line):
-                lines[i] = _FINDER.sub(replace, line)
+                lines[i] = line_of(line)
         return "\n".join(lines), counts
 
 

@@ -496,6 +496,24 @@ def test_pseudonyms_keep_format_and_turn_back():
     assert pii.Pseudonyms(b"other").text(PRIVATE[1])[0] != forth.text(PRIVATE[1])[0]
 
 
+@pytest.mark.parametrize("value", ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201"])
+@pytest.mark.parametrize("after", [" BIC CAIX", " 2024", " BIC", " 2024-02-29", " CAIX 4111-1111-1111-1111", " A1"])
+def test_ibans_before_short_tokens(value, after):
+    forth, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", back=True)
+    text = f"IBAN {value}{after}"
+    made, counts = forth.text(text)
+    assert value not in made and counts[pii.KINDS.index("iban")] == 1
+    assert sum(counts) == 1 + bool(re.search("[0-9]-", after))
+    assert len(made) == len(text) and back.text(made)[0] == text
+    if sum(counts) == 1:
+        assert made.endswith(after)
+
+
+def test_finds_behind_an_invalid_iban():
+    made, counts = pii.Pseudonyms(b"key").text("AB12 XY34 ES91 2100 0418 4502 0005 1332.")
+    assert made.startswith("AB12 XY34 ES") and "2100 0418" not in made and sum(counts) == 1
+
+
 def test_pseudonyms_of_odd_rows(spark):
     frame = odd(spark).unionByName(docs_of(spark, [(20, f"x {PRIVATE[1]}\n{PRIVATE[1]}", "s")]), allowMissingColumns=True)
     got = pii.pseudonymised(frame)
