@@ -666,18 +666,26 @@ def payload_sales(t, spark, sf_dir):
     )
 
 
-@query
-def payload_errors(t, spark, sf_dir):
-    """Unreadable texts by source: an element that is no JSON, or no element at all."""
-    feed = _sales_feed(spark, sf_dir).withColumn("doc", F.col("NUMDOC").cast("long"))
-    bad = feed.filter(F.col("doc") % 5 == 4)
-    landed = bad.select(
-        F.concat(F.lit("page "), (F.col("doc") % SOURCES).cast("string")).alias("source"),
+def _line_payloads(feed: DataFrame) -> DataFrame:
+    """Each sales line as a landed text of its own, unreadable for every fifth document."""
+    doc = F.col("NUMDOC").cast("long")
+    record = F.to_json(F.struct(*[c for c in feed.columns if c != "seq"]))
+    inner = F.when(doc % 5 == 4, F.concat("NUMDOC", F.lit(" and no record"))).otherwise(
+        F.concat(F.lit("["), record, F.lit("]"))
+    )
+    return feed.select(
+        F.concat(F.lit("page "), (doc % SOURCES).cast("string")).alias("source"),
         F.lit(1).cast("long").alias("page"),
-        F.when(F.col("doc") % 2 == 0, "<e><Other>nothing here</Other></e>")
-        .otherwise(F.concat(F.lit("<e><SalesResult>"), "NUMDOC", F.lit(" and no record</SalesResult></e>")))
+        F.when((doc % 5 == 4) & (doc % 2 == 0), "<e><Other>nothing here</Other></e>")
+        .otherwise(F.concat(F.lit("<e><SalesResult>"), inner, F.lit("</SalesResult></e>")))
         .alias("body"),
     )
+
+
+@query
+def payload_errors(t, spark, sf_dir):
+    """Unreadable texts among all by source: an element that is no JSON, or no element at all."""
+    landed = _line_payloads(_sales_feed(spark, sf_dir))
     bad = payloads.quarantine(payloads.decode(landed, "Result"))
     return bad.groupBy("source", "status").agg(F.count(F.lit(1)).alias("payloads"))
 

@@ -172,3 +172,13 @@ def test_load_selection():
     assert calendar.select_load(today, "stock").sales_from is None
     with pytest.raises(ValueError):
         calendar.select_load(today, "other")
+
+
+def test_every_sales_line_is_judged(spark):
+    from shelfwise.plans import catalog
+
+    fields = ("NUMDOC", "REFER")
+    feed = spark.createDataFrame([(str(i), "r") for i in range(40)], ", ".join(f"{f} string" for f in fields))
+    decoded = payloads.decode(catalog._line_payloads(feed), "Result")
+    got = {r["status"]: r["n"] for r in decoded.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert got == {"ok": 32, "raw": 4, "error": 4}
