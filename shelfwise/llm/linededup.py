@@ -10,8 +10,11 @@ from shelfwise.llm.common import Work, fresh, text_key
 
 #: leading tokens that lead to a leaf of the tree, below the number of tokens
 DEPTH = 3
-#: lines with fewer tokens are left alone
+#: lines with fewer tokens are short: their leaf is the whole line, they need more documents and
+#: half of their tokens constant
 MIN_TOKENS = 3
+MIN_DOCS_SHORT = 20
+MIN_CONSTANT_SHORT = 0.5
 #: documents in which a template recurs, if it is a line as it stands, and if it has variable fields
 MIN_DOCS = 5
 MIN_DOCS_VARIABLE = 10
@@ -50,7 +53,7 @@ def _lines(docs: DataFrame) -> DataFrame:
         return let(normal(line), fields)
 
     def chosen(line: Column) -> Column:
-        return (line["blanks"] + 1 >= MIN_TOKENS) & (line["line"] != "")
+        return line["line"] != ""
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
     forms = F.filter(F.transform(F.split("text", "\n"), parsed), chosen)
@@ -122,8 +125,14 @@ class LineTemplates:
         totals = every.groupBy("leaf", "template").agg(
             F.sum("docs").alias("docs"), F.first("size").alias("size"), F.first("fixed").alias("fixed")
         )
-        needed = F.when(F.col("fixed") == F.col("size"), self.min_docs).otherwise(self.min_docs_variable)
-        likely = totals.filter((F.col("docs") >= needed) & (F.col("fixed") >= MIN_CONSTANT * F.col("size")))
+        short = F.col("size") < MIN_TOKENS
+        needed = (
+            F.when(short, MIN_DOCS_SHORT)
+            .when(F.col("fixed") == F.col("size"), self.min_docs)
+            .otherwise(self.min_docs_variable)
+        )
+        constant = F.when(short, MIN_CONSTANT_SHORT).otherwise(MIN_CONSTANT)
+        likely = totals.filter((F.col("docs") >= needed) & (F.col("fixed") >= constant * F.col("size")))
         candidates = every.join(
             likely.select("leaf", "template", needed.alias("needed")), ["leaf", "template"]
         ).select("leaf", "form", "template", "needed")

@@ -144,6 +144,13 @@ def test_recurring_templates_leave_one_line(spark):
     assert all(r["text"] == rows[i][1].split("\n")[0] + "\nshort" and r["n_dropped"] == 2 for i, r in enumerate(got) if i)
 
 
+def test_short_lines_recur(spark):
+    rows = [(i, f"{chr(97 + i)} line of its own\nMenu\nRead more\nPage {i}\n{i}", "s") for i in range(20)]
+    got = linededup.without_recurring_lines(docs_of(spark, rows), Work(spark)).orderBy("doc_id").collect()
+    assert got[0]["text"] == rows[0][1]
+    assert all(r["text"] == f"{chr(97 + i)} line of its own\n{i}" for i, r in enumerate(got) if i)
+
+
 def test_line_dedup_of_odd_rows(spark):
     frame = odd(spark)
     got = linededup.without_recurring_lines(frame, Work(spark))
