@@ -18,6 +18,9 @@ MIN_CONSTANT_SHORT = 0.5
 #: documents in which a template recurs, if it is a line as it stands, and if it has variable fields
 MIN_DOCS = 5
 MIN_DOCS_VARIABLE = 10
+#: constant lines of so many tokens are long, and recur in so many documents already where that is asked for
+LONG_TOKENS = 10
+LONG_DOCS = 2
 #: share of a template's tokens that must be constant
 MIN_CONSTANT = 0.7
 FIELD = "<*>"
@@ -81,8 +84,17 @@ class LineTemplates:
     Documents are told apart by id and text; rows equal in both are one.
     """
 
-    def __init__(self, docs: DataFrame, work: Work, min_docs: int = MIN_DOCS, min_docs_variable: int = MIN_DOCS_VARIABLE):
+    def __init__(
+        self,
+        docs: DataFrame,
+        work: Work,
+        min_docs: int = MIN_DOCS,
+        min_docs_variable: int = MIN_DOCS_VARIABLE,
+        long_docs: int | None = None,
+    ):
         self.docs, self.work = docs, work
+        # without long_docs, long lines need min_docs like others
+        self.long_docs = min_docs if long_docs is None else min(long_docs, min_docs)
         self.min_docs, self.min_docs_variable = min_docs, min_docs_variable
 
     def dropped(self) -> DataFrame:
@@ -95,7 +107,7 @@ class LineTemplates:
             index.select("leaf", "form", owner).distinct().groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("docs"))
         )
         leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("forms"))
-        full = leaves.filter(F.col("docs") >= self.min_docs).select("leaf", "forms")
+        full = leaves.filter(F.col("docs") >= self.long_docs).select("leaf", "forms")
         wanted = forms.join(full, "leaf")
         texts = lines.select("leaf", "form", "line").join(wanted.select("leaf", "form", "docs", "forms"), ["leaf", "form"])
         # any of the equal ones
@@ -136,6 +148,14 @@ class LineTemplates:
         candidates = every.join(
             likely.select("leaf", "template", needed.alias("needed")), ["leaf", "template"]
         ).select("leaf", "form", "template", "needed")
+        if self.long_docs < self.min_docs:
+            # a long line as it stands is a template of its own, within that of the tree: what stays of
+            # the tree's is the first of its own too, so both can be dropped by
+            long = distinct.filter((F.size("tokens") >= LONG_TOKENS) & ~F.array_contains("tokens", FIELD))
+            long = long.filter(F.col("docs") >= self.long_docs).select(
+                "leaf", "form", F.xxhash64(F.lit("long"), "form").alias("template"), F.lit(self.long_docs).alias("needed")
+            )
+            candidates = candidates.unionByName(long)
         hits = index.join(candidates, ["leaf", "form"])
         hits = self.work.keep(hits.select("doc_id", "text_key", "at", "leaf", "template", "needed"))
         place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "at")

@@ -50,7 +50,8 @@ def op10_pseudonyms(spark, sf_dir):
 
 @query
 def op1_line_templates(spark, sf_dir):
-    found = linededup.without_recurring_lines(table(spark, sf_dir, "documents"), Work(spark))
+    docs = table(spark, sf_dir, "documents")
+    found = linededup.without_recurring_lines(docs, Work(spark), long_docs=linededup.LONG_DOCS)
     return found.select("doc_id", "text", "n_lines", "n_dropped")
 
 

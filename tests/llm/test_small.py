@@ -151,6 +151,17 @@ def test_short_lines_recur(spark):
     assert all(r["text"] == f"{chr(97 + i)} line of its own\n{i}" for i, r in enumerate(got) if i)
 
 
+def test_long_lines_recur_in_two_documents(spark, monkeypatch):
+    from shelfwise.llm import queries
+
+    long = "a long line of ten words or more that is repeated"
+    rows = [(1, f"first own line\n{long}", "s"), (2, f"{long}\nsecond own line\nfour words only here", "s")]
+    rows += [(3, f"a long line of ten words or else that stands alone\nfour words only here\n{long} 7", "s")]
+    monkeypatch.setattr(queries, "table", lambda *_: docs_of(spark, rows))
+    got = {r["doc_id"]: r["text"] for r in queries.op1_line_templates(spark, "").collect()}
+    assert got == {1: rows[0][1], 2: "second own line\nfour words only here", 3: rows[2][1]}
+
+
 def test_line_dedup_of_odd_rows(spark):
     frame = odd(spark)
     got = linededup.without_recurring_lines(frame, Work(spark))
