@@ -159,6 +159,8 @@ class NearDuplicates:
     beside their largest component are split by a second band first. Links are
     confirmed on the full sets. With 30 bands of 5 slots a
     pair at 0.8 meets in no band with a probability of 7e-6, and one at 0.85 with 6e-8.
+    Where such a large bucket is the only one a pair at 0.8 shares, it is not compared either: if all
+    its buckets may be large, it is missed with a probability of up to 1.1e-4.
 
     Without words or text a document's set is empty and it is linked with nothing. Rows
     equal in id and text are one document; rows with a null id take part like all others.
