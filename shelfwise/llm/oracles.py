@@ -139,9 +139,50 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM sized LEFT JOIN first USING (payload_digest)
 """
 
+#: the CRC-32 of the id's digits is formed bit by bit
+_TRIE = r"""
+WITH told AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT c, list(struct_pack(role, text) ORDER BY r) AS turns FROM told GROUP BY c),
+heads AS (
+  SELECT c, turns, (xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(range(1, strlen(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::BIGINT),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda bits, _: xor(bits >> 1, 3988292384 * (bits & 1))))) % 4)::BIGINT AS h
+  FROM own
+),
+rebuilt AS (
+  SELECT o.c, list_concat(CASE WHEN b.turns IS NULL THEN [] ELSE b.turns[1:o.h] END, o.turns[o.h + 1:]) AS turns
+  FROM heads o LEFT JOIN own b ON b.c = o.c - o.c % 20
+),
+begun AS (
+  SELECT c, turns[1:d] AS prefix, d, len(turns) = d AS ends, turns[d].text AS text
+  FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+  SELECT prefix, d, min(c) AS low, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ended,
+    CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(any_value(text), '[^\x20\x09-\x0D]+')) END AS words
+  FROM begun GROUP BY prefix, d
+),
+children AS (SELECT prefix[1:d - 1] AS prefix, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+known AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN children k USING (prefix)),
+subtrees AS (
+  SELECT prefix[1:a] AS prefix, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM known) GROUP BY ALL
+)
+SELECT k.low AS conv_id, k.d AS depth, p.low AS parent_conv_id, k.n_convs, k.n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(k.ended) AS ends_sha256
+FROM known k JOIN subtrees s USING (prefix) LEFT JOIN nodes p ON k.d > 0 AND p.prefix = k.prefix[1:k.d - 1]
+"""
+
 ORACLES: dict[str, str] = {
     "op2_minhash_groups": _MINHASH,
     "op3_source_mix": _MIXING,
     "op5_url_verdicts": _URLS,
     "op7_warc_records": _WARC,
+    "op13_conversation_trie": _TRIE,
 }

@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import linededup, minhash, mixing, nndescent, packing, pii, quality, tokencount, urlfilter, warc
+from shelfwise.llm import (
+    convtrie,
+    linededup,
+    minhash,
+    mixing,
+    nndescent,
+    packing,
+    pii,
+    quality,
+    tokencount,
+    urlfilter,
+    warc,
+    whitening,
+)
 from shelfwise.llm.common import Work, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +81,13 @@ def op7_warc_records(spark, sf_dir):
 @query
 def op6_embedding_links(spark, sf_dir):
     return nndescent.linked_vectors(table(spark, sf_dir, "embeddings"), Work(spark))
+
+
+@query
+def op12_whitened_embeddings(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), Work(spark))
+
+
+@query
+def op13_conversation_trie(spark, sf_dir):
+    return convtrie.trie_nodes(table(spark, sf_dir, "conversations"), Work(spark))
