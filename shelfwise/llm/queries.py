@@ -15,6 +15,7 @@ from shelfwise.llm import (
     packing,
     pii,
     quality,
+    runindex,
     tokencount,
     urlfilter,
     warc,
@@ -91,3 +92,8 @@ def op12_whitened_embeddings(spark, sf_dir):
 @query
 def op13_conversation_trie(spark, sf_dir):
     return convtrie.trie_nodes(table(spark, sf_dir, "conversations"), Work(spark))
+
+
+@query
+def op11_repeated_bytes(spark, sf_dir):
+    return runindex.without_repeats(table(spark, sf_dir, "documents"), Work(spark)).drop("spans")
