@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,18 +23,39 @@ MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 200
 #: share of a group's rows whose covariance determinant is made as small as possible
 CORE_SHARE = 0.75
-#: rows beyond this many squared robust deviations are rejected
-CUTOFF = 60.0
-MAX_STEPS = 12
+#: rows are rejected beyond the distance that this share of normal rows keeps
+QUANTILE = 0.999
+MAX_STEPS = 60
 #: least standard deviation of each statistic, so that constant ones leave the covariance regular
 FLOORS = (0.06, 0.05, 0.06, 0.12)
 _WIDTH = len(FLOORS)
 #: histogram of squared distances: bins per doubling, and the number of doublings each way
 _PER_DOUBLING, _DOUBLINGS = 16, 40
+#: the pool of all rows
+ALL = "[]"
 _BLANK = " \t\n\x0b\x0c\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def chi_square(x: float, degrees: int) -> float:
+    """The share of squared distances below x, for an even number of degrees."""
+    term, total = 1.0, 1.0
+    for k in range(1, degrees // 2):
+        term *= x / 2 / k
+        total += term
+    return 1 - math.exp(-x / 2) * total
+
+
+def chi_square_quantile(share: float, degrees: int = _WIDTH) -> float:
+    low, high = 0.0, 1.0
+    while chi_square(high, degrees) < share:
+        high *= 2
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, degrees) < share else (low, middle)
+    return high
+
+
 def text_counts(text: str | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a whole text."""
     if not text:
@@ -127,7 +150,9 @@ def _packed(center: np.ndarray, cov: np.ndarray) -> list[float]:
 
 
 def _floor(cov: np.ndarray) -> np.ndarray:
-    return cov + np.diag(np.square(FLOORS))
+    """The covariance with each variance raised to its floor, where it is below."""
+    low = np.maximum(np.diag(cov), np.square(FLOORS))
+    return cov + np.diag(low - np.diag(cov))
 
 
 def _spread(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
@@ -141,8 +166,9 @@ def _spread(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     return center, cov, n
 
 
-#: consistency: a covariance of the nearest share of normal rows is too small by this factor
-_CONSISTENCY = {0.5: 2.2, 0.75: 1.5}
+def consistency(share: float = CORE_SHARE) -> float:
+    """By how much the covariance of the nearest share of normal rows is too small."""
+    return share / chi_square(chi_square_quantile(share), _WIDTH + 2)
 
 
 def _concentrate(frame: pd.DataFrame) -> pd.DataFrame:
@@ -155,7 +181,7 @@ def _concentrate(frame: pd.DataFrame) -> pd.DataFrame:
         {
             "pool": frame["pool"].iloc[:1].to_numpy(),
             "start": frame["start"].iloc[:1].to_numpy(),
-            "params": [_packed(center, _floor(cov * _CONSISTENCY[CORE_SHARE]))],
+            "params": [_packed(center, _floor(cov * consistency()))],
         }
     )
 
@@ -172,8 +198,8 @@ def _moments() -> list[Column]:
 class RobustOutliers:
     """Minimum-covariance-determinant estimates per pool of rows, by concentration steps over all of them.
 
-    A pool is a language and source, or what is left of a language or of all rows where those
-    have fewer than MIN_GROUP rows. Each step measures the distance of every row from its
+    A pool is a language and source, or what is left of a language where those have fewer than
+    MIN_GROUP rows; languages of which less is left are compared with all rows. Each step measures the distance of every row from its
     pool's estimate, sums moments per pool and bin of distance (on the map side, so that
     a pool with a third of all rows is no larger than another after it), and takes the
     moments of the nearest CORE_SHARE of the rows as the next estimate; the determinant falls
@@ -239,42 +265,52 @@ class RobustOutliers:
             if total is None or (last is not None and abs(total - last) < 1e-3):
                 break
             last = total
+        else:
+            warnings.warn(f"estimates still moved after {MAX_STEPS} steps", stacklevel=2)
         best = F.min_by("params", F.struct(F.element_at("params", -1), "start")).alias("params")
         return hint_if_small(now.groupBy("pool").agg(best), self.work)
 
 
-def judged(docs: DataFrame, work: Work, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
+def judged(
+    docs: DataFrame, work: Work, quantile: float = QUANTILE, min_group: int = MIN_GROUP
+) -> DataFrame:
     """doc_id, text_key, lang, source, the counts, base_failed, distance and kept of each row of docs.
 
     Rows that fail a base rule (few words, or many repeated ones; also null and empty texts)
-    are rejected and take no part in the estimates. Of the others, those whose squared
-    Mahalanobis distance from their pool's estimate is above the cutoff are rejected. Null languages
-    and sources are groups of their own. If all rows that pass are fewer than
-    min_group there is nothing to compare with: they are kept, with a null distance.
+    are rejected and take no part in the estimates. Of the others, those are rejected whose
+    squared Mahalanobis distance from their pool's estimate is above the chi-square quantile, times
+    how much the pool's median distance is above that of normal rows, if it is. Null languages
+    and sources are groups of their own; every row that passes the base rules is judged.
     """
     rows = work.keep(counted(docs).withColumn("base_failed", base_failed()))
     part = rows.filter(~F.col("base_failed"))
     by_source = part.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     big = F.col("n") >= min_group
     small = by_source.filter(~big).groupBy("lang").agg(F.sum("n").alias("lang_n"))
-    rest = small.filter(F.col("lang_n") < min_group).agg(F.sum("lang_n")).first()[0] or 0
     pools = by_source.join(small.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")), "left")
     name = (
         F.when(big, F.to_json(F.array("lang", "source")))
         .when(F.col("lang_n") >= min_group, F.to_json(F.array("lang")))
-        .when(F.lit(rest >= min_group), F.lit("[]"))
+        .otherwise(F.lit(ALL))
     )
     pools = pools.select(F.col("lang").alias("l"), F.col("source").alias("s"), name.alias("pool"))
     pools = hint_if_small(pools, work)
     joined = part.join(pools, part["lang"].eqNullSafe(pools["l"]) & part["source"].eqNullSafe(pools["s"]))
     values = [x.alias(f"x{i}") for i, x in enumerate(transformed())]
     points = work.keep(joined.drop("l", "s").select("*", *values))
-    found = RobustOutliers(points.filter("pool IS NOT NULL").select("pool", *(f"x{i}" for i in range(_WIDTH))), work)
-    params = found.estimates().withColumnRenamed("pool", "of")
-    measured = points.join(params, F.col("pool") == F.col("of"), "left")
+    given = points.select("pool", *(f"x{i}" for i in range(_WIDTH)))
+    if points.filter(F.col("pool") == ALL).limit(1).count():
+        given = given.filter(F.col("pool") != ALL).unionByName(given.withColumn("pool", F.lit(ALL)))
+    params = RobustOutliers(given, work).estimates().withColumnRenamed("pool", "of")
+    middle = given.join(params, F.col("pool") == F.col("of")).select("pool", _distance().alias("distance"))
+    middle = middle.groupBy("pool").agg(F.percentile_approx("distance", F.lit(0.5), F.lit(1000)).alias("middle"))
+    wider = F.greatest(F.col("middle") / chi_square_quantile(0.5), F.lit(1.0))
+    limits = middle.select(F.col("pool").alias("limited"), (wider * chi_square_quantile(quantile)).alias("cutoff"))
+    limits = hint_if_small(limits, work)
+    measured = points.join(params, F.col("pool") == F.col("of")).join(limits, F.col("pool") == F.col("limited"))
     names = ["doc_id", "text_key", "lang", "source", *COUNTS, "base_failed"]
-    kept = F.coalesce(F.col("distance") <= cutoff, F.lit(True))
-    passed = measured.select(*names, _distance().alias("distance")).withColumn("kept", kept)
+    passed = measured.select(*names, _distance().alias("distance"), "cutoff")
+    passed = passed.withColumn("kept", F.col("distance") <= F.col("cutoff")).drop("cutoff")
     failed = rows.filter("base_failed").select(*names).withColumns(
         {"distance": F.lit(None).cast("double"), "kept": F.lit(False)}
     )

@@ -454,19 +454,66 @@ def test_outliers_equal_the_plain_estimate(spark):
     got = {r["doc_id"]: r for r in quality.judged(docs_of(spark, rows), Work(spark)).collect()}
     assert {i for i in got if got[i]["base_failed"]} == {900, 901, 902}
     assert {i for i in got if not got[i]["kept"]} == {900, 901, 902, *range(0, 500, 12)}
-    # the same concentration steps with numpy: exact subsets instead of bins of distances
-    counts = np.array([quality.text_counts(t) for i, t, _ in rows[:500]], dtype=float)
-    x = np.stack([np.log(counts[:, 1] / counts[:, 0]), *(np.sqrt(counts[:, k] / counts[:, 0]) for k in (2, 3, 4))], 1)
-    center, cov = np.median(x, axis=0), np.diag(np.square(quality.FLOORS))
-    for _ in range(30):
-        d = np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(cov), x - center)
-        core = x[np.argsort(d)[: int(quality.CORE_SHARE * len(x))]]
-        center, cov = core.mean(axis=0), np.cov(core.T, bias=True) * 1.5 + np.diag(np.square(quality.FLOORS))
-    d = np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(cov), x - center)
+    d = plain_distances(plain_statistics([t for _, t, _ in rows[:500]]))
     near = np.array([got[i]["distance"] for i in range(500)])
     assert np.allclose(near, d, rtol=0.15, atol=0.3)
 
 
+def plain_statistics(texts):
+    counts = np.array([quality.text_counts(t) for t in texts], dtype=float)
+    return np.stack([np.log(counts[:, 1] / counts[:, 0]), *(np.sqrt(counts[:, k] / counts[:, 0]) for k in (2, 3, 4))], 1)
+
+
+def plain_distances(x, of=None):
+    """The same concentration steps with numpy: exact subsets instead of bins of distances."""
+    floors = np.square(quality.FLOORS)
+    center, cov = np.median(x, axis=0), np.diag(floors)
+    for _ in range(40):
+        d = np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(cov), x - center)
+        core = x[np.argsort(d, kind="stable")[: int(np.ceil(quality.CORE_SHARE * len(x)))]]
+        center, cov = core.mean(axis=0), np.cov(core.T, bias=True) * 1.4864
+        cov = cov + np.diag(np.maximum(np.diag(cov), floors) - np.diag(cov))
+    x = x if of is None else of
+    return np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(cov), x - center)
+
+
+def test_chi_square_of_four_and_six_degrees():
+    assert abs(quality.chi_square_quantile(0.999) - 18.4668) < 1e-3
+    assert abs(quality.chi_square_quantile(0.5) - 3.3567) < 1e-3
+    assert abs(quality.consistency(0.75) - 1.4864) < 1e-3
+
+
+def test_every_pool_is_judged(spark):
+    """Own estimates of large sources, of what is left of a language, and all rows for the rest."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8)))
+    lines = lambda n: "\n".join(" ".join(word() for _ in range(9)) for _ in range(n))
+    again = lines(4).split("\n")
+    odd_ones = [
+        " ".join(["#$ ", "|%", "<>"][k % 3] + f" x{k}" for k in range(60)),  # a page of symbols
+        " ".join((lines(2).split()[:15] * 6 + lines(14).split())[:200]),  # 90 of 200 words in a passage found again
+        "\n".join(lines(14).split("\n") + again + again),  # 4 of 22 lines found again
+    ]
+    pools = {"big": ("en", "big", 300), "b": ("en", "b", 120), "c": ("en", "c", 110), "x": ("xx", "x", 150), "n": (None, None, 3)}
+    rows = []
+    for name, (lang, source, n) in pools.items():
+        clean = [lines(rng.randrange(8, 25)) for _ in range(n)]
+        rows += [(f"{name}{i}", t, lang, source) for i, t in enumerate(clean)]
+        rows += [(f"{name}-odd{i}", t, lang, source) for i, t in enumerate(odd_ones)]
+    frame = spark.createDataFrame([(i, *r[1:], 0) for i, r in enumerate(rows)], DOCS)
+    got = {rows[r["doc_id"]][0]: r for r in quality.judged(frame, Work(spark)).collect()}
+    assert not any(got[f"{name}-odd{i}"]["base_failed"] for name in pools for i in range(3))
+    assert not any(got[f"{name}-odd{i}"]["kept"] for name in pools for i in range(2))
+    clean = [r["kept"] for name, r in got.items() if "-odd" not in name]
+    assert sum(clean) >= 0.99 * len(clean)
+    names = [r[0] for r in rows]
+    x = plain_statistics([r[1] for r in rows])
+    part = lambda *start: np.array([n.rstrip("0123456789").removesuffix("-odd") in start for n in names])
+    for own, others in ((part("big"), part("big")), (part("b", "c"), part("b", "c")), (part("x", "n"), part(*pools))):
+        near = np.array([got[n]["distance"] for n, o in zip(names, own, strict=True) if o])
+        assert np.allclose(near, plain_distances(x[others], x[own]), rtol=0.15, atol=0.3)
+
+
 def test_quality_of_odd_rows(spark):
     frame = odd(spark)
     got = quality.judged(frame, Work(spark))
