@@ -18,7 +18,7 @@ MIN_CONSTANT_SHORT = 0.5
 #: documents in which a template recurs, if it is a line as it stands, and if it has variable fields
 MIN_DOCS = 5
 MIN_DOCS_VARIABLE = 10
-#: constant lines of so many tokens are long, and recur in so many documents already where that is asked for
+#: constant lines of so many tokens are long, and recur in so many documents already
 LONG_TOKENS = 10
 LONG_DOCS = 2
 #: share of a template's tokens that must be constant
@@ -67,21 +67,27 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+#: forms and templates with this share of all lines or more are crowded; there are at most 1 / CROWDED of them
+CROWDED = 0.001
+
+
 class LineTemplates:
     """Templates of the lines of a corpus, and the lines that are dropped for them.
 
     A line is cut into tokens; tokens with a digit become fields. Its leaf is given by its
     number of tokens and the first DEPTH of them. Within a leaf, a token stays in the template where
-    at least min_docs documents have it at the same place; elsewhere the template has a field.
-    This does not depend on the order of lines, unlike a parser that reads a stream. A template
-    recurs if its lines are in enough documents and enough of it is constant. Of the lines of a
-    recurring template, one stays: the first of the document with the smallest id.
+    at least min_docs different documents have it at the same place; elsewhere the template has a
+    field. This does not depend on the order of lines, unlike a parser that reads a stream. A template
+    recurs if its lines are in enough documents and enough of it is constant. A long line as it
+    stands recurs in long_docs documents already. Of the lines of a recurring template, one
+    stays: the first of the document with the smallest id.
 
     Leaves are counted on hashes first, so that only lines of leaves with several documents are
     cut into token rows, and each distinct line of a leaf only once, with the number of
     its documents: a line that a third of all documents have is one row after the map side.
-    No side of a join with lines or texts is bounded, so none is hinted for broadcast.
-    Documents are told apart by id and text; rows equal in both are one.
+    Where lines meet forms or templates again, the crowded ones, whose number is bounded, are
+    broadcast, and the others shuffled. Documents are told apart by id and text; rows equal
+    in both are one.
     """
 
     def __init__(
@@ -90,17 +96,40 @@ class LineTemplates:
         work: Work,
         min_docs: int = MIN_DOCS,
         min_docs_variable: int = MIN_DOCS_VARIABLE,
-        long_docs: int | None = None,
+        long_docs: int = LONG_DOCS,
     ):
         self.docs, self.work = docs, work
-        # without long_docs, long lines need min_docs like others
-        self.long_docs = min_docs if long_docs is None else min(long_docs, min_docs)
-        self.min_docs, self.min_docs_variable = min_docs, min_docs_variable
+        self.min_docs, self.min_docs_variable, self.long_docs = min_docs, min_docs_variable, min(long_docs, min_docs)
+
+    def _met(self, many: DataFrame, few: DataFrame, on: list[str], rows: int) -> DataFrame:
+        """many joined with few, a kept table with docs, by keys that are unique in few."""
+        crowded = F.col("docs") >= CROWDED * rows
+        some = F.broadcast(few.filter(crowded).drop("docs"))
+        return many.join(some, on).unionByName(many.join(few.filter(~crowded).drop("docs"), on))
+
+    def _common(self, parts: DataFrame, index: DataFrame) -> DataFrame:
+        """leaf, place and token of what at least min_docs different documents have there.
+
+        A token whose forms have too few documents together or enough in one form is decided
+        by these numbers; only for the others are the owners of their forms, which are
+        fewer than min_docs each, told apart.
+        """
+        at = ["leaf", "place", "token"]
+        support = parts.filter(F.col("token") != FIELD).groupBy(*at).agg(
+            F.sum("docs").alias("most"), F.max("docs").alias("least")
+        )
+        support = self.work.keep(support.filter(F.col("most") >= self.min_docs))
+        open_ = parts.join(support.filter(F.col("least") < self.min_docs).select(*at), at)
+        owners = open_.select(*at, "form").join(index.select("leaf", "form", "doc_id", "text_key"), ["leaf", "form"])
+        owners = owners.select(*at, "doc_id", "text_key").distinct().groupBy(*at).agg(F.count(F.lit(1)).alias("docs"))
+        told = owners.filter(F.col("docs") >= self.min_docs).select(*at)
+        return support.filter(F.col("least") >= self.min_docs).select(*at).unionByName(told)
 
     def dropped(self) -> DataFrame:
         """doc_id, text_key, at: the lines (numbered from 0) that are dropped."""
         lines = _lines(self.docs)
         index = self.work.keep(lines.select("doc_id", "text_key", "at", "leaf", "form"))
+        rows = index.count()
         owner = F.xxhash64("doc_id", "text_key").alias("owner")
         # a form counts once for each document
         forms = self.work.keep(
@@ -109,18 +138,15 @@ class LineTemplates:
         leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("forms"))
         full = leaves.filter(F.col("docs") >= self.long_docs).select("leaf", "forms")
         wanted = forms.join(full, "leaf")
-        texts = lines.select("leaf", "form", "line").join(wanted.select("leaf", "form", "docs", "forms"), ["leaf", "form"])
-        # any of the equal ones
-        distinct = texts.groupBy("leaf", "form").agg(
-            F.min("line").alias("line"), F.max("docs").alias("docs"), F.max("forms").alias("forms")
-        )
+        # any of the equal ones, before they meet their counts
+        texts = lines.groupBy("leaf", "form").agg(F.min("line").alias("line"))
+        distinct = texts.join(wanted, ["leaf", "form"])
         distinct = self.work.keep(distinct.withColumn("tokens", F.split("line", " ")).drop("line"))
         single = distinct.filter("forms = 1").select("leaf", "form", "docs", "tokens")
         several = distinct.filter("forms > 1")
         parts = several.select("leaf", "form", "docs", F.posexplode("tokens").alias("place", "token"))
-        support = parts.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support"))
-        common = support.filter((F.col("support") >= self.min_docs) & (F.col("token") != FIELD))
-        kept = parts.join(common.select("leaf", "place", "token"), ["leaf", "place", "token"])
+        common = self._common(parts, index)
+        kept = parts.join(common, ["leaf", "place", "token"])
         constants = kept.groupBy("leaf", "form").agg(F.collect_list(F.struct("place", "token")).alias("constants"))
         merged = several.select("leaf", "form", "docs", F.size("tokens").alias("size")).join(
             constants, ["leaf", "form"], "left"
@@ -147,24 +173,24 @@ class LineTemplates:
         likely = totals.filter((F.col("docs") >= needed) & (F.col("fixed") >= constant * F.col("size")))
         candidates = every.join(
             likely.select("leaf", "template", needed.alias("needed")), ["leaf", "template"]
-        ).select("leaf", "form", "template", "needed")
+        ).select("leaf", "form", "docs", "template", "needed")
         if self.long_docs < self.min_docs:
             # a long line as it stands is a template of its own, within that of the tree: what stays of
             # the tree's is the first of its own too, so both can be dropped by
             long = distinct.filter((F.size("tokens") >= LONG_TOKENS) & ~F.array_contains("tokens", FIELD))
             long = long.filter(F.col("docs") >= self.long_docs).select(
-                "leaf", "form", F.xxhash64(F.lit("long"), "form").alias("template"), F.lit(self.long_docs).alias("needed")
+                "leaf", "form", "docs", F.xxhash64(F.lit("long"), "form").alias("template"), F.lit(self.long_docs).alias("needed")
             )
             candidates = candidates.unionByName(long)
-        hits = index.join(candidates, ["leaf", "form"])
+        hits = self._met(index, self.work.keep(candidates), ["leaf", "form"], rows)
         hits = self.work.keep(hits.select("doc_id", "text_key", "at", "leaf", "template", "needed"))
         place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "at")
         per_doc = hits.groupBy("leaf", "template", "doc_id", "text_key").agg(F.min(place).alias("first"), F.first("needed").alias("needed"))
         recurring = per_doc.groupBy("leaf", "template").agg(
             F.count(F.lit(1)).alias("docs"), F.min("first").alias("stays"), F.first("needed").alias("needed")
         )
-        recurring = recurring.filter("docs >= needed").select("leaf", "template", "stays")
-        gone = hits.join(recurring, ["leaf", "template"]).filter(place != F.col("stays"))
+        recurring = self.work.keep(recurring.filter("docs >= needed").select("leaf", "template", "stays", "docs"))
+        gone = self._met(hits, recurring, ["leaf", "template"], rows).filter(place != F.col("stays"))
         return gone.select("doc_id", "text_key", "at").distinct()
 
 

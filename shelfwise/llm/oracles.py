@@ -139,6 +139,63 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM sized LEFT JOIN first USING (payload_digest)
 """
 
+#: lines are numbered from 0; of a recurring template's, the first of the smallest id stays
+_LINES = r"""
+WITH owned AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT doc_id, text, nr, list_transform(regexp_extract_all(parts[nr + 1], '[^\x20\x09-\x0D]+'),
+    lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS form
+  FROM (SELECT *, unnest(range(len(parts))) AS nr FROM owned)
+),
+index AS (SELECT doc_id, text, nr, form, len(form) AS size, form[1:3] AS start FROM lines WHERE len(form) > 0),
+forms AS (SELECT form, size, start, count(DISTINCT (doc_id, text)) AS docs FROM index GROUP BY ALL),
+leaves AS (SELECT size, start, count(*) AS n FROM forms GROUP BY ALL),
+tokens AS (
+  SELECT DISTINCT doc_id, text, size, start, place, form[place] AS token
+  FROM (SELECT *, unnest(range(1, size + 1)) AS place FROM index JOIN leaves USING (size, start) WHERE n > 1)
+),
+common AS (
+  SELECT size, start, place, token FROM tokens WHERE token != '<*>' GROUP BY ALL HAVING count(*) >= 5
+),
+cut AS (
+  SELECT form, size, start, place, CASE WHEN n = 1 THEN form[place] WHEN c.token IS NULL THEN '<*>' ELSE c.token END AS token
+  FROM (SELECT *, unnest(range(1, size + 1)) AS place FROM forms JOIN leaves USING (size, start)) f
+  LEFT JOIN common c USING (size, start, place) WHERE c.token IS NULL OR c.token = form[place]
+),
+cut_once AS (SELECT form, place, max(token) FILTER (token != '<*>') AS token FROM cut GROUP BY ALL),
+spread AS (
+  SELECT f.form, f.size, unnest(range(1, f.size + 1)) AS place FROM forms f
+),
+templates AS (
+  SELECT s.form, any_value(s.size) AS size, list(coalesce(c.token, '<*>') ORDER BY s.place) AS template
+  FROM spread s LEFT JOIN cut_once c USING (form, place) GROUP BY s.form
+),
+fixed AS (
+  SELECT *, len(list_filter(template, lambda w: w != '<*>')) AS fixed,
+    size >= 10 AND NOT list_contains(form, '<*>') AS long
+  FROM templates
+),
+hits AS (
+  SELECT i.doc_id, i.text, i.nr, f.template AS template, CASE WHEN f.size < 3 THEN 20 WHEN f.fixed = f.size THEN 5 ELSE 10 END AS needed
+  FROM index i JOIN fixed f USING (form)
+  WHERE f.fixed >= CASE WHEN f.size < 3 THEN 0.5 ELSE 0.7 END * f.size
+  UNION ALL
+  SELECT i.doc_id, i.text, i.nr, ['long'] || i.form, 2 FROM index i JOIN fixed f USING (form) WHERE f.long
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id NULLS LAST, text, nr) AS nth FROM hits
+),
+recurring AS (SELECT template FROM hits GROUP BY template HAVING count(DISTINCT (doc_id, text)) >= any_value(needed)),
+gone AS (
+  SELECT doc_id, text, list(DISTINCT nr) AS gone FROM ranked SEMI JOIN recurring USING (template) WHERE nth > 1 GROUP BY ALL
+)
+SELECT d.doc_id, CASE WHEN g.gone IS NULL THEN d.text ELSE array_to_string(
+    [x for x, i in string_split(d.text, chr(10)) if NOT list_contains(g.gone, i - 1)], chr(10)) END AS text,
+  CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END::BIGINT AS n_lines,
+  coalesce(len(g.gone), 0)::BIGINT AS n_dropped
+FROM documents d LEFT JOIN gone g ON g.doc_id IS NOT DISTINCT FROM d.doc_id AND g.text = d.text
+"""
+
 #: the CRC-32 of the id's digits is formed bit by bit
 _TRIE = r"""
 WITH told AS (
@@ -180,6 +237,7 @@ FROM known k JOIN subtrees s USING (prefix) LEFT JOIN nodes p ON k.d > 0 AND p.p
 """
 
 ORACLES: dict[str, str] = {
+    "op1_line_templates": _LINES,
     "op2_minhash_groups": _MINHASH,
     "op3_source_mix": _MIXING,
     "op5_url_verdicts": _URLS,

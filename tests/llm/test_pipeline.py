@@ -20,31 +20,39 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 
 
 def without_lines(rows):
-    """Texts after the removal of recurring lines, with dictionaries."""
+    """Texts after the removal of recurring lines, with dictionaries, from the definition of a template."""
     docs, places, leaves = collections.defaultdict(set), collections.defaultdict(list), collections.defaultdict(set)
     for i, text in rows:
         for at, line in enumerate(text.split("\n")):
             form = tuple("<*>" if re.search("[0-9]", w) else w for w in WORD.findall(line))
-            if len(form) >= linededup.MIN_TOKENS:
+            if form:
                 docs[form].add(i)
                 places[form].append((i, at))
                 leaves[len(form), form[: linededup.DEPTH]].add(form)
     templates = collections.defaultdict(list)
     for forms in leaves.values():
-        if sum(len(docs[f]) for f in forms) < linededup.MIN_DOCS:
-            continue
-        support = collections.Counter()
+        owners = collections.defaultdict(set)
         for f in forms:
             for place in enumerate(f):
-                support[place] += len(docs[f])
+                owners[place] |= docs[f]
         for f in forms:
-            constant = [w != "<*>" and (len(forms) == 1 or support[k, w] >= linededup.MIN_DOCS) for k, w in enumerate(f)]
-            templates[tuple(w if c else "<*>" for w, c in zip(f, constant, strict=True))].append(f)
+            stays = [w != "<*>" and (len(forms) == 1 or len(owners[k, w]) >= linededup.MIN_DOCS) for k, w in enumerate(f)]
+            template = tuple(w if c else "<*>" for w, c in zip(f, stays, strict=True))
+            templates[len(f), f[: linededup.DEPTH], template].append(f)
+            if len(f) >= linededup.LONG_TOKENS and "<*>" not in f:
+                templates["long", f].append(f)
     gone = set()
-    for template, forms in templates.items():
-        fixed = sum(w != "<*>" for w in template)
-        least = linededup.MIN_DOCS if fixed == len(template) else linededup.MIN_DOCS_VARIABLE
-        if fixed >= linededup.MIN_CONSTANT * len(template) and len(set().union(*(docs[f] for f in forms))) >= least:
+    for key, forms in templates.items():
+        template = key[-1]
+        fixed, size = sum(w != "<*>" for w in template), len(template)
+        share = linededup.MIN_CONSTANT_SHORT if size < linededup.MIN_TOKENS else linededup.MIN_CONSTANT
+        if key[0] == "long":
+            least = linededup.LONG_DOCS
+        elif size < linededup.MIN_TOKENS:
+            least = linededup.MIN_DOCS_SHORT
+        else:
+            least = linededup.MIN_DOCS if fixed == size else linededup.MIN_DOCS_VARIABLE
+        if fixed >= share * size and len(set().union(*(docs[f] for f in forms))) >= least:
             gone |= set(sorted(p for f in forms for p in places[f])[1:])
     out = {}
     for i, text in rows:
@@ -55,6 +63,29 @@ def without_lines(rows):
     return out
 
 
+@pytest.mark.parametrize("again", [1, 5])
+def test_a_document_counts_once_however_often_it_has_a_line(spark, again):
+    """Nine documents differ in a colour that one of them, a tenth, may have on several lines."""
+    colours = "blue green pink grey white black brown lilac olive".split()
+    texts = [f"p q r {c} s t u v w x y z" for c in colours] + ["\n".join(["p q r red s t u v w x y z"] * again)]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in linededup.without_recurring_lines(frame, Work(spark)).collect()}
+    assert sum(r["n_dropped"] for r in got.values()) == 8 + again
+    assert {i: r["text"] for i, r in got.items() if r["text"]} == without_lines(rows)
+
+
+def test_crowded_lines_are_like_others(spark, monkeypatch):
+    rows = [(i, f"the same long line that all of these documents have got\nown {i} words {i} x{i}\na b c d {i}") for i in range(40)]
+    rows += [(100 + i, "p q r s t\nthe other long line that only two of these documents have got") for i in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for share in (0.0, 0.5, 1.0):
+        monkeypatch.setattr(linededup, "CROWDED", share)
+        got = linededup.without_recurring_lines(frame, Work(spark)).collect()
+        want = without_lines(rows)
+        assert {r["doc_id"]: r["text"] for r in got if WORD.search(r["text"])} == want
+
+
 def copies(row, rate):
     digest = hashlib.md5(f"20011104:{row['doc_id']}:{row['text']}".encode()).hexdigest()
     return int(rate) + (int(digest[:13], 16) / 2**52 < rate - int(rate))
@@ -109,7 +140,7 @@ def test_stages_equal_plain_versions(spark):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for part in ("documents", "pages"):
+    for part in ("documents", "pages", "conversations"):
         duck.execute(f"CREATE VIEW {part} AS SELECT * FROM '{SF_DIR}/{part}.parquet'")
     cursor = duck.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
