@@ -152,122 +152,154 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 class LocalSearch:
     """Moves and exchanges between underfull bins, each of which raises the sum of squared fills.
 
-    With d tokens going from bin b to bin a, the sum rises if fill(b) < fill(a) + d. The
-    fullest bins take first: an item that fits whole (a move), a longer item for one of
-    theirs (one for one), or two items of another bin for one (two for one); the
-    largest gain that fits is taken. Emptied bins go. The sum is a whole number with an
-    upper bound, so the search ends; it is also stopped after ``steps`` changes.
+    With d tokens going from bin b to bin a, the sum rises if fill(b) < fill(a) + d. A bin
+    takes an item that fits whole (a move), a longer item for one of its own (one for
+    one), or two items of another bin for one (two for one); the largest gain that fits is
+    taken. Emptied bins go. A pass asks every underfull bin, the fullest first, and passes are
+    made until none changes anything: at first a bin that has taken all it can gives no more
+    in its pass, at last all give. The sum is a whole number with an upper bound, so
+    this ends, and it ends where no single change is left.
     """
 
-    TRIES = 8
-
     def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int) -> None:
         self.lengths, self.bins, self.capacity = lengths, bins, capacity
         self.fill = [sum(lengths[i] for i in items) for items in bins]
-        self.place = {i: b for b, items in enumerate(bins) for i in items if self.fill[b] < capacity}
-        self.items: list[dict[int, None]] = [{} for _ in range(capacity + 1)]
-        self.mask = 0
-        for item in self.place:
-            self._offer(item)
-
-    def _offer(self, item: int) -> None:
-        self.items[self.lengths[item]][item] = None
-        self.mask |= 1 << self.lengths[item]
-
-    def _withdraw(self, item: int) -> None:
-        own = self.items[self.lengths[item]]
-        own.pop(item, None)
-        if not own:
-            self.mask &= ~(1 << self.lengths[item])
+
+    def _open(self) -> None:
+        """Offer the items of all underfull bins, and the totals of two items of one bin."""
+        self.open = {b for b, items in enumerate(self.bins) if items and self.fill[b] < self.capacity}
+        self.items: list[dict[int, None]] = [{} for _ in range(self.capacity + 1)]
+        self.totals: list[dict[int, None]] = [{} for _ in range(2 * self.capacity + 1)]
+        self.single = self.double = 0
+        self.place = {}
+        for b in self.open:
+            for i in self.bins[b]:
+                self._offer(i, b)
+            kinds = self._kinds(b)
+            for k, x in enumerate(kinds):
+                for y in kinds[: k + 1]:
+                    self._offer_total(x + y, b)
+
+    def _kinds(self, b: int) -> list[int]:
+        return sorted({self.lengths[i] for i in self.bins[b]})
+
+    def _offer(self, item: int, b: int) -> None:
+        length = self.lengths[item]
+        self.place[item] = b
+        self.items[length][item] = None
+        self.single |= 1 << length
+
+    def _offer_total(self, total: int, b: int) -> None:
+        if total <= 2 * self.capacity:
+            self.totals[total][b] = None
+            self.double |= 1 << total
+
+    def _withdraw(self, b: int) -> None:
+        self.open.discard(b)
+        for item in self.bins[b]:
+            own = self.items[self.lengths[item]]
+            own.pop(item, None)
+            if not own:
+                self.single &= ~(1 << self.lengths[item])
 
     def _longest(self, low: int, high: int, taker: int, base: int) -> int | None:
         """An offered item of low < length <= high, from a bin that gains by giving it for base tokens."""
-        open_ = self.mask & ((1 << (high + 1)) - 1)
-        for _ in range(self.TRIES):
-            length = open_.bit_length() - 1
-            if length <= low:
-                return None
-            for item, _ in zip(self.items[length], range(self.TRIES), strict=False):
+        open_ = self.single & ((1 << (high + 1)) - 1)
+        while (length := open_.bit_length() - 1) > low:
+            limit = self.fill[taker] + length - base
+            for item in self.items[length]:
                 giver = self.place[item]
-                if giver != taker and self.fill[giver] < self.fill[taker] + length - base:
+                if giver != taker and self.fill[giver] < limit:
                     return item
             open_ ^= 1 << length
         return None
 
-    def _pair(self, low: int, high: int, taker: int, base: int, givers: list[int]) -> tuple[int, int] | None:
-        best, found = low, None
-        for giver in givers:
-            if giver == taker:
-                continue
-            items = sorted(self.bins[giver], key=self.lengths.__getitem__)
-            i, j = 0, len(items) - 1
-            while i < j:
-                total = self.lengths[items[i]] + self.lengths[items[j]]
-                if total > high:
-                    j -= 1
+    def _two(self, b: int, total: int) -> tuple[int, int] | None:
+        """Two items of a bin with a total; bins are small."""
+        seen: dict[int, int] = {}
+        for i in self.bins[b]:
+            if (other := seen.get(total - self.lengths[i])) is not None:
+                return other, i
+            seen[self.lengths[i]] = i
+        return None
+
+    def _pair(self, low: int, high: int, taker: int, base: int) -> tuple[int, int] | None:
+        """Two offered items of one bin with low < total <= high; totals that a bin no longer has are forgotten."""
+        open_ = self.double & ((1 << (high + 1)) - 1)
+        while (total := open_.bit_length() - 1) > low:
+            gone, found = [], None
+            limit = self.fill[taker] + total - base
+            for giver in self.totals[total]:
+                if giver == taker or self.fill[giver] >= limit and giver in self.open:
                     continue
-                if total > best and self.fill[giver] < self.fill[taker] + total - base:
-                    best, found = total, (items[i], items[j])
-                i += 1
-        return found
+                found = self._two(giver, total) if giver in self.open else None
+                if found:
+                    break
+                gone.append(giver)
+            for giver in gone:
+                del self.totals[total][giver]
+            if not self.totals[total]:
+                self.double &= ~(1 << total)
+            if found:
+                return found
+            open_ ^= 1 << total
+        return None
 
     def _send(self, item: int, to: int) -> None:
         source, length = self.place[item], self.lengths[item]
         self.bins[source].remove(item)
+        for x in self._kinds(to):
+            self._offer_total(x + length, to)
         self.bins[to].append(item)
         self.fill[source] -= length
         self.fill[to] += length
         self.place[item] = to
 
-    def _improve(self, taker: int, givers: list[int]) -> int | None:
-        """One change; the bin that has given, or None if there is none."""
+    def _improve(self, taker: int) -> bool:
+        """One change, if there is one."""
         free = self.capacity - self.fill[taker]
         item = self._longest(0, free, taker, 0)
         if item is not None:
-            giver = self.place[item]
             self._send(item, taker)
-            return giver
+            return True
         own = {self.lengths[i]: i for i in self.bins[taker]}
-        best = None
+        gain, best = 0, None
         for length, mine in own.items():
-            item = self._longest(length, min(length + free, self.capacity), taker, length)
-            if item is not None and (best is None or self.lengths[item] - length > best[0]):
-                best = self.lengths[item] - length, mine, (item,)
+            item = self._longest(length + gain, min(length + free, self.capacity), taker, length)
+            if item is not None:
+                gain, best = self.lengths[item] - length, (mine, (item,))
         for length, mine in own.items():
-            pair = self._pair(length + (best[0] if best else 0), length + free, taker, length, givers)
+            pair = self._pair(length + gain, length + free, taker, length)
             if pair is not None:
-                best = sum(self.lengths[i] for i in pair) - length, mine, pair
+                gain, best = sum(self.lengths[i] for i in pair) - length, (mine, pair)
         if best is None:
-            return None
-        _, mine, theirs = best
+            return False
+        mine, theirs = best
         giver = self.place[theirs[0]]
         for item in theirs:
             self._send(item, taker)
         self._send(mine, giver)
-        return giver
-
-    def run(self, steps: int) -> list[list[int]]:
-        queue = sorted((b for b in range(len(self.bins)) if self.fill[b] < self.capacity), key=self.fill.__getitem__)
-        givers = queue[: self.TRIES]
-        while queue and steps > 0:
-            taker = queue.pop()
-            while self.bins[taker] and self.fill[taker] < self.capacity and steps > 0:
-                giver = self._improve(taker, givers)
-                if giver is None:
-                    break
-                steps -= 1
-                if not self.bins[giver]:
-                    givers = [b for b in givers if b != giver]
-                    givers += [b for b in queue[: 2 * self.TRIES] if self.bins[b] and b not in givers][:1]
-            for item in self.bins[taker]:  # a bin that has taken all it can gives no more
-                self._withdraw(item)
+        return True
+
+    def _pass(self, all_give: bool) -> bool:
+        self._open()
+        changed = False
+        for taker in sorted(self.open, key=lambda b: (-self.fill[b], b)):
+            while self.bins[taker] and self.fill[taker] < self.capacity and self._improve(taker):
+                changed = True
+            if not all_give or self.fill[taker] == self.capacity:
+                self._withdraw(taker)
+        return changed
+
+    def run(self) -> list[list[int]]:
+        while self._pass(False) or self._pass(True):
+            pass
         return [items for items in self.bins if items]
 
 
 def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
-    """Bins of item numbers, no fuller than the capacity."""
-    bins = best_fit(lengths, capacity)
-    return LocalSearch(lengths, bins, capacity).run(steps=4 * len(lengths))
+    """Bins of item numbers, no fuller than the capacity; no single change would raise the sum of squared fills."""
+    return LocalSearch(lengths, best_fit(lengths, capacity), capacity).run()
 
 
 def assign(kept: DataFrame, capacity: int = CAPACITY, cell_pieces: int = CELL_PIECES) -> DataFrame:
@@ -275,8 +307,10 @@ def assign(kept: DataFrame, capacity: int = CAPACITY, cell_pieces: int = CELL_PI
 
     Rows are dealt out evenly, whatever their ids, to as many tasks as hold cell_pieces rows
     each; a task packs its rows. kept should be a stored table, so that its rows deal the
-    same way when a lost task is repeated. Pieces as long as the capacity are sequences of
-    their own.
+    same way when a lost task is repeated; a task sorts them first, so that it packs them the same
+    way in whatever order they come. Pieces as long as the capacity are sequences of
+    their own. Pieces of equal length are taken in the order of a hash of their row; repeated
+    rows are pieces of their own.
     """
     cells = max(1, math.ceil(kept.count() / cell_pieces))
 
@@ -285,6 +319,8 @@ def assign(kept: DataFrame, capacity: int = CAPACITY, cell_pieces: int = CELL_PI
         if not rows:
             return
         rows = pd.concat(rows, ignore_index=True)
+        order = np.lexsort((pd.util.hash_pandas_object(rows, index=False).to_numpy(), -rows["length"].to_numpy()))
+        rows = rows.iloc[order].reset_index(drop=True)
         lengths = rows["length"].astype("int64").tolist()
         sequence, offset = np.empty(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
         full = [i for i, n in enumerate(lengths) if n == capacity]
