@@ -145,6 +145,25 @@ def compress(records: list[bytes]) -> Iterator[bytes]:
         yield packer.compress(data)
 
 
+def frame_end(data: bytes, at: int) -> int:
+    """Where the frame that begins at a place ends, from its header and those of its blocks."""
+    flags = data[at + 4]
+    single, checksum = flags >> 5 & 1, flags >> 2 & 1
+    size = (single, 2, 4, 8)[flags >> 6] + (0, 1, 2, 4)[flags & 3] + (not single)
+    at += 5 + size
+    last = False
+    while not last:
+        head = int.from_bytes(data[at : at + 3], "little")
+        if at + 3 > len(data):
+            raise Broken(f"the frame is cut short at byte {at}")
+        last, kind, length = head & 1, head >> 1 & 3, head >> 3
+        at += 3 + (1 if kind == 1 else length)
+    at += 4 * checksum
+    if at > len(data):
+        raise Broken(f"the frame is cut short before byte {at}")
+    return at
+
+
 def frames(data: bytes) -> Iterator[bytes]:
     """The records of an archive; each is one whole frame, read with the archive's dictionary."""
     view, at, dictionary = memoryview(data), 0, None
@@ -163,16 +182,17 @@ def frames(data: bytes) -> Iterator[bytes]:
         dictionary = zstandard.ZstdCompressionDict(body)
     unpacker = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
     while at < len(data):
-        if len(data) - at < 4 or struct.unpack_from("<I", data, at)[0] != FRAME:
+        if len(data) - at < 5 or struct.unpack_from("<I", data, at)[0] != FRAME:
             raise Broken(f"no frame at byte {at}")
+        end = frame_end(data, at)
         reader = unpacker.decompressobj()
         try:
-            out = reader.decompress(view[at:])
+            out = reader.decompress(view[at:end])
         except zstandard.ZstdError as e:
             raise Broken(f"the frame at byte {at}: {e}") from e
-        if not reader.eof:
-            raise Broken(f"the frame at byte {at} is cut short")
-        at = len(data) - len(reader.unused_data)
+        if not reader.eof or reader.unused_data:
+            raise Broken(f"the frame at byte {at} does not end where its blocks do")
+        at = end
         yield out
 
 
@@ -323,4 +343,7 @@ def round_trip(pages: DataFrame, work: Work) -> DataFrame:
             [], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
         )
     found = read_archives(spark, folder, payloads=False)
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = work.keep(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    if (read := found.count()) != written:
+        raise Broken(f"{read} records read of {written} written")
+    return found
