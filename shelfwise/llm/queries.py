@@ -23,6 +23,8 @@ from shelfwise.llm import (
 )
 from shelfwise.llm.common import Work, table
 
+#: of the made-up tables only; jobs bring a secret of their own
+BENCHMARK_KEY = b"benchmark tables"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -59,7 +61,7 @@ def op4_token_counts(spark, sf_dir):
 
 @query
 def op10_pseudonyms(spark, sf_dir):
-    return pii.pseudonymised(table(spark, sf_dir, "documents"))
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), BENCHMARK_KEY)
 
 
 @query

@@ -1,5 +1,6 @@
 """Operators of the llm package on small rows: nulls, empty texts, ties, repeated rows, clashing columns."""
 
+import datetime as dt
 import hashlib
 import random
 import re
@@ -7,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -381,6 +383,21 @@ def test_broken_archives_are_told():
         warc.parse(records[12])
 
 
+def test_frames_end_where_their_blocks_do():
+    rng = random.Random(3)
+    bodies = [b"", b"a", b"x" * 300_000, rng.randbytes(200_000), b"ab" * 40_000, "é".encode() * 500]
+    plain = [zstandard.ZstdCompressor(level=3, write_content_size=w, write_checksum=c) for w in (0, 1) for c in (0, 1)]
+    packed = [p.compress(b) for p in plain for b in bodies]
+    data, at = b"".join(packed), 0
+    for part in packed:
+        assert warc.frame_end(data, at) == at + len(part)
+        at += len(part)
+    assert list(warc.frames(data)) == bodies * 4
+    for cut in (1, 5, 9):
+        with pytest.raises(warc.Broken):
+            list(warc.frames(packed[3][:-cut]))
+
+
 # --- packing ----------------------------------------------------------------------
 
 
@@ -426,6 +443,34 @@ def test_local_search_empties_bins():
     assert packing.pack_lengths([]) == [] and packing.pack_lengths([1024] * 3) == [[0], [1], [2]]
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_no_single_change_is_left(seed):
+    """Every move and exchange between two underfull bins is tried by brute force."""
+    rng = random.Random(seed)
+    lengths = [rng.randrange(*[(20, 60), (1, 99), (30, 45)][seed % 3]) for _ in range(60)]
+    bins = packing.pack_lengths(lengths, 100)
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    for a, taker in enumerate(bins):
+        for b, giver in enumerate(bins):
+            if a == b or max(fill[a], fill[b]) == 100:
+                continue
+            gives = [lengths[i] for i in giver]
+            pairs = [gives[i] + gives[j] for i in range(len(gives)) for j in range(i)]
+            gains = gives + [g - lengths[i] for i in taker for g in gives + pairs]
+            assert not any(0 < d <= 100 - fill[a] and fill[b] < fill[a] + d for d in gains)
+
+
+def test_packing_does_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(2)
+    rows = [(i % 90, i, rng.randrange(1, 1025)) for i in range(300)] + [(7, 7, 500)] * 2
+    sequences = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        got = packing.assign(spark.createDataFrame(rows, "doc_id long, piece int, length long").coalesce(1)).collect()
+        sequences.append(sorted((r["doc_id"], r["piece"], r["length"], r["sequence_id"], r["offset"]) for r in got))
+    assert sequences[0] == sequences[1]
+
+
 # --- quality ----------------------------------------------------------------------
 
 
@@ -581,14 +626,34 @@ def test_finds_behind_an_invalid_iban():
 
 def test_pseudonyms_of_odd_rows(spark):
     frame = odd(spark).unionByName(docs_of(spark, [(20, f"x {PRIVATE[1]}\n{PRIVATE[1]}", "s")]), allowMissingColumns=True)
-    got = pii.pseudonymised(frame)
+    got = pii.pseudonymised(frame, b"k")
     assert got.count() == frame.count()
     before = {(r["doc_id"], r["text"]) for r in frame.filter("doc_id != 20 OR doc_id IS NULL").collect()}
     after = {(r["doc_id"], r["text"]) for r in got.filter("doc_id != 20 OR doc_id IS NULL").collect()}
     assert before == after
     hit = got.filter("doc_id = 20").first()
     assert hit["n_card"] == 2 and len(set(hit["text"].removeprefix("x ").split("\n"))) == 1
-    assert pii.pseudonymised(empty(spark)).count() == 0
+    assert pii.pseudonymised(empty(spark), b"k").count() == 0
+
+
+def test_values_stay_linked_in_all_notations():
+    names, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    for day in (dt.date(2019, 12, 25), dt.date(2024, 2, 29), dt.date(1999, 3, 4), dt.date(2031, 1, 13)):
+        late, month = day.day > 12, day.strftime("%B")
+        forms = [f"{day:%Y-%m-%d}", f"{day:%Y/%m/%d}", f"{day:%d.%m.%Y}", f"{day:%m/%d/%Y}", f"{month} {day.day}, {day.year}"]
+        forms += [f"{day.day} {month} {day.year}"] + ([f"{day:%d/%m/%Y}", f"{day:%d-%m-%Y}"] if late else [])
+        moved = [names.text(form)[0] for form in forms]
+        made = dt.date.fromisoformat(moved[0])
+        assert made != day and (made.day > 12) == late
+        month = made.strftime("%B")
+        want = [f"{made:%Y-%m-%d}", f"{made:%Y/%m/%d}", f"{made:%d.%m.%Y}", f"{made:%m/%d/%Y}", f"{month} {made.day}, {made.year}"]
+        want += [f"{made.day} {month} {made.year}"] + ([f"{made:%d/%m/%Y}", f"{made:%d-%m-%Y}"] if late else [])
+        assert moved == want
+        assert [back.text(m)[0] for m in moved] == [f"{day:%Y-%m-%d}", *forms[1:]]
+    phones = ["+1 988 555 2485", "+1 (988) 555-2485", "+19885552485"]
+    moved = [names.text(p)[0] for p in phones]
+    assert len({re.sub(r"\D", "", m) for m in moved}) == 1 and moved[0] != phones[0] and moved[0].startswith("+1 ")
+    assert [back.text(m)[0] for m in moved] == phones
 
 
 def test_helpers():
