@@ -31,6 +31,8 @@ HASHED, SENT, INDEXED = 1 << 19, 400_000, 1_200_000
 LOOKED_AT = 32
 #: chosen strings with more than this share of a partition's stretches are divided
 CROWDED = 0.1
+#: texts that this share of all documents are copies of; there are at most 1 / COPIED of them
+COPIED = 0.001
 END = 0xFF  # no byte of UTF-8
 _NEVER = np.iinfo(np.int64).max
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -540,7 +542,7 @@ class Repeats:
 
     def _texts(self) -> DataFrame:
         """Each distinct text once, with its smallest id; all later steps find it in its bucket."""
-        texts = self.docs.groupBy("t1", "t2").agg(F.min("id").alias("id"), F.first("text").alias("text"))
+        texts = self.docs.groupBy("t1", "t2").agg(F.min("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
         writer = texts.write.bucketBy(self.parts, "t1", "t2").format("parquet").option("compression", "zstd")
         writer.option("path", self.path).saveAsTable(self.name)
         return self.spark.table(self.name)
@@ -618,12 +620,14 @@ def without_repeats(docs: DataFrame, work: Work, key: str = "doc_id", text: str
     """
     repeats = Repeats(docs, work, key, text)
     cut = repeats.cut()
-    firsts = repeats.spark.table(repeats.name).select("t1", "t2", F.col("id").alias("first"))
-    firsts = work.keep(firsts)
+    firsts = repeats.spark.table(repeats.name).select("t1", "t2", F.col("id").alias("first"), "n")
+    known = work.keep(firsts.join(cut.drop("first"), ["t1", "t2"], "left"))
     repeats.close()
-    known = firsts.join(cut.drop("first"), ["t1", "t2"], "left")
     size = F.octet_length("text").cast("long")
-    rows = repeats.docs.select("id", "t1", "t2", "sha", size.alias("n_bytes")).join(known, ["t1", "t2"])
+    rows = work.keep(repeats.docs.select("id", "t1", "t2", "sha", size.alias("n_bytes")))
+    copied = F.col("n") >= COPIED * rows.count()
+    met = [rows.join(k, ["t1", "t2"]) for k in (F.broadcast(known.filter(copied)), known.filter(~copied))]
+    rows = met[0].unionByName(met[1])
     copy = ~F.col("id").eqNullSafe(F.col("first")) & (F.col("n_bytes") >= WIDTH)
     none = F.array().cast("array<struct<start:int,stop:int>>")
     everything = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("stop")))
