@@ -41,30 +41,25 @@ def normal(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(plain)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """A row for each line of each document, with its leaf and a hash of its normal form.
+def _indexed(docs: DataFrame) -> DataFrame:
+    """A row for each document with its lines as hashes of their normal form, their leaf and their number.
 
-    Lines are brought into their form and chosen before they become rows: a filter over
-    rows would be moved below the form and have it made again for each of its mentions.
+    The lines of a document are sorted, so equal ones are neighbours. Rows equal in id and
+    text become one.
     """
 
     def parsed(line: Column, at: Column) -> Column:
         def fields(form: Column) -> Column:
             blanks = F.length(form) - F.length(F.replace(form, F.lit(" ")))
-            return F.struct(at.alias("at"), form.alias("line"), blanks.alias("blanks"))
+            leaf = F.xxhash64(blanks, F.substring_index(form, " ", DEPTH))
+            return F.when(form != "", F.struct(F.xxhash64(form, blanks).alias("form"), leaf.alias("leaf"), at.alias("at")))
 
         return let(normal(line), fields)
 
-    def chosen(line: Column) -> Column:
-        return line["line"] != ""
-
+    lines = F.filter(F.transform(F.split("text", "\n"), parsed), lambda x: x.isNotNull())
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    forms = F.filter(F.transform(F.split("text", "\n"), parsed), chosen)
-    rows = given.select("doc_id", "text_key", F.inline(forms))
-    leaf = F.xxhash64("blanks", F.substring_index("line", " ", DEPTH))
-    return rows.select(
-        "doc_id", "text_key", "at", "line", leaf.alias("leaf"), F.xxhash64("line", "blanks").alias("form")
-    )
+    given = given.filter("text IS NOT NULL").select("doc_id", "text_key", F.array_sort(lines).alias("lines"))
+    return given.groupBy("doc_id", "text_key").agg(F.first("lines").alias("lines"))
 
 
 #: forms and templates with this share of all lines or more are crowded; there are at most 1 / CROWDED of them
@@ -84,7 +79,8 @@ class LineTemplates:
 
     Leaves are counted on hashes first, so that only lines of leaves with several documents are
     cut into token rows, and each distinct line of a leaf only once, with the number of
-    its documents: a line that a third of all documents have is one row after the map side.
+    its documents: a line that a third of all documents have is one row after the map side,
+    and its text is read from one of them.
     Where lines meet forms or templates again, the crowded ones, whose number is bounded, are
     broadcast, and the others shuffled. Documents are told apart by id and text; rows equal
     in both are one.
@@ -125,23 +121,32 @@ class LineTemplates:
         told = owners.filter(F.col("docs") >= self.min_docs).select(*at)
         return support.filter(F.col("least") >= self.min_docs).select(*at).unionByName(told)
 
+    def _tokens(self, wanted: DataFrame) -> DataFrame:
+        """wanted with the tokens of its forms, read from the one document that each names."""
+        names = [c for c in wanted.columns if c not in ("doc_id", "text_key")]
+        named = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(*names)).alias("named"))
+        named = named.withColumnsRenamed({"doc_id": "of_id", "text_key": "of_key"})
+        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+        met = texts.join(named, texts["doc_id"].eqNullSafe(named["of_id"]) & (texts["text_key"] == named["of_key"]))
+        lines = met.select("named", F.split("text", "\n").alias("lines"))
+        raw = F.transform("named", lambda n: F.struct(*(n[c].alias(c) for c in names), F.get("lines", n["at"]).alias("raw")))
+        rows = lines.select(F.inline(raw)).drop("at")
+        # a document that is there as several rows gives its forms as often
+        return rows.dropDuplicates(["leaf", "form"]).withColumn("tokens", F.split(normal(F.col("raw")), " ")).drop("raw")
+
     def dropped(self) -> DataFrame:
         """doc_id, text_key, at: the lines (numbered from 0) that are dropped."""
-        lines = _lines(self.docs)
-        index = self.work.keep(lines.select("doc_id", "text_key", "at", "leaf", "form"))
-        rows = index.count()
-        owner = F.xxhash64("doc_id", "text_key").alias("owner")
-        # a form counts once for each document
-        forms = self.work.keep(
-            index.select("leaf", "form", owner).distinct().groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("docs"))
-        )
+        whole = self.work.keep(_indexed(self.docs))
+        rows = whole.agg(F.sum(F.size("lines"))).first()[0] or 0
+        index = whole.select("doc_id", "text_key", F.inline("lines"))
+        # a form counts once for each document; any document that has it gives its tokens
+        first = lambda x, i: (i == 0) | (F.get("lines", i - 1)["form"] != x["form"])
+        forms = whole.select("doc_id", "text_key", F.inline(F.filter("lines", first))).groupBy("leaf", "form")
+        forms = forms.agg(F.count(F.lit(1)).alias("docs"), *(F.first(c).alias(c) for c in ("doc_id", "text_key", "at")))
+        forms = self.work.keep(forms)
         leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("forms"))
         full = leaves.filter(F.col("docs") >= self.long_docs).select("leaf", "forms")
-        wanted = forms.join(full, "leaf")
-        # any of the equal ones, before they meet their counts
-        texts = lines.groupBy("leaf", "form").agg(F.min("line").alias("line"))
-        distinct = texts.join(wanted, ["leaf", "form"])
-        distinct = self.work.keep(distinct.withColumn("tokens", F.split("line", " ")).drop("line"))
+        distinct = self.work.keep(self._tokens(forms.join(full, "leaf")))
         single = distinct.filter("forms = 1").select("leaf", "form", "docs", "tokens")
         several = distinct.filter("forms > 1")
         parts = several.select("leaf", "form", "docs", F.posexplode("tokens").alias("place", "token"))
