@@ -865,6 +865,7 @@ SELECT {I_COLS} FROM (SELECT * FROM i_docs n WHERE NOT EXISTS (SELECT 1 FROM i_f
     WHERE o.doc_prefix = n.doc_prefix AND o.doc_no = n.doc_no AND o.product_id = n.product_id)
   QUALIFY doc_prefix IS NULL
     OR row_number() OVER (PARTITION BY doc_prefix, doc_no, product_id ORDER BY {I_ORDER}) = 1)"""
+Q["sales_insert_bucketed"] = Q["sales_insert_ignore"]
 S_COLS = f"{d('unit_cost')} AS unit_cost, {d('unit_price')} AS unit_price, stock_tag"
 Q["stock_upsert"] = f"""
 SELECT product_id, warehouse_id,
@@ -951,6 +952,13 @@ SELECT COUNT(*) AS pages, CAST(SUM(records) AS BIGINT) AS records,
   COUNT(*) >= 100 AND MAX(last_records) >= 1000 AS hit_page_limit
 FROM pages, last"""
 
+Q["ingest_sales_stream"] = """
+SELECT status AS doc_prefix, COUNT(DISTINCT (doc_no, product_id)) AS sales_rows
+FROM m_docs WHERE doc_no % 97 != 0 GROUP BY status
+UNION ALL
+SELECT NULL, COUNT(*) FROM m_docs WHERE doc_no % 97 = 0 HAVING COUNT(*) > 0"""
+
+
 def _needed(body: str) -> list[str]:
     """The CTEs a query uses, directly or through others, in definition order."""
     found: set[str] = set()

@@ -33,14 +33,15 @@ def new_sales(
 
     Rows with a NULL in the key never conflict; they skip the aggregation and
     the join, where they would all meet in one task. The stored history is
-    read for its keys only, and is filtered where it is read while the batch's
-    keys are few enough for Spark to broadcast, by their measured size. Beyond that
-    the keys are shuffled.
+    read for its keys only. While the batch's keys are few enough for Spark to
+    broadcast, by their measured size, it is filtered where it is read. Beyond that a
+    history in buckets by key (``ledger.SalesKeys``) meets them bucket by bucket and stays
+    where it is; any other one is shuffled.
     """
     keys = keys or SALES_KEY
     keyed = one_per_key(batch.filter(_has_key(keys)), keys, order, last=False)
     if existing is not None:
-        known = existing.select(*keys).join(keyed.select(*keys), keys, "left_semi").distinct()
+        known = existing.select(*keys).join(keyed.select(*keys), keys, "left_semi")
         keyed = keyed.join(known, keys, "left_anti")
     return keyed.unionByName(batch.filter(~_has_key(keys)))
 

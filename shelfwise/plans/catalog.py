@@ -19,6 +19,8 @@ from shelfwise.operators import kpis, lifecycle, merges, metrics, purchases, rep
 from shelfwise.plans import daily, load
 from shelfwise.sources import calendar, payloads, records, storage
 from shelfwise.sources import tpch_model as M
+from shelfwise.sources.ledger import SalesKeys
+from shelfwise.streaming import ingest
 from shelfwise.tables import Tables
 
 AS_OF = M.AS_OF
@@ -554,6 +556,20 @@ def sales_insert_ignore(t, spark, sf_dir):
     return merges.merge_sales(existing, docs, DOC_ORDER)
 
 
+@query
+def sales_insert_bucketed(t, spark, sf_dir):
+    """The same load against keys that are stored in buckets by an earlier batch."""
+    docs = _documents(spark, sf_dir)
+    named = docs.withColumns({k: F.col(k).cast("string") for k in merges.SALES_KEY})
+    first = merges.new_sales(None, named.filter(F.col("line_no") <= 3), DOC_ORDER)
+    keys = SalesKeys(spark, _root(spark))
+    keys.add(first, "first")
+    keys.compact()
+    fresh = merges.new_sales(keys.stored(without="second"), named, DOC_ORDER)
+    both = first.unionByName(fresh)
+    return both.withColumns({k: F.col(k).cast(docs.schema[k].dataType) for k in merges.SALES_KEY})
+
+
 @query
 def stock_upsert(t, spark, sf_dir):
     """Stock of every third warehouse arrives twice with new quantities; the last one wins."""
@@ -821,3 +837,32 @@ def page_report(t, spark, sf_dir):
     feed = _sales_feed(spark, sf_dir)
     page = F.floor(F.col("NUMDOC").cast("long") / PAGE_DOCUMENTS).alias("page")
     return payloads.page_report(feed.groupBy(page).agg(F.count(F.lit(1)).alias("records")))
+
+
+# --- loads: landed, stored and read back -------------------------------------------
+
+
+def _landed_sales(spark: SparkSession, sf_dir: str) -> str:
+    """The sales lines as payload files, one for each page; some lines lack their document's prefix."""
+    feed = _sales_feed(spark, sf_dir)
+    feed = feed.withColumn("PREFIJO", F.when(F.col("NUMDOC").cast("long") % NO_PREFIX != 0, F.col("PREFIJO")))
+    fields = [c for c in feed.columns if c != "seq"]
+    pages = _pages(feed, fields, F.floor(F.col("NUMDOC").cast("long") / PAGE_DOCUMENTS))
+    folder = f"{_root(spark)}/sales"
+    rows = _enveloped(pages, payloads.SALES_ENVELOPE).select("body", "page")
+    rows.repartition("page").write.partitionBy("page").text(folder)
+    return folder
+
+
+@query
+def ingest_sales_stream(t, spark, sf_dir):
+    """Payload files of all sales lines through the recurring ingest, whose last batch is lost and repeated.
+
+    Rows with a whole key are stored once, rows without one as often as they came.
+    """
+    landing, root, checkpoint = _landed_sales(spark, sf_dir), _root(spark), _root(spark)
+    ingest.ingest_sales(spark, landing, root, checkpoint).awaitTermination()
+    ingest.forget_last_batch(spark, checkpoint)
+    ingest.ingest_sales(spark, landing, root, checkpoint).awaitTermination()
+    stored = storage.read_table(spark, root, "sales")
+    return stored.groupBy("doc_prefix").agg(F.count(F.lit(1)).alias("sales_rows"))

@@ -25,8 +25,10 @@ from shelfwise.sources.payloads import (
     read_payloads,
     record_lists,
 )
+from shelfwise.sources.ledger import SalesKeys
 from shelfwise.sources.storage import (
     append_sales,
+    new_batch,
     read_table,
     replace_partitions,
     replace_table,
@@ -67,25 +69,30 @@ def load_sales(
 
     The window is what the source was asked for; late records that it sends all the
     same are stored like all others, and are counted as ``outside``. Rows whose key is
-    complete are stored once however often they come; those with a NULL in it are
-    stored again by each call. Quarantined records of a named batch replace those it has
-    left before.
+    complete are stored once however often they come. A named batch that is repeated replaces
+    what it has left before: its rows, those with a NULL in the key too, and its
+    quarantined records.
     """
+    name = batch or new_batch()
     with Scratch(spark) as scratch:
         records = scratch.keep(records)
         rows = R.sales_rows(records)
         products = _load_products(spark, root, records, "REFER", scratch)
         bad = R.bad_sales(records)
         _keep_bad(bad, root, "sales_records", batch)
-        fresh = scratch.keep(new_sales(read_table(spark, root, "sales"), rows, ORDER))
+        keys = SalesKeys(spark, root)
+        fresh = scratch.keep(new_sales(keys.stored(without=name), rows, ORDER))
         inside = F.lit(True)
         if first is not None:
             inside = F.col("sale_date").between(F.lit(first), F.lit(last or first))
         counts = rows.agg(F.count(F.lit(1)).alias("processed"), F.count_if(~inside).alias("outside")).first()
+        inserted = append_sales(fresh, root, name)
+        # a batch lost in between does not meet its own keys when it is repeated
+        keys.add(fresh, name)
         return {
             "processed": counts["processed"],
             "outside": counts["outside"],
-            "inserted": append_sales(fresh, root),
+            "inserted": inserted,
             "products": products,
             "quarantined": bad.count(),
         }

@@ -52,6 +52,7 @@ SALES = _table(
     product_id="string", qty=QTY, unit_price=QTY, amount=QTY,
     discount_pct=PERCENT, discount=QTY, cost=QTY, margin=QTY,
     margin_pct=PERCENT, tax_pct=TAX, seller_id="string", seller_name="string",
+    batch_id="string",
 )
 STOCK = _table(
     warehouse_id="string", product_id="string", qty=QTY, unit_cost=QTY,
@@ -118,9 +119,11 @@ TABLES = {
     "network_metrics": NETWORK_METRICS,
     "region_metrics": REGION_METRICS,
 }
+#: columns that only say which load has stored a row; readers do not see them
+HIDDEN = {"sales": ["batch_id"]}
 #: partition columns of the tables on disk
 PARTITIONS = {
-    "sales": ["sale_date"],
+    "sales": ["sale_date", "batch_id"],
     "stock_daily": ["snapshot_date"],
     "stock": ["warehouse_id"],
     "metrics": ["calc_date"],

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import constants as K
-from shelfwise.schemas import PARTITIONS, TABLES
+from shelfwise.schemas import HIDDEN, PARTITIONS, TABLES
 from shelfwise.tables import Tables
 
 
@@ -28,6 +29,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         df = spark.createDataFrame([], schema)
+    df = df.drop(*HIDDEN.get(name, []))
     return with_total_cover(df) if name == "brands" else df
 
 
@@ -107,11 +109,24 @@ def finish_replacement(spark: SparkSession, root: str, name: str) -> None:
         files.rename(new, here)
 
 
-def append_sales(df: DataFrame, root: str) -> int:
-    """Append sales by date; files are sorted by product, so product filters skip row groups."""
-    seen = Observation()
-    rows = conform(df, "sales").hint("rebalance", *PARTITIONS["sales"])
-    rows = rows.sortWithinPartitions("sale_date", "product_id")
+def new_batch() -> str:
+    """A name for a load that is not repeated."""
+    return f"load-{uuid.uuid4().hex}"
+
+
+def append_sales(df: DataFrame, root: str, batch: str | None = None) -> int:
+    """Store sales by date and batch; files are sorted by product, so product filters skip row groups.
+
+    What the batch has stored before goes first, so a batch that is repeated, also after
+    it was cut short, leaves its rows once, those without a whole key too.
+    """
+    spark, seen = df.sparkSession, Observation()
+    if batch:
+        files, days = _files(spark, f"{table_path(root, 'sales')}/*/batch_id={batch}")
+        for found in files.globStatus(days) or []:
+            files.delete(found.getPath(), True)
+    rows = conform(df.withColumn("batch_id", F.lit(batch or new_batch())), "sales")
+    rows = rows.hint("rebalance", "sale_date").sortWithinPartitions("sale_date", "product_id")
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("append").partitionBy(*PARTITIONS["sales"]).parquet(table_path(root, "sales"))
     return seen.get["rows"]

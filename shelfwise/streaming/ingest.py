@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,12 @@ from shelfwise.sources.payloads import stream_payloads
 def _run(stream: DataFrame, handle: Callable[[DataFrame, str], object], checkpoint: str) -> StreamingQuery:
     """Hand every new file to ``handle`` once per batch, until no file is left.
 
-    A batch repeated after a failure stores no complete key twice and replaces what it has
-    put into quarantine; rows with a NULL in their key are stored again.
+    A batch repeated after a failure replaces what it has stored and put into quarantine before.
+    Its name holds that of the stream, so that two streams may feed one table.
     """
+    stream_name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     return (
-        stream.writeStream.foreachBatch(lambda batch, number: handle(batch, str(number)))
+        stream.writeStream.foreachBatch(lambda batch, number: handle(batch, f"{stream_name}-{number}"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -57,3 +59,12 @@ def ingest_stock(
         load_stock(batch.sparkSession, root, stock_records(batch), day, batch=name)
 
     return _run(stream_payloads(spark, landing, max_files), handle, checkpoint)
+
+
+def forget_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """Take back the commit of a stream's last batch, as if the driver had been lost before it: it is repeated."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().isdigit()]
+    if names:
+        files.delete(max(names, key=lambda p: int(p.getName())), False)

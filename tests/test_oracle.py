@@ -1,6 +1,7 @@
 """Every registered query against its SQL, run by DuckDB on the same files."""
 
 import os
+import sys
 
 import duckdb
 import pytest
@@ -46,5 +47,18 @@ def test_query_equals_sql(spark, duck, name):
         assert a == b
 
 
+def test_the_library_stands_without_the_training_data_operators(monkeypatch):
+    """Also where one of the libraries they need is missing."""
+    for missing in ("corpus_pipeline", "ahocorasick"):
+        with monkeypatch.context() as m:
+            for name in [n for n in sys.modules if n.startswith("shelfwise.llm") or n == "corpus_pipeline"]:
+                m.delitem(sys.modules, name)
+            m.setitem(sys.modules, missing, None)
+            with pytest.warns(UserWarning, match="no training-data queries"):
+                assert set(entry.queries()) == set(CATALOG)
+            with pytest.warns(UserWarning, match="no training-data queries"):
+                assert set(entry.oracle_sql()) == set(CATALOG)
+
+
 def test_flagship(spark):
     assert entry.entry(spark).limit(1).count() == 1

@@ -8,11 +8,12 @@ from world import TODAY, days_ago, tables
 import __spark_entry__ as entry
 from shelfwise import schemas
 from shelfwise.functions.filters import look_back
-from shelfwise.operators import reports
+from shelfwise.operators import merges, reports
 from shelfwise.operators import transfers as T
 from shelfwise.plans import daily
 from shelfwise.plans.catalog import CATALOG
 from shelfwise.sources import storage
+from shelfwise.sources.ledger import SalesKeys
 
 SF_DIR = "/root/testdata/sf0.001"
 data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -79,3 +80,32 @@ def test_match_in_cells_joins_on_the_cell(spark):
     position = daily.position_of(t, TODAY)
     split = plan_of(T.match(T.needs(position), T.surpluses(position), split=True))
     assert "need_cell" in split and "surplus_cell" in split
+
+
+def test_a_large_batch_meets_the_stored_keys_in_their_buckets(spark, tmp_path):
+    """200,000 keys, too many for a broadcast: only the batch is shuffled."""
+    keys = SalesKeys(spark, str(tmp_path), buckets=8)
+    row = ["IF(id % 2 = 0, 'A', 'B') AS doc_prefix", "CAST(id AS string) AS doc_no", "CAST(id % 7 AS string) AS product_id"]
+    keys.add(spark.range(0, 300_000).selectExpr(*row), "old")
+    batch = spark.range(200_000, 400_000).selectExpr(*row, "id AS seq")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        fresh = merges.new_sales(keys.stored(without="new"), batch, ["seq"])
+        assert fresh.count() == 100_000
+        plan = plan_of(fresh)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    scans = [i for i, line in enumerate(lines) if keys.name in line and "Scan" in line]
+    assert scans and "Bucketed: true" in lines[scans[0]]
+    for at in scans:  # everything above the scan, up to the join it feeds
+        depth, above = lines[at].find("FileScan"), []
+        for line in reversed(lines[:at]):
+            place = len(line) - len(line.lstrip(" :+-*"))
+            if place < depth:
+                above.append(line)
+                depth = place
+                if "Join" in line:
+                    break
+        assert "Join" in above[-1] and not any("Exchange" in line for line in above)

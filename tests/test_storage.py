@@ -184,6 +184,57 @@ def test_streaming_in_two_runs_equals_one_batch(spark, tmp_path):
         assert rows(read(spark, stream_root, name)) == rows(read(spark, batch_root, name)) != []
 
 
+def test_a_batch_repeated_half_way_stores_its_rows_once(spark, tmp_path, monkeypatch):
+    """Also those with a NULL in the key, and also if the rows were stored but not their keys."""
+    root = str(tmp_path / "db")
+    land(tmp_path / "in", "sales_1.json", [sale(1), sale(1), sale(2), sale(3, PREFIJO=None), sale(3, PREFIJO=None)])
+    from shelfwise.sources.ledger import SalesKeys
+    from shelfwise.sources.payloads import read_payloads
+
+    recs = load.sales_records(read_payloads(spark, str(tmp_path / "in")))
+    SalesKeys(spark, root)
+    with monkeypatch.context() as m:
+        m.setattr(SalesKeys, "add", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            load.load_sales(spark, root, recs, batch="7")
+    assert read(spark, root, "sales").count() == 4
+    before = None
+    for _ in range(2):
+        assert load.load_sales(spark, root, recs, batch="7")["inserted"] == 4
+        stored = rows(read(spark, root, "sales"))
+        assert len(stored) == 4 and stored == (before or stored)
+        before = stored
+    other = load.load_sales(spark, root, recs, batch="8")
+    assert other["inserted"] == 2 and read(spark, root, "sales").count() == 6
+
+
+def test_a_stream_that_lost_its_last_commit_repeats_the_batch(spark, tmp_path):
+    inbox, root, cp = tmp_path / "in", str(tmp_path / "db"), str(tmp_path / "cp")
+    land(inbox, "sales_1.json", [sale(1), sale(2, PREFIJO=None)])
+    ingest.ingest_sales(spark, str(inbox), root, cp).awaitTermination()
+    before = rows(read(spark, root, "sales"))
+    ingest.forget_last_batch(spark, cp)
+    ingest.ingest_sales(spark, str(inbox), root, cp).awaitTermination()
+    assert rows(read(spark, root, "sales")) == before and len(before) == 2
+
+
+def test_stored_keys_survive_a_compaction_and_a_new_session_name(spark, tmp_path):
+    from shelfwise.sources.ledger import SalesKeys
+
+    root = str(tmp_path)
+    keys = SalesKeys(spark, root, buckets=3)
+    frame = lambda *n: spark.createDataFrame([("A", str(i), "P") for i in n], "doc_prefix string, doc_no string, product_id string")
+    keys.add(frame(1, 2), "a")
+    keys.add(frame(2, 3), "b")
+    assert keys.stored().count() == 4 and keys.stored(without="b").count() == 2
+    keys.compact(buckets=5)
+    assert rows(keys.stored(), "doc_no", "batch_id") == [("1", "a"), ("2", "a"), ("3", "b")]
+    spark.sql(f"DROP TABLE {keys.name}")  # another session's catalog does not know it
+    again = SalesKeys(spark, root)
+    assert again.buckets == 5 and again.stored().count() == 3
+    assert len(os.listdir(f"{root}/sales_keys")) == 1
+
+
 def test_streaming_stock_keeps_rows_missing_from_the_feed(spark, tmp_path):
     inbox, root, cp = tmp_path / "in", str(tmp_path / "db"), str(tmp_path / "cp")
     item = lambda p, q: {"BODEGA": "W1", "REFERENCIA": p, "CANTIDAD": q}
