@@ -372,6 +372,10 @@ Q["transfers_ordered"] = f"""
 SELECT {T_OUT}, CASE WHEN category = 'PRINCIPAL' AND abc_class = 'A' THEN 1
   WHEN category = 'PRINCIPAL' THEN 2 ELSE 3 END AS brand_rank FROM t_all
 ORDER BY brand_rank, days_to, product_id, to_id, from_id"""
+Q["transfers_first"] = f"""
+SELECT {T_OUT} FROM t_all
+ORDER BY CASE WHEN category = 'PRINCIPAL' AND abc_class = 'A' THEN 1 WHEN category = 'PRINCIPAL' THEN 2 ELSE 3 END,
+  days_to, product_id, to_id, from_id LIMIT 100"""
 Q["transfer_counts"] = """
 SELECT product_id, to_region, COUNT(*) AS transfers FROM t_all GROUP BY product_id, to_region"""
 

@@ -116,7 +116,7 @@ def pending_transfers(transfers: DataFrame, f: Filters = NO_FILTERS) -> DataFram
 
 
 def pending_transfers_from_counts(counts: DataFrame, f: Filters = NO_FILTERS) -> DataFrame:
-    """The same from ``transfers.transfer_counts``, where no pair was formed."""
+    """The same from counts by region (``offers.region_counts``, ``transfers.transfer_counts``), where no pair was formed."""
     return counts.filter(is_one_of("to_region", f.regions)).agg(
         F.coalesce(F.sum("transfers"), F.lit(0)).alias("pending")
     )

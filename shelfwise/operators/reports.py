@@ -21,6 +21,7 @@ from shelfwise.functions.filters import (
 )
 from shelfwise.functions.numeric import or_zero, percent, ratio, total, value_of
 from shelfwise.operators.purchases import priority_key
+from shelfwise.operators.offers import first_pairs
 from shelfwise.params import DEFAULTS, Params
 
 PAIR = ["product_id", "warehouse_id"]
@@ -153,34 +154,13 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
     return pending.groupBy("alert_type", "level").agg(F.count(F.lit(1)).alias("alerts"))
 
 
-def transfer_list(
-    transfers: DataFrame,
-    stock: DataFrame,
-    product_brand: DataFrame,
-    warehouses: DataFrame,
-    limit: int = 50,
-    state: str | None = K.PENDING,
-    priority: str | None = None,
-    f: Filters = NO_FILTERS,
-    order: str = "days",
-) -> DataFrame:
-    """Transfers to the warehouses that run out first, with both warehouse names.
+#: what comes before the days of the destination: nothing, the priority as a word descending, or its rank
+def _priority_first(order: str) -> list:
+    return {"days": [], "text": [priority_key("text").desc()], "rank": [priority_key("rank").asc()]}[order]
 
-    order "days" is by destination days; "text" puts priority, as a word
-    descending, before it; "rank" puts the urgent ones first.
-    """
-    rows = transfers.filter(is_one_of("to_region", f.regions))
-    for name, wanted in (("state", state), ("priority", priority)):
-        if wanted:
-            rows = rows.filter(F.col(name) == wanted)
-    rows = with_tagged_stock(rows, stock, f.tags)
-    first = {
-        "days": [],
-        "text": [priority_key("text").desc()],
-        "rank": [priority_key("rank").asc()],
-    }[order]
-    by = [*first, "days_to", "product_id", "to_id", "from_id"]
-    top = rows.orderBy(*by).limit(limit)
+
+def _named_transfers(top: DataFrame, product_brand: DataFrame, warehouses: DataFrame, by: list) -> DataFrame:
+    """A limited list with the names of products and of both warehouses, in its order."""
     names = product_brand.select("product_id", "product_name")
 
     def named(role: str) -> DataFrame:
@@ -200,6 +180,34 @@ def transfer_list(
     )
 
 
+def transfer_list(
+    needs: DataFrame,
+    offers: DataFrame,
+    stock: DataFrame,
+    product_brand: DataFrame,
+    warehouses: DataFrame,
+    limit: int = 50,
+    state: str | None = K.PENDING,
+    priority: str | None = None,
+    f: Filters = NO_FILTERS,
+    order: str = "days",
+    handled: DataFrame | None = None,
+) -> DataFrame:
+    """Transfers to the warehouses that run out first, with both warehouse names.
+
+    order "days" is by destination days; "text" puts priority, as a word
+    descending, before it; "rank" puts the urgent ones first. The pairs are formed only for
+    the needs that reach the limit (see ``offers``).
+    """
+    rows = needs.filter(is_one_of("to_region", f.regions))
+    if priority:
+        rows = rows.filter(F.col("priority") == priority)
+    rows = with_tagged_stock(rows, stock, f.tags)
+    by = [*_priority_first(order), "days_to"]
+    top = first_pairs(rows, offers, limit, by, state, handled)
+    return _named_transfers(top, product_brand, warehouses, [*by, "product_id", "to_id", "from_id"])
+
+
 def warehouse_list(
     warehouses: DataFrame,
     metrics: DataFrame,

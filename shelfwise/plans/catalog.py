@@ -15,7 +15,7 @@ from shelfwise.functions.bind import let
 from shelfwise.functions import sizes
 from shelfwise.functions.filters import Filters, look_back
 from shelfwise.operators import alerts as A
-from shelfwise.operators import kpis, lifecycle, merges, metrics, purchases, reports, transfers, views
+from shelfwise.operators import kpis, lifecycle, merges, metrics, offers, purchases, reports, transfers, views
 from shelfwise.plans import daily, load
 from shelfwise.sources import calendar, payloads, records, storage
 from shelfwise.sources import tpch_model as M
@@ -69,8 +69,9 @@ def _position(t: Tables) -> DataFrame:
 
 
 def _pending_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    moves = M.stored(spark, sf_dir).transfers.filter(F.col("state") == K.PENDING)
-    return moves.groupBy("to_region").agg(F.count(F.lit(1)).alias("transfers"))
+    """Pending transfers by region, from needs and surpluses."""
+    stored = M.stored(spark, sf_dir)
+    return offers.region_counts(stored.needs, stored.offers)
 
 
 def _purchases(t: Tables) -> DataFrame:
@@ -176,6 +177,15 @@ def transfers_ordered(t, spark, sf_dir):
     return transfers.in_order(transfers.transfers(_position(t), t.warehouses))
 
 
+@query
+def transfers_first(t, spark, sf_dir):
+    """The first hundred of them in the same order, without forming the others."""
+    stored = M.stored(spark, sf_dir)
+    by = [transfers.brand_rank(), "days_to"]
+    rows = offers.first_pairs(stored.needs, stored.offers, 100, by, state=None)
+    return rows.drop("state")
+
+
 @query
 def transfer_counts(t, spark, sf_dir):
     return transfers.transfer_counts(_position(t))
@@ -274,7 +284,7 @@ def kpi_alerts(t, spark, sf_dir):
 
 @query
 def kpi_transfers(t, spark, sf_dir):
-    return kpis.pending_transfers(M.stored(spark, sf_dir).transfers, SOME_REGIONS)
+    return kpis.pending_transfers_from_counts(_pending_moves(spark, sf_dir), SOME_REGIONS)
 
 
 @query
@@ -322,7 +332,7 @@ def lost_sales(t, spark, sf_dir):
 
 @query
 def kpi_legacy(t, spark, sf_dir):
-    pending = kpis.pending_transfers(M.stored(spark, sf_dir).transfers)
+    pending = kpis.pending_transfers_from_counts(_pending_moves(spark, sf_dir))
     return kpis.legacy(t.sales, t.stock, M.stored(spark, sf_dir).alerts, pending, AS_OF)
 
 
@@ -373,13 +383,15 @@ def alert_summary(t, spark, sf_dir):
 
 @query
 def transfer_list(t, spark, sf_dir):
-    return reports.transfer_list(M.stored(spark, sf_dir).transfers, t.stock, t.product_brand, t.warehouses)
+    stored = M.stored(spark, sf_dir)
+    return reports.transfer_list(stored.needs, stored.offers, t.stock, t.product_brand, t.warehouses)
 
 
 @query
 def transfer_list_text_order(t, spark, sf_dir):
+    stored = M.stored(spark, sf_dir)
     return reports.transfer_list(
-        M.stored(spark, sf_dir).transfers, t.stock, t.product_brand, t.warehouses, f=OUTLET, order="text"
+        stored.needs, stored.offers, t.stock, t.product_brand, t.warehouses, f=OUTLET, order="text"
     )
 
 
@@ -776,7 +788,9 @@ def apply_alert_status(t, spark, sf_dir):
 
 @query
 def apply_transfer_status(t, spark, sf_dir):
-    rows = M.stored(spark, sf_dir).transfers.withColumn("executed", F.lit(False)).withColumn(
+    stored = M.stored(spark, sf_dir)
+    pairs = transfers.match(stored.needs.drop("state", "generated_on"), stored.offers, split=False)
+    rows = M.with_state(pairs).withColumn("executed", F.lit(False)).withColumn(
         "executed_at", F.lit(None).cast("timestamp_ntz")
     )
     changes = _changes(rows, lifecycle.TRANSFER_KEY, ["APROBADO", "EJECUTADO"])

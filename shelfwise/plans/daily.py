@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfwise import constants as K
 from shelfwise.functions.filters import NO_FILTERS, Filters
-from shelfwise.functions.sizes import Scratch
+from shelfwise.functions.sizes import Scratch, is_small
 from shelfwise.operators import alerts as A
-from shelfwise.operators import kpis, metrics, purchases, reports, transfers
+from shelfwise.operators import kpis, metrics, offers, purchases, reports, transfers
 from shelfwise.params import DEFAULTS, Params
 from shelfwise.sources import storage
 from shelfwise.tables import Tables
@@ -27,16 +27,18 @@ def run_daily(
     """Metrics, alerts, transfers and purchases of a day, written to their tables.
 
     The positions are computed once and kept as a table; every output reads them.
+    Transfers are stored as needs and surpluses, not as pairs (``write_transfer_pairs``).
     """
     t = storage.open_tables(spark, root)
     with Scratch(spark) as scratch:
         position = scratch.keep(position_of(t, as_of, p))
         written = storage.write_metrics(metrics.metrics_of(position), root, as_of)
         raised = storage.replace_pending(A.alerts(position, p=p), root, "alerts", as_of)
-        moves = storage.replace_pending(
-            transfers.transfers(position, t.warehouses, p).withColumn("executed", F.lit(False)),
-            root, "transfers", as_of,
-        )
+        today = F.lit(as_of).alias("generated_on")
+        needs = offers.open_needs(position, p).select("*", F.lit(K.PENDING).alias("state"), today)
+        storage.write_day(needs, root, "transfer_needs", as_of)
+        storage.write_day(offers.open_offers(position).select("*", today), root, "transfer_offers", as_of)
+        moves = offers.pair_total(position, p).first()["transfers"]
     buys = storage.replace_pending(
         purchases.purchases(t.sales, t.stock, t.product_brand, t.warehouses, as_of, p),
         root, "purchases", as_of,
@@ -45,11 +47,26 @@ def run_daily(
         "date": as_of.isoformat(),
         "metrics": written,
         "alerts": raised,
-        "transfers": moves["total"],
+        "transfers": moves,
         "purchases": buys["total"],
     }
 
 
+def write_transfer_pairs(spark: SparkSession, root: str, as_of: dt.date, p: Params = DEFAULTS) -> int:
+    """All pairs of a day's needs and surpluses as rows, for whoever wants them; their number.
+
+    Pending rows of the day are replaced, handled ones stay.
+    """
+    day = F.col("generated_on") == F.lit(as_of)
+    needs, surplus = (
+        storage.read_table(spark, root, n).filter(day).drop("generated_on")
+        for n in ("transfer_needs", "transfer_offers")
+    )
+    split = not is_small(storage.read_table(spark, root, "warehouses"), p.match_cell_rows)
+    rows = transfers.match(needs, surplus, split, p).withColumn("executed", F.lit(False))
+    return storage.replace_pending(rows, root, "transfers", as_of)["total"]
+
+
 def write_rollups(spark: SparkSession, root: str, as_of: dt.date, p: Params = DEFAULTS) -> None:
     """Network and region roll-ups of a day whose metrics are written."""
     t = storage.open_tables(spark, root)
@@ -91,13 +108,16 @@ def kpi_purchases(t: Tables, stored: DataFrame | None, as_of: dt.date, p: Params
 def kpi_board(
     t: Tables,
     alerts: DataFrame,
-    transfer_rows: DataFrame,
+    transfer_counts: DataFrame,
     purchase_rows: DataFrame | None,
     as_of: dt.date,
     f: Filters = NO_FILTERS,
     p: Params = DEFAULTS,
 ) -> dict[str, DataFrame]:
-    """All indicator blocks; each honours its own part of the filters."""
+    """All indicator blocks; each honours its own part of the filters.
+
+    transfer_counts: pending transfers by to_region, as ``offers.region_counts`` gives them.
+    """
     items = kpis.health_items(
         t.sales, t.stock, alerts, t.warehouses, t.products, as_of, f, p
     )
@@ -106,7 +126,7 @@ def kpi_board(
         "projects": kpis.projects(t.stock, t.warehouses, t.products, f),
         "sales": kpis.sales_totals(t.sales, t.stock, t.warehouses, as_of, f, p),
         "alerts": kpis.pending_alerts(alerts, t.stock, t.warehouses, f),
-        "transfers": kpis.pending_transfers(transfer_rows, f),
+        "transfers": kpis.pending_transfers_from_counts(transfer_counts, f),
         "purchases": kpi_purchases(t, purchase_rows, as_of, p),
         "health": kpis.health_shares(kpis.health(items), alerts),
         "lost_sales": kpis.lost_sales(t.sales, t.stock, t.warehouses, as_of, f, p),

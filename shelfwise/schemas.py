@@ -81,6 +81,14 @@ TRANSFERS = _table(
     abc_class="string", priority="string", state="string", executed="boolean",
     executed_at="timestamp", generated_on="date",
 )
+#: transfers as their two sides; a need's state is that of its pairs
+TRANSFER_NEEDS = _table(
+    product_id="string", to_id="string", to_region="string", days_to=DAYS, needed=QTY,
+    category="string", abc_class="string", priority="string", state="string", generated_on="date",
+)
+TRANSFER_OFFERS = _table(
+    product_id="string", from_id="string", days_from=DAYS, available=QTY, generated_on="date",
+)
 PURCHASES = _table(
     product_id="string", brand_id="string", category="string",
     abc_class="string", stock_network=T.DecimalType(25, 5),
@@ -115,6 +123,8 @@ TABLES = {
     "metrics": METRICS,
     "alerts": ALERTS,
     "transfers": TRANSFERS,
+    "transfer_needs": TRANSFER_NEEDS,
+    "transfer_offers": TRANSFER_OFFERS,
     "purchases": PURCHASES,
     "network_metrics": NETWORK_METRICS,
     "region_metrics": REGION_METRICS,
@@ -129,6 +139,8 @@ PARTITIONS = {
     "metrics": ["calc_date"],
     "alerts": ["generated_on"],
     "transfers": ["generated_on"],
+    "transfer_needs": ["generated_on"],
+    "transfer_offers": ["generated_on"],
     "purchases": ["generated_on"],
     "network_metrics": ["calc_date"],
     "region_metrics": ["calc_date"],

@@ -17,7 +17,7 @@ from shelfwise import constants as K
 from shelfwise.functions.sizes import Scratch
 from shelfwise.operators.alerts import alerts
 from shelfwise.operators.metrics import metrics_of, stock_position
-from shelfwise.operators.transfers import transfers
+from shelfwise.operators.offers import open_needs, open_offers
 from shelfwise.tables import Tables
 
 #: last ship date of the generated data, the same at every scale
@@ -199,11 +199,12 @@ def model(spark: SparkSession, sf_dir: str) -> Tables:
 
 @dataclass(frozen=True)
 class Stored:
-    """What a daily run leaves behind: today's metrics, and alerts and transfers with states."""
+    """What a daily run leaves behind: today's metrics, alerts with states, and both sides of transfers."""
 
     metrics: DataFrame
     alerts: DataFrame
-    transfers: DataFrame
+    needs: DataFrame
+    offers: DataFrame
 
 
 @lru_cache(maxsize=8)
@@ -216,7 +217,8 @@ def _stored(_app: str, spark: SparkSession, sf_dir: str) -> Stored:
     return Stored(
         scratch.keep(metrics_of(position)),
         scratch.keep(with_state(alerts(position))),
-        scratch.keep(with_state(transfers(position, t.warehouses))),
+        scratch.keep(with_state(open_needs(position))),
+        scratch.keep(open_offers(position)),
     )
 
 
@@ -229,7 +231,7 @@ def stored(spark: SparkSession, sf_dir: str) -> Stored:
 
 
 def with_state(df: DataFrame) -> DataFrame:
-    """Give derived alerts or transfers a lifecycle state, to exercise state filters."""
+    """Give derived alerts or needs a lifecycle state, to exercise state filters."""
     handled = F.col("product_id") % 7 == 0
     return df.withColumn("state", F.when(handled, "ATENDIDA").otherwise(K.PENDING)).withColumn(
         "generated_on", F.lit(AS_OF)

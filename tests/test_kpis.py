@@ -102,7 +102,7 @@ def test_pending_alert_tags_need_the_same_warehouse(spark):
 def test_board_has_every_block_and_legacy_has_one_row(spark):
     t = tables(spark, stock=[("P", "W1", 1, 1)], sales=[("P", "W1", 1, 30, 60)])
     a = alerts(spark, ("STOCK_CRITICO", "P", "W1", "PENDIENTE"))
-    moves = spark.createDataFrame([("NORTH", "PENDIENTE"), ("SOUTH", "VISTA")], "to_region string, state string")
+    moves = spark.createDataFrame([("NORTH", 1)], "to_region string, transfers long")
     board = daily.kpi_board(t, a, moves, None, TODAY)
     assert {k: v.count() for k, v in board.items()} == {
         "inventory": 1, "projects": 1, "sales": 1, "alerts": 1, "transfers": 1, "purchases": 1,

@@ -44,8 +44,10 @@ def test_daily_run_writes_every_output_and_can_be_repeated(spark, tmp_path):
         "alerts": {"total": 5, "low": 1, "over": 1, "slow": 2, "no_rotation": 0, "stockout": 1},
         "transfers": 2, "purchases": 0,
     }
-    before = {n: rows(read(spark, root, n)) for n in ("metrics", "alerts", "transfers", "purchases")}
-    assert daily.run_daily(spark, root, TODAY) == first
+    outputs = ("metrics", "alerts", "transfer_needs", "transfer_offers", "transfers", "purchases")
+    assert daily.write_transfer_pairs(spark, root, TODAY) == 2
+    before = {n: rows(read(spark, root, n)) for n in outputs}
+    assert daily.run_daily(spark, root, TODAY) == first and daily.write_transfer_pairs(spark, root, TODAY) == 2
     assert {n: rows(read(spark, root, n)) for n in before} == before
     assert first["alerts"]["total"] == sum(v for k, v in first["alerts"].items() if k != "total")
 
@@ -74,7 +76,7 @@ def test_outputs_that_became_empty_are_cleared(spark, tmp_path):
     write_world(spark, root, stock=[("P", "W1", 30, 1)], sales=[("P", "W1", 1, 30)])
     got = daily.run_daily(spark, root, TODAY)
     assert (got["transfers"], got["metrics"]) == (0, 1)
-    assert read(spark, root, "transfers").count() == 0 and read(spark, root, "alerts").count() == got["alerts"]["total"]
+    assert read(spark, root, "transfer_needs").count() == 0 and read(spark, root, "alerts").count() == got["alerts"]["total"]
 
 
 def test_rollups_are_written(spark, tmp_path):

@@ -1,9 +1,13 @@
+import collections
+import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 from world import TODAY, one, rows, tables
 
 from shelfwise import Params
+from shelfwise.operators import offers
 from shelfwise.operators import transfers as T
 from shelfwise.plans import daily
 
@@ -76,6 +80,58 @@ def test_counts_without_pairs_equal_counted_pairs(spark):
     assert rows(T.transfer_counts(position)) == rows(pairs) != []
 
 
+def sides(spark, seed):
+    """Many needs and surpluses of few products, some with both, in ties of days."""
+    rng = random.Random(seed)
+    need, offer = [], []
+    for product in "PQRS":
+        for w in range(14):
+            if rng.random() < 0.5:
+                state = "VISTA" if rng.random() < 0.2 else "PENDIENTE"
+                prio = rng.choice(["URGENTE", "ALTA", "MEDIA"])
+                need.append((product, f"W{w}", rng.choice("NS"), rng.randrange(4), rng.randrange(1, 9), "C", "A", prio, state))
+            if rng.random() < 0.5 and product != "S":
+                offer.append((product, f"W{w}", rng.randrange(9), rng.randrange(1, 9)))
+    q = "decimal(15,5)"
+    n = spark.createDataFrame(need, "product_id string, to_id string, to_region string, days_to int, needed int, category string, abc_class string, priority string, state string")
+    o = spark.createDataFrame(offer, "product_id string, from_id string, days_from int, available int")
+    pairs = [
+        (p, f, t, region, min(have, lack), state, prio, days)
+        for p, t, region, days, lack, _, _, prio, state in need
+        for p2, f, _, have in offer if p2 == p and f != t
+    ]
+    return n.withColumn("needed", F.col("needed").cast(q)), o.withColumn("available", F.col("available").cast(q)), pairs
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_first_pairs_and_counts_equal_those_of_all_pairs(spark, seed):
+    need, offer, pairs = sides(spark, seed)
+    rng = random.Random(seed)
+    picked = rng.sample(pairs, 15)
+    log = [(*r[:3], rng.choice(["APROBADO", "RECHAZADO"])) for r in picked] + [("P", "W1", "W1", "APROBADO"), ("Z", "W1", "W2", "APROBADO")]
+    handled = spark.createDataFrame(log, "product_id string, from_id string, to_id string, state string")
+    done = {r[:3]: r[3] for r in log}
+    stated = [(r[7], r[0], r[2], r[1], done.get(r[:3], r[5]), r[4], r[3]) for r in pairs]
+    for state in ("PENDIENTE", "VISTA", "APROBADO", None):
+        want = sorted(r for r in stated if state in (None, r[4]))
+        for limit in (1, 7, 40, 1000):
+            got = offers.first_pairs(need, offer, limit, state=state, handled=handled).collect()
+            found = [(r["days_to"], r["product_id"], r["to_id"], r["from_id"], r["state"], int(r["qty"]), r["to_region"]) for r in got]
+            assert found == want[:limit]
+    plain = sorted(((r[7], r[0], r[2], r[1], r[5], r[4], r[3]) for r in pairs if r[5] == "PENDIENTE"))
+    got = offers.first_pairs(need, offer, 25).collect()
+    assert [(r["days_to"], r["product_id"], r["to_id"], r["from_id"]) for r in got] == [r[:4] for r in plain[:25]]
+    by_region = collections.Counter(r[6] for r in stated if r[4] == "PENDIENTE")
+    assert dict(rows(offers.region_counts(need, offer, handled))) == by_region
+
+
+def test_the_list_forms_no_more_pairs_than_its_needs_have(spark):
+    need, offer, _ = sides(spark, 4)
+    plan = spark._jvm.PythonSQLUtils.explainString(offers.first_pairs(need, offer, 5)._jdf.queryExecution(), "simple")
+    joined = plan[plan.index("BroadcastHashJoin [product_id") :]
+    assert "TakeOrderedAndProject(limit=5" in joined
+
+
 def test_order_puts_main_class_a_brands_first(spark):
     got = moves(
         spark,
