@@ -36,13 +36,19 @@ def _stock_in_view(
 def inventory(
     stock: DataFrame, warehouses: DataFrame, products: DataFrame, f: Filters = NO_FILTERS
 ) -> DataFrame:
-    """Products, warehouses, units and value held at sales points."""
-    return _stock_in_view(stock, warehouses, products, f).agg(
-        F.count_distinct("product_id").alias("products"),
-        F.count_distinct("warehouse_id").alias("warehouses"),
-        total("qty").alias("units"),
-        total(value_of()).alias("stock_value"),
-    )
+    """Products, warehouses, units and value held at sales points.
+
+    Two plain aggregates, each combined on the map side, in place of one with two distinct
+    counts, which would multiply every row.
+    """
+    rows = _stock_in_view(stock, warehouses, products, f)
+    per_product = rows.groupBy("product_id").agg(total("qty").alias("units"), total(value_of()).alias("value"))
+    places = rows.groupBy("warehouse_id").agg(F.lit(1).alias("one")).agg(F.count("warehouse_id").alias("n")).scalar()
+    return per_product.agg(
+        F.count("product_id").alias("products"),
+        total("units").alias("units"),
+        total("value").alias("stock_value"),
+    ).select("products", places.alias("warehouses"), "units", "stock_value")
 
 
 def projects(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise import constants as K
 from shelfwise.functions.filters import days_before, look_back, sales_points
 from shelfwise.functions.numeric import or_zero, percent, ratio, rounded, total
+from shelfwise.functions.sizes import Scratch
 from shelfwise.params import DEFAULTS, Params
 
 KEY = ["product_id", "warehouse_id"]
@@ -169,6 +170,7 @@ def network_metrics(
     stock: DataFrame,
     warehouses: DataFrame,
     as_of: dt.date,
+    scratch: Scratch,
     p: Params = DEFAULTS,
 ) -> DataFrame:
     """Stock, sales and ABC class per product over the network.
@@ -202,7 +204,7 @@ def network_metrics(
         .groupBy("product_id")
         .agg(F.sum("qty").alias("q30"), total("amount").alias("sales_value"))
     )
-    both = held.join(abc_classes(sold, "sales_value"), "product_id", "left")
+    both = held.join(abc_classes(sold, "sales_value", "product_id", scratch), "product_id", "left")
     q30 = or_zero("q30")
     days = _days_of(F.col("stock"), q30, p)
     return both.select(
@@ -219,54 +221,45 @@ def network_metrics(
     )
 
 
-ABC_BUCKETS = 256
-
-
-def abc_classes(df: DataFrame, value: str) -> DataFrame:
+def abc_classes(df: DataFrame, value: str, spread: str, scratch: Scratch) -> DataFrame:
     """Add abc_class by the share of all value held by strictly larger rows.
 
-    A running sum over all rows would be one task. Rows of equal value are first
-    summed to one; a fixed number of quantile cuts (a scalar subquery) then
-    splits the values into buckets, whose totals give each bucket its offset,
-    and the running sum is taken inside a bucket. Which cuts come out of the
-    quantile sketch does not change the result.
+    A running sum over all rows would be one task. The rows are dealt by ranges of
+    their value, larger ones first, and of the column ``spread``, so that equal values may
+    fill several partitions; there are as many partitions as the data need. The table is
+    kept with its partition numbers. A second pass takes each partition's total, and its
+    equal values at either end; a row a partition gives every partition what lies before it.
+    Equal values are not larger than one another wherever they lie, so the cuts do not show
+    in the result, and no row is joined by its value.
     """
     v = F.col(value)
-    by_value = df.groupBy(value).agg(F.sum(value).alias("tie_sum"))
-    steps = [i / ABC_BUCKETS for i in range(1, ABC_BUCKETS)]
-    cuts = by_value.agg(
-        F.array_distinct(F.percentile_approx(v.cast("double"), steps, 10_000)).alias("cuts")
-    ).scalar()
-    above = F.size(F.filter(F.col("cuts"), lambda c: c > F.col(value).cast("double")))
-    bucketed = by_value.withColumn("cuts", cuts).withColumn("bucket", above).drop("cuts")
-    # at most ABC_BUCKETS rows: a window without partitions and a broadcast are bounded
-    order = Window.orderBy("bucket")
-    totals = bucketed.groupBy("bucket").agg(F.sum("tie_sum").alias("bucket_sum"))
-    offsets = totals.select(
-        "bucket",
-        F.coalesce(
-            F.sum("bucket_sum").over(order.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("offset"),
-        F.sum("bucket_sum")
-        .over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        .alias("grand"),
-    )
-    inside = Window.partitionBy("bucket").orderBy(v.desc())
-    larger = F.coalesce(
-        F.sum("tie_sum").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    share = ratio(larger + F.col("offset"), F.col("grand"))
-    classes = (
-        bucketed.join(F.broadcast(offsets), "bucket")
-        .withColumn("share", share)
-        .select(
-            value,
-            F.when(F.col("share") < 0.8, "A").when(F.col("share") < 0.95, "B")
-            .otherwise("C").alias("abc_class"),
-        )
-    )
-    return df.join(classes, value, "left")
+    dealt = df.repartitionByRange(v.desc(), F.col(spread)).withColumn("part", F.spark_partition_id())
+    kept = scratch.keep(dealt)
+    ends = kept.groupBy("part").agg(F.sum(v).alias("total"), F.max(v).alias("top"), F.min(v).alias("bottom"))
+    # equal values at the bottom of a partition may go on at the top of the next ones
+    tails = kept.join(F.broadcast(ends.select("part", "bottom")), "part").filter(v == F.col("bottom"))
+    tails = tails.groupBy("part", "bottom").agg(F.sum(v).alias("tail"))
+    events = ends.select("part", F.col("top").alias("v"), F.lit(0).alias("kind"), F.lit(None).alias("tail"))
+    events = events.unionByName(tails.select("part", F.col("bottom").alias("v"), F.lit(1).alias("kind"), "tail"))
+    at_value = Window.partitionBy("v").orderBy("part", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    same = events.withColumn("same", F.coalesce(F.sum("tail").over(at_value), F.lit(0)))
+    same = same.filter("kind = 0").select("part", "same")
+    # a row a partition: windows without a key are bounded by their number
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = ends.select(
+        "part",
+        "top",
+        F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"),
+        F.sum("total").over(whole).alias("grand"),
+    ).join(same, "part")
+    inside = Window.partitionBy("part").orderBy(v.desc())
+    larger = F.sum(v).over(inside) - F.sum(v).over(Window.partitionBy("part", value))
+    rows = kept.withColumn("larger", larger).join(F.broadcast(offsets), "part")
+    first = v == F.col("top")
+    share = ratio(F.col("offset") + F.when(first, -F.col("same")).otherwise(F.col("larger")), F.col("grand"))
+    abc = F.when(share < 0.8, "A").when(share < 0.95, "B").otherwise("C")
+    return rows.select(*df.columns, abc.alias("abc_class"))
 
 
 def region_metrics(

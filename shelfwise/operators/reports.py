@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from shelfwise.functions.filters import (
     with_tagged_stock,
 )
 from shelfwise.functions.numeric import or_zero, percent, ratio, total, value_of
-from shelfwise.operators.purchases import priority_key
 from shelfwise.operators.offers import first_pairs
+from shelfwise.operators.purchases import priority_key
 from shelfwise.params import DEFAULTS, Params
 
 PAIR = ["product_id", "warehouse_id"]
@@ -54,6 +55,11 @@ def tag_choices(stock: DataFrame) -> DataFrame:
     return pairs.groupBy("tag").agg(F.count("product_id").alias("products"))
 
 
+def fetched(few: DataFrame) -> DataFrame:
+    """A list bounded by its limit as a local table, so that all who use it read the same rows."""
+    return few.sparkSession.createDataFrame(few.toArrow(), schema=few.schema)
+
+
 # --- lists -------------------------------------------------------------------
 
 
@@ -70,8 +76,8 @@ def alert_list(
 ) -> DataFrame:
     """Newest alerts with names, local stock value and national stock, and who handled them when.
 
-    The limit is taken first and stock is read afterwards, only for the
-    products of the limited list (broadcast; at most ``limit`` rows). A tag
+    The limit is taken first, once (at most ``limit`` rows come to the driver), and stock is
+    read afterwards, only for the products of the limited list. A tag
     filter needs stock before the limit and then joins it.
     """
     rows = alerts
@@ -92,7 +98,7 @@ def alert_list(
         tags = stock.select(*PAIR, "stock_tag")
         rows = rows.join(tags, PAIR, "left").filter(tag_matches("stock_tag", f.tags))
     order = [F.col("generated_on").desc(), "alert_type", "product_id", "warehouse_id"]
-    top = rows.orderBy(*order).limit(limit)
+    top = fetched(rows.orderBy(*order).limit(limit))
     if not early:
         top = named(top)
     wanted = F.broadcast(top.select("product_id").distinct())
@@ -619,18 +625,27 @@ def brand_breakdown(
         ).alias("totals")
     ).scalar()
     brand = product_brand.select("product_id", "brand_id", "brand_name", "category", "abc_class")
-    held = (
+    group = ["brand_key", "brand_name", "category", "abc_class"]
+    branded = (
         in_view.filter(F.col("qty") > 0)
         .join(brand, "product_id")
         .withColumn("brand_key", F.when(F.col("brand_name").isNotNull(), F.col("brand_id")))
-        .groupBy("brand_key", "brand_name", "category", "abc_class")
+    )
+    # first per product and per place, so that no row is multiplied for its distinct counts
+    held = (
+        branded.groupBy(*group, "product_id")
+        .agg(total("qty").alias("units"), total(value_of()).alias("stock_value"))
+        .groupBy(*group)
         .agg(
-            F.count_distinct("product_id").alias("products"),
-            F.count_distinct("warehouse_id").alias("warehouses"),
-            total("qty").alias("units"),
-            total(value_of()).alias("stock_value"),
+            F.count(F.lit(1)).alias("products"),
+            F.sum("units").alias("units"),
+            F.sum("stock_value").alias("stock_value"),
         )
     )
+    places = branded.groupBy(*group, "warehouse_id").agg(F.lit(1).alias("one"))
+    places = places.groupBy(*(F.col(c).alias(f"of_{c}") for c in group)).agg(F.count(F.lit(1)).alias("warehouses"))
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in group))
+    held = held.join(places, same)
     points = sales_points(chosen).select("warehouse_id")
     sold_by_product = (
         sales.filter(F.col("sale_date").between(F.lit(date_from), F.lit(date_to)))

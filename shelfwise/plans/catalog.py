@@ -93,7 +93,7 @@ def stock_metrics(t, spark, sf_dir):
 
 @query
 def network_metrics(t, spark, sf_dir):
-    return metrics.network_metrics(t.sales, t.stock, t.warehouses, AS_OF)
+    return metrics.network_metrics(t.sales, t.stock, t.warehouses, AS_OF, sizes.Scratch(spark))
 
 
 @query

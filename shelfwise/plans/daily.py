@@ -70,8 +70,9 @@ def write_transfer_pairs(spark: SparkSession, root: str, as_of: dt.date, p: Para
 def write_rollups(spark: SparkSession, root: str, as_of: dt.date, p: Params = DEFAULTS) -> None:
     """Network and region roll-ups of a day whose metrics are written."""
     t = storage.open_tables(spark, root)
-    network = metrics.network_metrics(t.sales, t.stock, t.warehouses, as_of, p)
-    storage.write_day(network, root, "network_metrics", as_of)
+    with Scratch(spark) as scratch:
+        network = metrics.network_metrics(t.sales, t.stock, t.warehouses, as_of, scratch, p)
+        storage.write_day(network, root, "network_metrics", as_of)
     today = storage.read_table(spark, root, "metrics").filter(F.col("calc_date") == F.lit(as_of))
     region = metrics.region_metrics(
         today, t.sales, t.stock, t.warehouses, t.regions, as_of, p

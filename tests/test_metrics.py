@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from world import TODAY, one, rows, tables
 
 from shelfwise import Params
+from shelfwise.functions.sizes import Scratch
 from shelfwise.operators import metrics
 from shelfwise.plans import daily
 
@@ -99,15 +100,27 @@ def test_params_change_the_thresholds(spark):
     assert one(m, "stock_state") == ("CRITICO",)
 
 
-def test_abc_classes_match_a_full_sort(spark):
-    """Many ties and one value holding a third of all rows."""
+@pytest.mark.parametrize("parts", [1, 3, 11])
+def test_abc_classes_match_a_full_sort(spark, parts):
+    """Many ties, and one value of a third of all rows that fills several partitions."""
     values = [500] * 100 + [(i * 37) % 91 + i % 7 for i in range(200)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, v long")
-    got = {r["k"]: r["abc_class"] for r in metrics.abc_classes(df, "v").collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with Scratch(spark) as scratch:
+            found = metrics.abc_classes(df, "v", "k", scratch)
+            plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+            got = {r["k"]: r["abc_class"] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     total = sum(values)
     for k, v in enumerate(values):
         share = sum(x for x in values if x > v) / total
         assert got[k] == ("A" if share < 0.8 else "B" if share < 0.95 else "C")
+    assert "SortMergeJoin [v#" not in plan and "ShuffledHashJoin [v#" not in plan
 
 
 def test_network_metrics_one_row_per_product(spark):
@@ -116,7 +129,7 @@ def test_network_metrics_one_row_per_product(spark):
         stock=[("P", "W1", 10, 2), ("P", "W2", 0, 2), ("P", "R1", 20, 2)],
         sales=[("P", "W1", 1, 30, 300)],
     )
-    n = metrics.network_metrics(t.sales, t.stock, t.warehouses, TODAY)
+    n = metrics.network_metrics(t.sales, t.stock, t.warehouses, TODAY, Scratch(spark))
     got = one(
         n, "stock", "sales_point_stock", "warehouses_with_stock", "sales_points_with_stock",
         "sales_points_without_stock", "days_of_stock", "abc_class",

@@ -109,3 +109,15 @@ def test_a_large_batch_meets_the_stored_keys_in_their_buckets(spark, tmp_path):
                 if "Join" in line:
                     break
         assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+
+
+@data
+@pytest.mark.parametrize("name", ["kpi_inventory", "brand_breakdown"])
+def test_distinct_counts_multiply_no_rows(spark, name):
+    assert "Expand" not in plan_of(entry.queries()[name](spark, SF_DIR))
+
+
+@data
+def test_the_alert_list_takes_its_limit_once(spark):
+    plan = plan_of(entry.queries()["alert_list"](spark, SF_DIR))
+    assert "LocalTableScan" in plan and "alert_type" in plan and plan.count("TakeOrderedAndProject") == 0
