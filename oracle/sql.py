@@ -963,6 +963,34 @@ UNION ALL
 SELECT NULL, COUNT(*) FROM m_docs WHERE doc_no % 97 = 0 HAVING COUNT(*) > 0"""
 
 
+Q["load_selection"] = f"""
+SELECT CAST(sale_date AS VARCHAR) AS sale_date, warehouse_id, COUNT(*) AS sales_rows, {d('SUM(qty)')} AS units
+FROM m_sales WHERE sale_date = {TODAY} - 1 GROUP BY sale_date, warehouse_id"""
+Q["csv_export"] = f"""
+WITH listed AS ({Q['warehouse_list']})
+SELECT CAST(warehouse_id AS VARCHAR) AS code, name, wtype, region_id AS region, products, units, stock_value FROM listed"""
+Q["end_to_end_run"] = """
+SELECT (SELECT COUNT(*) FROM m_metrics) AS metrics, (SELECT COUNT(*) FROM a_all) AS alerts,
+  (SELECT COUNT(*) FROM t_all) AS transfers, (SELECT COUNT(*) FROM e_purchases) AS purchases,
+  (SELECT COUNT(*) FROM t_needs WHERE needed > 0) AS needs"""
+Q["alert_changes"] = f"""
+SELECT alert_type, CASE WHEN {HIT} THEN {NEW_STATE.format('IGNORADA', 'VISTA')} ELSE state END AS state,
+  COUNT(*) AS alerts, COUNT(*) FILTER (WHERE {HIT}) AS handled FROM a_stored GROUP BY ALL"""
+Q["transfer_changes"] = f"""
+SELECT {d('days_to')} AS days_to, product_id, from_id, to_id, to_region, {d('qty')} AS qty, state
+FROM (SELECT *, row_number() OVER (ORDER BY days_to, product_id, to_id, from_id) AS n FROM t_stored)
+WHERE n > 60 AND state = 'PENDIENTE' ORDER BY n LIMIT 40"""
+Q["stock_tags"] = """
+SELECT CASE WHEN qty != 0 THEN stock_tag WHEN product_id % 2 = 1 THEN 'AGOTADOS' END AS stock_tag,
+  COUNT(*) AS items, (SELECT COUNT(*) FROM m_stock WHERE qty = 0) AS tagged FROM m_stock GROUP BY 1"""
+Q["alerts_rebuild_written"] = """
+SELECT alert_type, state, COUNT(*) AS alerts,
+  (SELECT COUNT(*) FROM a_pending WHERE alert_type = 'SIN_ROTACION') AS deleted,
+  (SELECT COUNT(*) FROM a_unmoved) AS inserted
+FROM (SELECT alert_type, state FROM a_stored WHERE NOT (alert_type = 'SIN_ROTACION' AND state = 'PENDIENTE')
+  UNION ALL SELECT alert_type, 'PENDIENTE' FROM a_unmoved) GROUP BY alert_type, state"""
+
+
 def _needed(body: str) -> list[str]:
     """The CTEs a query uses, directly or through others, in definition order."""
     found: set[str] = set()

@@ -19,6 +19,7 @@ from shelfwise.operators import kpis, lifecycle, merges, metrics, offers, purcha
 from shelfwise.plans import daily, load
 from shelfwise.sources import calendar, payloads, records, storage
 from shelfwise.sources import tpch_model as M
+from shelfwise.sources.changelog import ChangeLog, tag_stock
 from shelfwise.sources.ledger import SalesKeys
 from shelfwise.streaming import ingest
 from shelfwise.tables import Tables
@@ -880,3 +881,104 @@ def ingest_sales_stream(t, spark, sf_dir):
     ingest.ingest_sales(spark, landing, root, checkpoint).awaitTermination()
     stored = storage.read_table(spark, root, "sales")
     return stored.groupBy("doc_prefix").agg(F.count(F.lit(1)).alias("sales_rows"))
+
+
+@query
+def load_selection(t, spark, sf_dir):
+    """Sales of the window that a load takes by default, that of the day before."""
+    chosen = calendar.select_load(AS_OF, "sales")
+    sold = t.sales.filter(F.col("sale_date").between(F.lit(chosen.sales_from), F.lit(chosen.sales_to)))
+    return sold.groupBy("sale_date", "warehouse_id").agg(F.count(F.lit(1)).alias("sales_rows"), F.sum("qty").alias("units"))
+
+
+@query
+def csv_export(t, spark, sf_dir):
+    """The warehouse list written as CSV and read back."""
+    path = f"{_root(spark)}/csv"
+    storage.export_csv(reports.warehouse_list(t.warehouses, M.stored(spark, sf_dir).metrics), "warehouses", path)
+    rows = spark.read.csv(path, header=True, escape='"')
+    names = {"Código": "code", "Nombre": "name", "Tipo": "wtype", "Regional": "region"}
+    return rows.select(
+        *(F.col(k).alias(v) for k, v in names.items()),
+        F.col("Productos").cast("long").alias("products"),
+        F.col("Unidades").cast("double").alias("units"),
+        F.col("Valor Inventario").cast("double").alias("stock_value"),
+    )
+
+
+def _stored_world(t: Tables, spark: SparkSession) -> str:
+    """The model's tables as a folder of stored ones."""
+    root = _root(spark)
+    storage.append_sales(t.sales, root)
+    storage.replace_partitions(t.stock, root, "stock", spread=True)
+    for name in ("products", "brands", "warehouses", "regions", "warehouse_types"):
+        storage.replace_table(getattr(t, name), root, name)
+    return root
+
+
+@query
+def end_to_end_run(t, spark, sf_dir):
+    """The daily run over stored tables, twice; what the second one says it has written."""
+    root = _stored_world(t, spark)
+    daily.run_daily(spark, root, AS_OF)
+    done = daily.run_daily(spark, root, AS_OF)
+    counts = {"metrics": done["metrics"], "alerts": done["alerts"]["total"], **{k: done[k] for k in ("transfers", "purchases")}}
+    stored = storage.read_table(spark, root, "transfer_needs").agg(F.count(F.lit(1)).alias("needs"))
+    return stored.select(*(F.lit(n).cast("long").alias(k) for k, n in counts.items()), "needs")
+
+
+def _logged(rows: DataFrame, states: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A first and a second batch of changes, as ``_changes`` gives them."""
+    changes = _changes(rows, lifecycle.ALERT_KEY, states)
+    return changes.filter("seq = 1"), changes.filter("seq = 2")
+
+
+@query
+def alert_changes(t, spark, sf_dir):
+    """Changes of alerts appended in two batches, the first folded into the table, and read back with it."""
+    root, rows = _root(spark), storage.conform(M.stored(spark, sf_dir).alerts, "alerts")
+    storage.replace_partitions(rows, root, "alerts")
+    log = ChangeLog(spark, root, "alerts")
+    for name, batch in zip("ab", _logged(rows, ["VISTA", "IGNORADA"]), strict=True):
+        log.append(batch, name)
+        if name == "a":
+            log.compact()
+    return log.current().groupBy("alert_type", "state").agg(
+        F.count(F.lit(1)).alias("alerts"), F.count("handled_by").alias("handled")
+    )
+
+
+@query
+def transfer_changes(t, spark, sf_dir):
+    """The first transfers are handled one by one; the next pending ones, without a list of pairs."""
+    stored, root = M.stored(spark, sf_dir), _root(spark)
+    log = ChangeLog(spark, root, "transfers")
+    first = offers.first_pairs(stored.needs, stored.offers, 60, state=None)
+    state = F.when(F.col("product_id") % 2 == 0, "APROBADO").otherwise("EJECUTADO").alias("state")
+    at = F.lit(DONE_AT).cast("timestamp").alias("at")
+    log.append(first.select(*offers.PAIR, F.lit(AS_OF).alias("generated_on"), state, at, F.lit(1).alias("seq")), "a")
+    handled = log.changes().select(*(F.col(k).cast("long").alias(k) for k in offers.PAIR), "state")
+    rows = offers.first_pairs(stored.needs, stored.offers, 40, handled=handled)
+    return rows.select("days_to", *offers.PAIR, "to_region", "qty", "state")
+
+
+@query
+def stock_tags(t, spark, sf_dir):
+    """Items without stock are tagged, then the tag of even products is cleared again; stock as it is read then."""
+    root = _root(spark)
+    storage.replace_partitions(t.stock, root, "stock", spread=True)
+    items = t.stock.filter(F.col("qty") == 0).select("product_id", "warehouse_id")
+    tagged = tag_stock(spark, root, items, " AGOTADOS ", 1, "a")
+    tag_stock(spark, root, items.filter(F.col("product_id") % 2 == 0), " ", 2, "b")
+    rows = ChangeLog(spark, root, "stock").current()
+    return rows.groupBy("stock_tag").agg(F.count(F.lit(1)).alias("items"), F.lit(tagged).cast("long").alias("tagged"))
+
+
+@query
+def alerts_rebuild_written(t, spark, sf_dir):
+    """No-rotation alerts rebuilt in their table: what is stored then, and how many went and came."""
+    root = _root(spark)
+    storage.replace_partitions(M.stored(spark, sf_dir).alerts, root, "alerts")
+    done = storage.rebuild_no_rotation(A.unmoved_stock(t.sales, t.stock, t.warehouses, AS_OF), root, AS_OF)
+    rows = storage.read_table(spark, root, "alerts").groupBy("alert_type", "state").agg(F.count(F.lit(1)).alias("alerts"))
+    return rows.select("*", *(F.lit(n).cast("long").alias(k) for k, n in done.items()))

@@ -14,6 +14,7 @@ from shelfwise.operators import alerts as A
 from shelfwise.operators import kpis, metrics, offers, purchases, reports, transfers
 from shelfwise.params import DEFAULTS, Params
 from shelfwise.sources import storage
+from shelfwise.sources.changelog import ChangeLog
 from shelfwise.tables import Tables
 
 
@@ -27,8 +28,11 @@ def run_daily(
     """Metrics, alerts, transfers and purchases of a day, written to their tables.
 
     The positions are computed once and kept as a table; every output reads them.
-    Transfers are stored as needs and surpluses, not as pairs (``write_transfer_pairs``).
+    Changes that were logged since the last run are folded in first, so that what was handled
+    is out of the run's way. Transfers are stored as needs and surpluses, not as pairs (``write_transfer_pairs``).
     """
+    for name in ("alerts", "transfers", "stock"):
+        ChangeLog(spark, root, name).compact()
     t = storage.open_tables(spark, root)
     with Scratch(spark) as scratch:
         position = scratch.keep(position_of(t, as_of, p))

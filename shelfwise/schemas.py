@@ -73,13 +73,13 @@ ALERTS = _table(
     alert_type="string", level="string", product_id="string",
     warehouse_id="string", stock=QTY, days_of_stock=DAYS, daily=QTY,
     category="string", abc_class="string", message="string", state="string",
-    handled_by="string", handled_at="timestamp", generated_on="date",
+    handled_by="string", handled_at="timestamp", generated_on="date", done="boolean",
 )
 TRANSFERS = _table(
     product_id="string", from_id="string", to_id="string", to_region="string",
     qty=QTY, days_from=DAYS, days_to=DAYS, category="string",
     abc_class="string", priority="string", state="string", executed="boolean",
-    executed_at="timestamp", generated_on="date",
+    executed_at="timestamp", generated_on="date", done="boolean",
 )
 #: transfers as their two sides; a need's state is that of its pairs
 TRANSFER_NEEDS = _table(
@@ -94,7 +94,7 @@ PURCHASES = _table(
     abc_class="string", stock_network=T.DecimalType(25, 5),
     projected=T.DecimalType(25, 5), qty=T.DecimalType(25, 5), cover_now=DAYS,
     cover_target=DAYS, unit_cost=QTY, purchase_value=MONEY, order_date="date",
-    priority="string", state="string", generated_on="date",
+    priority="string", state="string", generated_on="date", done="boolean",
 )
 NETWORK_METRICS = _table(
     calc_date="date", product_id="string", stock=T.DecimalType(25, 5),
@@ -129,19 +129,20 @@ TABLES = {
     "network_metrics": NETWORK_METRICS,
     "region_metrics": REGION_METRICS,
 }
-#: columns that only say which load has stored a row; readers do not see them
-HIDDEN = {"sales": ["batch_id"]}
+#: columns that only say where a row is kept: by the load that stored it, or apart from what a run replaces;
+#: readers do not see them
+HIDDEN = {"sales": ["batch_id"], "alerts": ["done"], "transfers": ["done"], "purchases": ["done"]}
 #: partition columns of the tables on disk
 PARTITIONS = {
     "sales": ["sale_date", "batch_id"],
     "stock_daily": ["snapshot_date"],
     "stock": ["warehouse_id"],
     "metrics": ["calc_date"],
-    "alerts": ["generated_on"],
-    "transfers": ["generated_on"],
+    "alerts": ["generated_on", "done"],
+    "transfers": ["generated_on", "done"],
     "transfer_needs": ["generated_on"],
     "transfer_offers": ["generated_on"],
-    "purchases": ["generated_on"],
+    "purchases": ["generated_on", "done"],
     "network_metrics": ["calc_date"],
     "region_metrics": ["calc_date"],
 }

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import constants as K
+from shelfwise.functions.sizes import Scratch
+from shelfwise.operators.alerts import is_pending_no_rotation, rebuild_counts
+from shelfwise.operators.alerts import rebuild_no_rotation as rebuild_rows
 from shelfwise.schemas import HIDDEN, PARTITIONS, TABLES
 from shelfwise.tables import Tables
 
@@ -47,7 +50,12 @@ def open_tables(spark: SparkSession, root: str) -> Tables:
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """The declared columns and types of a table; missing columns become NULL."""
+    """The declared columns and types of a table; missing columns become NULL.
+
+    Rows of a state other than pending are ``done`` and have a partition of their own.
+    """
+    if "done" in HIDDEN.get(name, []):
+        df = df.withColumn("done", ~F.coalesce(F.col("state") == K.PENDING, F.lit(False)))
     have = set(df.columns)
     return df.select(
         *(
@@ -132,19 +140,19 @@ def append_sales(df: DataFrame, root: str, batch: str | None = None) -> int:
     return seen.get["rows"]
 
 
-def _clear_day(spark: SparkSession, root: str, name: str, column: str, day: dt.date) -> None:
-    """Leave the day's partition without rows."""
-    schema = TABLES[name]
-    empty = spark.createDataFrame([], schema).drop(column)
-    empty.write.mode("overwrite").parquet(f"{table_path(root, name)}/{column}={day.isoformat()}")
+def _clear_day(spark: SparkSession, root: str, name: str, day: dt.date) -> None:
+    """Leave the day's partition without rows, or of a table with handled rows the pending ones' partition."""
+    first, *rest = PARTITIONS[name]
+    place = f"{first}={day.isoformat()}" + "".join(f"/{column}=false" for column in rest)
+    empty = spark.createDataFrame([], TABLES[name]).drop(first, *rest)
+    empty.write.mode("overwrite").parquet(f"{table_path(root, name)}/{place}")
 
 
 def write_day(df: DataFrame, root: str, name: str, day: dt.date) -> int:
     """Replace one day's partition by df, also when df has no rows."""
-    column = PARTITIONS[name][0]
     rows = replace_partitions(df, root, name)
     if rows == 0:
-        _clear_day(df.sparkSession, root, name, column, day)
+        _clear_day(df.sparkSession, root, name, day)
     return rows
 
 
@@ -156,32 +164,44 @@ def write_metrics(metrics: DataFrame, root: str, as_of: dt.date) -> int:
 def replace_pending(fresh: DataFrame, root: str, name: str, as_of: dt.date) -> dict[str, int]:
     """Replace the day's pending rows by fresh ones; handled rows of the day stay.
 
-    Returns how many rows were written per value of the type or priority, and
-    in all; the counts come from the write itself.
+    Handled rows lie in a partition that is not written here, so a run that is cut short at
+    any point loses none. Returns how many rows were written per value of the type or
+    priority, and in all; the counts come from the write itself.
     """
-    spark = fresh.sparkSession
-    new = conform(
-        fresh.withColumn("state", F.lit(K.PENDING)).withColumn("generated_on", F.lit(as_of)), name
-    )
-    today = F.col("generated_on") == F.lit(as_of)
-    old = read_table(spark, root, name).filter(
-        today & ~F.coalesce(F.col("state") == K.PENDING, F.lit(False))
-    )
+    new = fresh.withColumn("state", F.lit(K.PENDING)).withColumn("generated_on", F.lit(as_of))
     kinds = KINDS[name]
-    is_new = F.col("fresh")
     seen = Observation()
-    both = new.withColumn("fresh", F.lit(True)).unionByName(old.withColumn("fresh", F.lit(False)))
-    counted = both.observe(
+    counted = conform(new, name).observe(
         seen,
-        F.count(F.lit(1)).alias("all_rows"),
-        F.count_if(is_new).alias("total"),
-        *(F.count_if(is_new & F.col(kinds[0]).isin(values)).alias(label)
-          for label, values in kinds[1].items()),
+        F.count(F.lit(1)).alias("total"),
+        *(F.count_if(F.col(kinds[0]).isin(values)).alias(label) for label, values in kinds[1].items()),
     )
-    _writer(counted.drop("fresh"), name).parquet(table_path(root, name))
+    _writer(counted, name).parquet(table_path(root, name))
     counts = dict(seen.get)
-    if counts.pop("all_rows") == 0:
-        _clear_day(spark, root, name, "generated_on", as_of)
+    if counts["total"] == 0:
+        _clear_day(fresh.sparkSession, root, name, as_of)
+    return counts
+
+
+def rebuild_no_rotation(unmoved: DataFrame, root: str, as_of: dt.date) -> dict[str, int]:
+    """Replace all pending no-rotation alerts, of any day, by fresh ones of a day; how many went and came.
+
+    Only the pending partitions of the days that lose rows, and of the day, are written.
+    """
+    spark = unmoved.sparkSession
+    with Scratch(spark) as scratch:
+        stored = scratch.keep(read_table(spark, root, "alerts").filter(F.col("state") == K.PENDING))
+        new = scratch.keep(unmoved)
+        counts = rebuild_counts(stored, new).first().asDict()
+        today = F.lit(as_of).alias("generated_on")
+        days = stored.filter(is_pending_no_rotation()).select("generated_on").union(spark.range(1).select(today)).distinct()
+        kept = scratch.keep(stored.join(F.broadcast(days), "generated_on", "left_semi"))
+        rows = scratch.keep(rebuild_rows(kept, new, as_of))
+        replace_partitions(rows, root, "alerts")
+        # a day each; what they are left without is cleared
+        left = rows.select("generated_on").distinct()
+        for row in days.join(left, "generated_on", "left_anti").collect():
+            _clear_day(spark, root, "alerts", row["generated_on"])
     return counts
 
 

@@ -13,6 +13,7 @@ from shelfwise.functions.sizes import Scratch
 from shelfwise.operators import reports
 from shelfwise.plans import daily, load
 from shelfwise.sources import storage
+from shelfwise.sources.changelog import ChangeLog, tag_stock
 from shelfwise.sources.calendar import select_load
 from shelfwise.streaming import ingest
 
@@ -69,6 +70,69 @@ def test_a_rerun_keeps_handled_rows_and_other_days(spark, tmp_path):
     assert rows(read(spark, root, "alerts").filter(F.col("generated_on") < F.lit(TODAY))) == yesterday != []
 
 
+def test_a_run_never_writes_where_handled_rows_lie(spark, tmp_path, monkeypatch):
+    """A driver that is lost in the exchange of the pending partition has handled rows still."""
+    root = str(tmp_path)
+    write_world(spark, root, **WORLD)
+    daily.run_daily(spark, root, TODAY)
+    log = ChangeLog(spark, root, "alerts")
+    stored = read(spark, root, "alerts").filter("alert_type = 'STOCK_CRITICO'")
+    at = F.lit("2025-06-30 10:00:00").cast("timestamp")
+    change = stored.select(*log.kind.keys, F.lit("VISTA").alias("state"), F.lit("u").alias("user"), at.alias("at"), F.lit(1).alias("seq"))
+    wrong = change.withColumn("state", F.lit("?")).withColumn("seq", F.lit(2))
+    assert log.append(change.union(wrong), "a") == {"changes": 2, "rejected": 1}
+    assert log.append(change.union(wrong), "a") == {"changes": 2, "rejected": 1}  # the same batch again
+    assert rows(log.current().filter("state = 'VISTA'"), "alert_type", "handled_by") == [("STOCK_CRITICO", "u")]
+    n = log.current().count()
+    daily.run_daily(spark, root, TODAY)  # folds the log in first
+    assert log.changes().count() == 0
+    day = f"{root}/alerts/generated_on={TODAY.isoformat()}"
+    files = {f: os.path.getmtime(f"{day}/done=true/{f}") for f in os.listdir(f"{day}/done=true")}
+    assert read(spark, root, "alerts").count() == n + 1
+    daily.run_daily(spark, root, TODAY)
+    assert files == {f: os.path.getmtime(f"{day}/done=true/{f}") for f in os.listdir(f"{day}/done=true")}
+    assert read(spark, root, "alerts").count() == n + 1
+
+
+def test_a_day_of_which_all_was_handled_has_nothing_pending(spark, tmp_path):
+    root = str(tmp_path)
+    write_world(spark, root, **WORLD)
+    daily.run_daily(spark, root, TODAY)
+    log = ChangeLog(spark, root, "alerts")
+    every = read(spark, root, "alerts")
+    change = every.select(*log.kind.keys, F.lit("ATENDIDA").alias("state"), F.lit("u").alias("user"), F.lit(None).cast("timestamp").alias("at"), F.lit(1).alias("seq"))
+    log.append(change, "a")
+    before = rows(log.current())
+    assert log.compact() == 1 and log.compact() == 0
+    assert rows(read(spark, root, "alerts")) == before == rows(log.current())
+
+
+def test_tags_are_logged_and_folded_in(spark, tmp_path):
+    root = str(tmp_path)
+    write_world(spark, root, **WORLD)
+    items = spark.createDataFrame([("P", "W1"), ("P", "W1"), ("P", "W2"), ("P", ""), ("Z", "W1")], "product_id string, warehouse_id string")
+    assert tag_stock(spark, root, items, " NEW ", 1, "a") == 2
+    assert tag_stock(spark, root, items.filter("warehouse_id = 'W2'"), " ", 2, "b") == 1
+    log = ChangeLog(spark, root, "stock")
+    want = [("R1", None), ("W1", "NEW"), ("W2", None), ("W3", None)]
+    assert rows(log.current(), "warehouse_id", "stock_tag") == want
+    log.compact()
+    assert rows(read(spark, root, "stock"), "warehouse_id", "stock_tag") == want
+
+
+def test_the_rebuild_is_written_for_all_days(spark, tmp_path):
+    root = str(tmp_path)
+    day = TODAY - dt.timedelta(days=3)
+    old = [("SIN_ROTACION", "P", "W1", "PENDIENTE", day), ("SIN_ROTACION", "Q", "W1", "VISTA", day), ("STOCK_BAJO", "P", "W2", "PENDIENTE", TODAY)]
+    frame = spark.createDataFrame(old, "alert_type string, product_id string, warehouse_id string, state string, generated_on date")
+    storage.replace_partitions(frame, root, "alerts")
+    fresh = spark.createDataFrame([("SIN_ROTACION", "R", "W3")], "alert_type string, product_id string, warehouse_id string")
+    assert storage.rebuild_no_rotation(fresh, root, TODAY) == {"deleted": 1, "inserted": 1}
+    assert rows(read(spark, root, "alerts"), "alert_type", "product_id", "state", "generated_on") == [
+        ("SIN_ROTACION", "Q", "VISTA", day), ("SIN_ROTACION", "R", "PENDIENTE", TODAY), ("STOCK_BAJO", "P", "PENDIENTE", TODAY),
+    ]
+
+
 def test_outputs_that_became_empty_are_cleared(spark, tmp_path):
     root = str(tmp_path)
     write_world(spark, root, **WORLD)
