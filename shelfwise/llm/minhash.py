@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,9 @@ BANDS = 30
 ROWS = 5
 SLOTS = BANDS * ROWS
 #: a pair whose signatures agree in a smaller share is no candidate: for a pair at a
-#: similarity of 0.8 that is 4.6 standard deviations below the mean
-MARGIN = 0.15
-#: a bucket with more classes beside its largest component is split by a second band first
+#: similarity of 0.8 that is 6.1 standard deviations below the mean, a probability of 1e-8
+MARGIN = 0.2
+#: a bucket with more classes beside its largest component is divided by rare n-grams first
 GROUP = 20_000
 #: n-grams of the sets that are compared with each other in one task
 CELL_GRAMS = 2_000_000
@@ -156,11 +156,11 @@ class NearDuplicates:
     all the others first (a star), which joins groups of copies without forming their
     pairs; where a bucket still holds several components, its classes of different
     components are compared with each other. Buckets with more than ``GROUP`` classes
-    beside their largest component are split by a second band first. Links are
+    beside their largest component are divided first, by the rarest n-grams of each set,
+    of which any two linked sets share one. Links are
     confirmed on the full sets. With 30 bands of 5 slots a
-    pair at 0.8 meets in no band with a probability of 7e-6, and one at 0.85 with 6e-8.
-    Where such a large bucket is the only one a pair at 0.8 shares, it is not compared either: if all
-    its buckets may be large, it is missed with a probability of up to 1.1e-4.
+    pair at 0.8 meets in no band, or is no candidate there, with a probability of 7e-6 in
+    all, and one at 0.85 with 6e-8; no pair that meets is lost for the size of its bucket.
 
     Without words or text a document's set is empty and it is linked with nothing. Rows
     equal in id and text are one document; rows with a null id take part like all others.
@@ -329,11 +329,23 @@ class NearDuplicates:
         return self.work.keep(wide.mapInArrow(run, "src binary, dst binary").distinct())
 
     def _split(self, members: DataFrame) -> DataFrame:
-        """Buckets dealt out anew by each of the other bands."""
-        wide = members.select("bucket", "class").join(self.classes.select("class", "bands"), "class")
-        rows = wide.select("bucket", "class", F.explode("bands").alias("band")).filter("bucket != band")
-        rows = rows.select(F.xxhash64("bucket", "band").alias("bucket"), "class").distinct()
-        return self._in_company(rows)
+        """Large buckets divided by prefixes: two sets that are linked share one of their rarest n-grams.
+
+        In any order of n-grams that all sets of a bucket follow, here from the rarest in the
+        bucket, the first n - ceil(percent/100 n) + 1 of a set of n hold one that a
+        linked set has among its own first ones, as it shares all but n - ceil(percent/100 n) at most.
+        """
+        rows = members.select("bucket", "class").distinct()
+        grams = self._grams(rows.select("class").distinct())
+        every = rows.join(grams, "class").select(
+            "bucket", "class", F.size("grams").alias("size"), F.explode("grams").alias("gram")
+        )
+        held = every.groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("held"))
+        own = Window.partitionBy("bucket", "class").orderBy("held", "gram")
+        ranked = every.join(held, ["bucket", "gram"]).withColumn("rank", F.row_number().over(own))
+        needed = F.col("size") - F.floor((F.lit(self.percent) * F.col("size") + 99) / 100) + 1
+        first = ranked.filter(F.col("rank") <= needed)
+        return self._in_company(first.select(F.xxhash64("bucket", "gram").alias("bucket"), "class"))
 
     def grouped(self) -> DataFrame:
         """doc_id, text_key, n_shingles, component (a class) and component_id of each row of documents.
@@ -355,10 +367,11 @@ class NearDuplicates:
             rest = self.work.keep(self._spanning(members, self._components()))
             if not rest.head(1):
                 break
-            now = rest if depth == 3 else rest.filter(F.col("others") <= GROUP)
+            # what is large even then is compared in cells like all others
+            now = rest if depth else rest.filter(F.col("others") <= GROUP)
             self._edges.append(self._within(now))
             large = rest.filter(F.col("others") > GROUP)
-            if depth == 3 or not large.head(1):
+            if depth or not large.head(1):
                 break
             members, depth = self.work.keep(self._split(large)), depth + 1
         found = self._components()
@@ -390,8 +403,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, percent: int = 80) ->
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each group: that of the smallest id, then the smallest text hash.
 
-    Rows equal in id and text are one document and leave one row; documents without words
-    all stay. Columns beside doc_id and text pass through.
+    Rows equal in id and text are one document and leave one row, that with the smallest hash of
+    all its columns; documents without words all stay. Columns beside doc_id and text pass through.
     """
     work = NearDuplicates(docs, size, percent)
     grouped = work.grouped()
@@ -399,8 +412,13 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     with_words = grouped.filter("n_shingles > 0").groupBy("component").agg(F.min(order).alias("best"))
     without = grouped.filter("n_shingles = 0").select(order.alias("best"))
     best = with_words.select("best").unionByName(without)
-    keys = work.work.keep(best.select("best.doc_id", "best.text_key").distinct())
-    key = fresh(docs, "text_key")
-    keyed = docs.withColumn(key, text_key())
-    stay = keyed.join(keys, keyed["doc_id"].eqNullSafe(keys["doc_id"]) & (keyed[key] == keys["text_key"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", key]).drop(key)
+    best = work.work.keep(best.select("best.doc_id", "best.text_key").distinct())
+    key, mark = fresh(docs, "text_key"), fresh(docs, "row_hash")
+    rest = [F.col(c).cast("string") if "map" in kind else F.col(c) for c, kind in docs.dtypes if c != "text"]
+    keyed = docs.withColumns({key: text_key(), mark: F.xxhash64(*rest)})
+    chosen = keyed.groupBy("doc_id", key).agg(F.min(mark).alias("row"))
+    met = chosen["doc_id"].eqNullSafe(best["doc_id"]) & (chosen[key] == best["text_key"])
+    keys = work.work.keep(chosen.join(best, met, "left_semi").select("doc_id", F.col(key).alias("text_key"), "row"))
+    same = keyed["doc_id"].eqNullSafe(keys["doc_id"]) & (keyed[key] == keys["text_key"]) & (keyed[mark] == keys["row"])
+    # rows equal in all columns are left
+    return keyed.join(keys, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key, mark)

@@ -7,7 +7,7 @@ import re
 
 import duckdb
 import pytest
-from test_small import WORD, brute_counts, brute_groups
+from test_small import WORD, brute_counts, brute_groups, empty, odd
 
 import corpus_pipeline
 from shelfwise.llm import linededup, packing
@@ -86,6 +86,20 @@ def test_crowded_lines_are_like_others(spark, monkeypatch):
         assert {r["doc_id"]: r["text"] for r in got if WORD.search(r["text"])} == want
 
 
+def test_stages_take_odd_and_empty_tables(spark):
+    """Null ids and texts, repeated rows, clashing columns; and no rows at all."""
+    work = Work(spark)
+    for start in (odd(spark), empty(spark)):
+        docs, rows = start, start.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            alone = stage(spark, start, SF_DIR)
+            assert alone.columns == start.columns and alone.count() <= 2 * rows
+            docs = work.keep(stage(spark, docs, SF_DIR))
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == docs.count() == 0
+        packed = corpus_pipeline.STAGES[-1][1](spark, start, SF_DIR)
+        assert (packed.count() >= rows) if rows else packed.count() == 0
+
+
 def copies(row, rate):
     digest = hashlib.md5(f"20011104:{row['doc_id']}:{row['text']}".encode()).hexdigest()
     return int(rate) + (int(digest[:13], 16) / 2**52 < rate - int(rate))

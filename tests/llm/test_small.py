@@ -114,6 +114,38 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("group", [0, 2, 10**6])
+def test_one_crowded_bucket_loses_no_link(spark, monkeypatch, group):
+    """All documents share one band only: large buckets are divided by rare n-grams, the others compared in cells."""
+    sign = minhash._sign
+
+    def one_band(size):
+        def run(batches):
+            for b in sign(size)(batches):
+                at = b.schema.get_field_index("bands")
+                yield b.set_column(at, "bands", pa.array([[1]] * b.num_rows, pa.list_(pa.int64())))
+
+        return run
+
+    monkeypatch.setattr(minhash, "_sign", one_band)
+    monkeypatch.setattr(minhash, "GROUP", group)
+    monkeypatch.setattr(minhash, "CELL_GRAMS", 400)
+    rows = [(i, t) for i, t in enumerate(mutated(10, 4) + ["a b", "a b c", "one"])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicate_groups(frame, 2, 80).collect()
+    assert sorted(tuple(r)[:3] for r in got) == brute_groups(rows, 2, 80)
+
+
+def test_rows_equal_in_id_and_text_leave_the_same_one(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, source) for source in "dbca"] + [(2, text, "e")]
+    found = set()
+    for turn in range(3):
+        frame = docs_of(spark, rows[turn:] + rows[:turn]).repartition(turn + 1)
+        found.add(tuple(tuple(r) for r in minhash.drop_near_duplicates(frame).collect()))
+    assert len(found) == 1 and len(next(iter(found))) == 1
+
+
 def test_buckets_split_by_bands_and_in_cells_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(minhash, "GROUP", 2)
     monkeypatch.setattr(minhash, "CELL_GRAMS", 150)
