@@ -34,8 +34,8 @@ RECALL = 0.95
 MORE_TREES = 8
 #: vectors with at most this many links are audited apart
 FEW_LINKS = 3
-#: vectors that are compared with a whole table in one pass over it
-PASS = 20_000
+#: vectors, and their bytes, that the driver sends to be compared with a whole table in one pass over it
+PASS, PASS_BYTES = 8_000, 8 << 20
 #: vectors of a block where saturated vectors' links are counted
 BLOCK = 2048
 #: radians by which bounds on angles are widened for rounding
@@ -281,7 +281,7 @@ class NeighbourGraph:
                 i, j = np.nonzero(given @ unit.T >= threshold)
                 apart = mine[i] != names[j]
                 i, j = i[apart], j[apart]
-                got = np.fromiter((mine[a] in known[b] for a, b in zip(i, j, strict=True)), dtype=np.int64, count=len(j))
+                got = (known[j] == mine[i][:, None]).any(axis=1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(names[j]), pa.array(got)], names=["node", "got"])
 
         total = {True: [0, 0], False: [0, 0]}
@@ -315,8 +315,12 @@ class NeighbourGraph:
 
 
 def _passes(rows: DataFrame, extra: str) -> Iterator[dict[int, tuple]]:
-    """rows (node, vector, extra) in parts of about PASS rows: names, unit vectors and extras by length of vector."""
-    parts = max(1, math.ceil(rows.count() / PASS))
+    """rows (node, vector, extra) in parts of about PASS rows or PASS_BYTES: names, unit vectors and extras by length.
+
+    Lists (found) come as the rows of a matrix, filled up with -1, which is no node.
+    """
+    count, numbers = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()
+    parts = max(1, math.ceil(count / PASS), math.ceil(8 * numbers / PASS_BYTES))
     for part in range(parts):
         at = rows.filter(F.pmod(F.xxhash64(F.lit(SEED + 1), "node"), F.lit(parts)) == part)
         table = at.select("node", "vector", extra).toArrow()
@@ -328,7 +332,10 @@ def _passes(rows: DataFrame, extra: str) -> Iterator[dict[int, tuple]]:
             some = table.take(pa.array(np.flatnonzero(sizes == size)))
             extras = some.column(2).to_pylist()
             if extra == "found":
-                extras = [frozenset(e or ()) for e in extras]
+                known = [e or () for e in extras]
+                extras = np.full((len(known), max([1, *map(len, known)])), -1, dtype=np.int64)
+                for i, own in enumerate(known):
+                    extras[i, : len(own)] = own
             by_size[int(size)] = (some.column(0).to_numpy(), _unit(some.column(1), some.num_rows), extras)
         yield by_size
 
@@ -483,12 +490,14 @@ def linked_vectors(vectors: DataFrame, work: Work, threshold: float = THRESHOLD)
     # minus zero is zero
     plain = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     rows = rows.withColumn("usable", usable).withColumn("vector", F.when(F.col("usable"), plain))
-    rows = work.keep(rows.withColumn("node", F.when(F.col("usable"), F.xxhash64("vector"))))
-    nodes = work.keep(
-        rows.filter("usable")
-        .groupBy("node")
-        .agg(F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("low"))
+    # two hashes tell vectors apart; a node's number is its own
+    key = ["h1", "h2"]
+    rows = rows.withColumns({h: F.when(F.col("usable"), F.xxhash64(F.lit(h), "vector")) for h in key})
+    rows = work.keep(rows)
+    equal = rows.filter("usable").groupBy(*key).agg(
+        F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("low")
     )
+    nodes = work.keep(equal.withColumn("node", F.monotonically_increasing_id()))
     search = NeighbourGraph(nodes.select("node", "vector"), work, threshold)
     search.build()
     graph = search.graph
@@ -523,8 +532,8 @@ def linked_vectors(vectors: DataFrame, work: Work, threshold: float = THRESHOLD)
         .join(counts, "node", "left")
     )
     links = F.coalesce("links", F.lit(0)) + F.coalesce("listed", F.lit(0)) + F.col("copies") - 1
-    result = counted.select("node", links.alias("n_links"), "component_id")
-    linked = rows.filter("usable").select("vec_id", "node").join(result, "node")
+    result = counted.select("node", links.alias("n_links"), "component_id").join(nodes.select("node", *key), "node")
+    linked = rows.filter("usable").select("vec_id", *key).join(result, key)
     alone = rows.filter("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     every = linked.select("vec_id", "n_links", "component_id").unionByName(alone)
     return every.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -139,6 +139,28 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM sized LEFT JOIN first USING (payload_digest)
 """
 
+#: all pairs; the search finds every link of tables as small as these
+_LINKS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id != b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reach AS (
+  SELECT DISTINCT x AS node, x AS other FROM links
+  UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.other
+),
+lowest AS (SELECT node, min(other) AS low FROM reach GROUP BY node),
+counts AS (SELECT x AS node, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, coalesce(l.low, e.vec_id) AS component_id,
+  e.vec_id = coalesce(l.low, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counts c ON c.node = e.vec_id LEFT JOIN lowest l ON l.node = e.vec_id
+"""
+
 #: lines are numbered from 0; of a recurring template's, the first of the smallest id stays
 _LINES = r"""
 WITH owned AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
@@ -238,6 +260,7 @@ FROM known k JOIN subtrees s USING (prefix) LEFT JOIN nodes p ON k.d > 0 AND p.p
 
 ORACLES: dict[str, str] = {
     "op1_line_templates": _LINES,
+    "op6_embedding_links": _LINKS,
     "op2_minhash_groups": _MINHASH,
     "op3_source_mix": _MIXING,
     "op5_url_verdicts": _URLS,

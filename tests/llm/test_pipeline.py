@@ -154,7 +154,7 @@ def test_stages_equal_plain_versions(spark):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for part in ("documents", "pages", "conversations"):
+    for part in ("documents", "pages", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {part} AS SELECT * FROM '{SF_DIR}/{part}.parquet'")
     cursor = duck.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
