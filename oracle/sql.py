@@ -991,6 +991,9 @@ FROM (SELECT alert_type, state FROM a_stored WHERE NOT (alert_type = 'SIN_ROTACI
   UNION ALL SELECT alert_type, 'PENDIENTE' FROM a_unmoved) GROUP BY alert_type, state"""
 
 
+Q["rolling_lookback"] = Q["sales_lookback"]
+
+
 def _needed(body: str) -> list[str]:
     """The CTEs a query uses, directly or through others, in definition order."""
     found: set[str] = set()

@@ -121,8 +121,19 @@ def stock_position(
     once and meet in one join on (product, warehouse), a key that is unique on
     both sides by then. ``stock_qty`` stays NULL where there is no stock row.
     """
+    return position_of_sold(sales_lookback(sales, warehouses, as_of, p), stock, product_brand, warehouses, as_of, p)
+
+
+def position_of_sold(
+    sold: DataFrame,
+    stock: DataFrame,
+    product_brand: DataFrame,
+    warehouses: DataFrame,
+    as_of: dt.date,
+    p: Params = DEFAULTS,
+) -> DataFrame:
+    """The same from look-back sums, whatever they were formed of."""
     held = stock.select(*KEY, F.col("qty").alias("stock_qty"), "unit_cost")
-    sold = sales_lookback(sales, warehouses, as_of, p)
     joined = held.join(sold, KEY, "full").withColumn("qty", or_zero("stock_qty"))
     return with_metrics(with_dims(joined, product_brand, warehouses), as_of, p)
 

@@ -21,6 +21,7 @@ from shelfwise.sources import calendar, payloads, records, storage
 from shelfwise.sources import tpch_model as M
 from shelfwise.sources.changelog import ChangeLog, tag_stock
 from shelfwise.sources.ledger import SalesKeys
+from shelfwise.sources.rolling import RollingSales
 from shelfwise.streaming import ingest
 from shelfwise.tables import Tables
 
@@ -982,3 +983,19 @@ def alerts_rebuild_written(t, spark, sf_dir):
     done = storage.rebuild_no_rotation(A.unmoved_stock(t.sales, t.stock, t.warehouses, AS_OF), root, AS_OF)
     rows = storage.read_table(spark, root, "alerts").groupBy("alert_type", "state").agg(F.count(F.lit(1)).alias("alerts"))
     return rows.select("*", *(F.lit(n).cast("long").alias(k) for k, n in done.items()))
+
+
+@query
+def rolling_lookback(t, spark, sf_dir):
+    """Look-back sums that were moved on over three days, one of which has brought its sales late."""
+    root = _root(spark)
+    late = F.pmod(F.col("doc_no"), F.lit(3)) == 0
+    last = F.col("sale_date") == F.lit(AS_OF - dt.timedelta(days=1))
+    for name, some in (("a", t.sales.filter(~(late & last))), ("b", t.sales.filter(late & last))):
+        storage.append_sales(some, root, name)
+        RollingSales.mark(some, root, name)
+        sums = RollingSales(spark, root, lag=1)
+        for back in (2, 1, 0):
+            sums.move_to(AS_OF - dt.timedelta(days=back))
+    rows = sums.lookback(AS_OF, t.warehouses)
+    return rows.withColumns({k: F.col(k).cast("long") for k in metrics.KEY})

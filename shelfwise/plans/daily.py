@@ -15,6 +15,7 @@ from shelfwise.operators import kpis, metrics, offers, purchases, reports, trans
 from shelfwise.params import DEFAULTS, Params
 from shelfwise.sources import storage
 from shelfwise.sources.changelog import ChangeLog
+from shelfwise.sources.rolling import RollingSales
 from shelfwise.tables import Tables
 
 
@@ -23,25 +24,33 @@ def position_of(t: Tables, as_of: dt.date, p: Params = DEFAULTS) -> DataFrame:
 
 
 def run_daily(
-    spark: SparkSession, root: str, as_of: dt.date, p: Params = DEFAULTS
+    spark: SparkSession, root: str, as_of: dt.date, p: Params = DEFAULTS, rolling: bool = False
 ) -> dict[str, object]:
     """Metrics, alerts, transfers and purchases of a day, written to their tables.
 
     The positions are computed once and kept as a table; every output reads them.
     Changes that were logged since the last run are folded in first, so that what was handled
-    is out of the run's way. Transfers are stored as needs and surpluses, not as pairs (``write_transfer_pairs``).
+    is out of the run's way. With ``rolling`` the look-backs are moved on from stored sums
+    in place of being formed of three months of sales. Transfers are stored as needs and surpluses, not as pairs (``write_transfer_pairs``).
     """
     for name in ("alerts", "transfers", "stock"):
         ChangeLog(spark, root, name).compact()
     t = storage.open_tables(spark, root)
     with Scratch(spark) as scratch:
-        position = scratch.keep(position_of(t, as_of, p))
+        if rolling:
+            sums = RollingSales(spark, root, p=p)
+            sums.move_to(as_of)
+            sold = sums.lookback(as_of, t.warehouses)
+            today = metrics.position_of_sold(sold, t.stock, t.product_brand, t.warehouses, as_of, p)
+        else:
+            today = position_of(t, as_of, p)
+        position = scratch.keep(today)
         written = storage.write_metrics(metrics.metrics_of(position), root, as_of)
         raised = storage.replace_pending(A.alerts(position, p=p), root, "alerts", as_of)
-        today = F.lit(as_of).alias("generated_on")
-        needs = offers.open_needs(position, p).select("*", F.lit(K.PENDING).alias("state"), today)
+        day = F.lit(as_of).alias("generated_on")
+        needs = offers.open_needs(position, p).select("*", F.lit(K.PENDING).alias("state"), day)
         storage.write_day(needs, root, "transfer_needs", as_of)
-        storage.write_day(offers.open_offers(position).select("*", today), root, "transfer_offers", as_of)
+        storage.write_day(offers.open_offers(position).select("*", day), root, "transfer_offers", as_of)
         moves = offers.pair_total(position, p).first()["transfers"]
     buys = storage.replace_pending(
         purchases.purchases(t.sales, t.stock, t.product_brand, t.warehouses, as_of, p),

@@ -26,6 +26,7 @@ from shelfwise.sources.payloads import (
     record_lists,
 )
 from shelfwise.sources.ledger import SalesKeys
+from shelfwise.sources.rolling import RollingSales
 from shelfwise.sources.storage import (
     append_sales,
     new_batch,
@@ -89,6 +90,7 @@ def load_sales(
         inserted = append_sales(fresh, root, name)
         # a batch lost in between does not meet its own keys when it is repeated
         keys.add(fresh, name)
+        RollingSales.mark(fresh, root, name)
         return {
             "processed": counts["processed"],
             "outside": counts["outside"],

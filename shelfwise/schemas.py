@@ -54,6 +54,14 @@ SALES = _table(
     margin_pct=PERCENT, tax_pct=TAX, seller_id="string", seller_name="string",
     batch_id="string",
 )
+#: sums of a day's sales, and of the look-backs at a closed day
+DAILY_SUMS = _table(
+    sale_date="date", product_id="string", warehouse_id="string", units=T.DecimalType(25, 5), sales_rows="long",
+)
+ROLLING_SUMS = _table(
+    as_of="date", product_id="string", warehouse_id="string", q7=T.DecimalType(25, 5), q30=T.DecimalType(25, 5),
+    q90=T.DecimalType(25, 5), sales_rows_30d="long", sales_rows_90d="long",
+)
 STOCK = _table(
     warehouse_id="string", product_id="string", qty=QTY, unit_cost=QTY,
     unit_price=QTY, stock_tag="string", updated_at="timestamp",
@@ -118,6 +126,8 @@ TABLES = {
     "products": PRODUCTS,
     "sellers": SELLERS,
     "sales": SALES,
+    "daily_sums": DAILY_SUMS,
+    "rolling_sums": ROLLING_SUMS,
     "stock_daily": STOCK_DAILY,
     "stock": STOCK,
     "metrics": METRICS,
@@ -135,6 +145,8 @@ HIDDEN = {"sales": ["batch_id"], "alerts": ["done"], "transfers": ["done"], "pur
 #: partition columns of the tables on disk
 PARTITIONS = {
     "sales": ["sale_date", "batch_id"],
+    "daily_sums": ["sale_date"],
+    "rolling_sums": ["as_of"],
     "stock_daily": ["snapshot_date"],
     "stock": ["warehouse_id"],
     "metrics": ["calc_date"],
