@@ -994,6 +994,30 @@ FROM (SELECT alert_type, state FROM a_stored WHERE NOT (alert_type = 'SIN_ROTACI
 Q["rolling_lookback"] = Q["sales_lookback"]
 
 
+Q["page_gaps"] = """
+WITH sent AS (
+  SELECT 'feed ' || CAST(n // 40 AS VARCHAR) AS feed, n % 40 + 1 AS page, records
+  FROM (SELECT doc_no // 200 AS n, COUNT(*) AS records FROM m_docs GROUP BY 1) WHERE n % 7 != 3
+), near AS (
+  SELECT *, COALESCE(LAG(page) OVER w, 0) AS prior, LEAD(page) OVER w AS later FROM sent WINDOW w AS (PARTITION BY feed ORDER BY page)
+)
+SELECT feed, 'missing' AS kind, prior + 1 AS first_page, page - 1 AS last_page FROM near WHERE page > prior + 1
+UNION ALL SELECT feed, 'short', page, page FROM near WHERE later IS NOT NULL AND records < 100
+UNION ALL SELECT feed, 'open', page + 1, page + 1 FROM near WHERE later IS NULL AND records >= 100 AND page < 40"""
+# a key comes in one document, whose lines may be of several weeks: the week that is loaded first has it
+Q["back_load"] = """
+WITH span AS (SELECT MIN(sale_date) AS lo, MAX(sale_date) AS hi FROM m_docs),
+  weeks AS (SELECT CAST(lo + CAST(7 * i AS INTEGER) AS DATE) AS a, LEAST(CAST(lo + CAST(7 * i + 6 AS INTEGER) AS DATE), hi) AS b
+    FROM span, range(0, 1000) t(i) WHERE lo + CAST(7 * i AS INTEGER) <= hi),
+  lines AS (SELECT a, b, status, doc_no, product_id, doc_no % 41 = 0 AS bad FROM weeks JOIN m_docs ON sale_date BETWEEN a AND b),
+  stored AS (SELECT status, doc_no, product_id, MIN(a) AS a FROM lines WHERE doc_no % 97 != 0 GROUP BY ALL
+    UNION ALL SELECT status, doc_no, product_id, a FROM lines WHERE doc_no % 97 = 0),
+  rows_of AS (SELECT a, COUNT(*) AS loaded FROM stored GROUP BY a)
+SELECT CAST(l.a AS VARCHAR) AS start_date, CAST(l.b AS VARCHAR) AS end_date, 'done' AS status,
+  COALESCE(MAX(r.loaded), 0) AS loaded, COUNT(DISTINCT l.product_id) AS products, COUNT(*) FILTER (WHERE bad) AS errors
+FROM lines l LEFT JOIN rows_of r ON r.a = l.a GROUP BY l.a, l.b"""
+
+
 def _needed(body: str) -> list[str]:
     """The CTEs a query uses, directly or through others, in definition order."""
     found: set[str] = set()

@@ -16,8 +16,8 @@ from shelfwise.functions import sizes
 from shelfwise.functions.filters import Filters, look_back
 from shelfwise.operators import alerts as A
 from shelfwise.operators import kpis, lifecycle, merges, metrics, offers, purchases, reports, transfers, views
-from shelfwise.plans import daily, load
-from shelfwise.sources import calendar, payloads, records, storage
+from shelfwise.plans import backload, daily, load
+from shelfwise.sources import calendar, pages, payloads, records, storage
 from shelfwise.sources import tpch_model as M
 from shelfwise.sources.changelog import ChangeLog, tag_stock
 from shelfwise.sources.ledger import SalesKeys
@@ -999,3 +999,28 @@ def rolling_lookback(t, spark, sf_dir):
             sums.move_to(AS_OF - dt.timedelta(days=back))
     rows = sums.lookback(AS_OF, t.warehouses)
     return rows.withColumns({k: F.col(k).cast("long") for k in metrics.KEY})
+
+
+FEED_PAGES = 40
+
+
+@query
+def page_gaps(t, spark, sf_dir):
+    """What feeds of forty pages of sales lines lack after every seventh page was lost."""
+    page = F.floor(F.col("NUMDOC").cast("long") / PAGE_DOCUMENTS)
+    sent = _sales_feed(spark, sf_dir).groupBy(page.alias("n")).agg(F.count(F.lit(1)).alias("records"))
+    feed = F.concat(F.lit("feed "), F.floor(F.col("n") / FEED_PAGES).cast("string"))
+    sent = sent.filter(F.col("n") % 7 != 3).select(feed.alias("feed"), (F.col("n") % FEED_PAGES + 1).alias("page"), "records")
+    return pages.page_gaps(sent, 100, FEED_PAGES)
+
+
+@query
+def back_load(t, spark, sf_dir):
+    """All sales lines loaded week by week, in two calls of which the second finds nothing to do."""
+    span = t.sales.agg(F.min("sale_date").alias("a"), F.max("sale_date").alias("b")).first()
+    root, feed = _root(spark), load.sales_records(payloads.read_payloads(spark, _landed_sales(spark, sf_dir)))
+    half = span["a"] + dt.timedelta(days=55)
+    backload.back_load(spark, root, feed, span["a"], half)
+    backload.back_load(spark, root, feed, span["a"], span["b"])
+    rows = backload.back_load(spark, root, feed, span["a"], span["b"])
+    return rows.select("start_date", "end_date", "status", "loaded", "products", "errors")

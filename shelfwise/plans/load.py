@@ -26,6 +26,7 @@ from shelfwise.sources.payloads import (
     record_lists,
 )
 from shelfwise.sources.ledger import SalesKeys
+from shelfwise.sources.pages import page_gaps, page_records, split_complete
 from shelfwise.sources.rolling import RollingSales
 from shelfwise.sources.storage import (
     append_sales,
@@ -140,28 +141,48 @@ def keep_bad_payloads(
     _keep_bad(quarantine(decode(landed, result_tag)), root, f"{feed}_payloads", batch)
 
 
+def complete_pages(
+    landed: DataFrame, result_tag: str, envelope: tuple[str, ...], page_size: int
+) -> tuple[DataFrame, list[dict]]:
+    """Pages of the feeds that are whole, and what the others lack: a row a gap of a held feed."""
+    gaps = page_gaps(page_records(landed, result_tag, envelope), page_size)
+    return split_complete(landed, gaps)[0], [r.asDict() for r in gaps.orderBy("feed", "first_page").collect()]
+
+
 def run_load(
-    spark: SparkSession, root: str, load: Load, sales_path: str | None, stock_path: str | None
+    spark: SparkSession, root: str, load: Load, sales_path: str | None, stock_path: str | None,
+    page_size: int | None = None,
 ) -> dict[str, dict[str, int]]:
-    """A batch load of what ``load`` selects."""
+    """A batch load of what ``load`` selects.
+
+    With a page size, feeds that lack pages are not loaded; ``held`` tells which pages they lack.
+    """
     result = {}
     if load.sales_from and sales_path:
-        landed = read_payloads(spark, sales_path)
+        landed, held = read_payloads(spark, sales_path), None
+        if page_size:
+            landed, held = complete_pages(landed, SALES_TAG, SALES_ENVELOPE, page_size)
         keep_bad_payloads(landed, root, "sales", SALES_TAG)
         result["sales"] = load_sales(
             spark, root, sales_records(landed), load.sales_from, load.sales_to
         )
+        if held is not None:
+            result["sales"]["held"] = held
     if load.stock_date and stock_path:
-        landed = read_payloads(spark, stock_path)
+        landed, held = read_payloads(spark, stock_path), None
+        if page_size:
+            landed, held = complete_pages(landed, STOCK_TAG, STOCK_ENVELOPE, page_size)
         keep_bad_payloads(landed, root, "stock", STOCK_TAG)
         result["stock"] = load_stock(spark, root, stock_records(landed), load.stock_date)
+        if held is not None:
+            result["stock"]["held"] = held
     return result
 
 
 def history_summary(
     spark: SparkSession, records: DataFrame, first: dt.date, last: dt.date
 ) -> DataFrame:
-    """Outcome per week slice of a back-load: rows, products, errors.
+    """What a back-load would find per week slice: records, products, errors (``backload`` loads them).
 
     All slices are one job. A record's slice is computed from its date; weeks
     without records stay with zeros. Records without a readable date belong to

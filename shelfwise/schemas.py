@@ -62,6 +62,10 @@ ROLLING_SUMS = _table(
     as_of="date", product_id="string", warehouse_id="string", q7=T.DecimalType(25, 5), q30=T.DecimalType(25, 5),
     q90=T.DecimalType(25, 5), sales_rows_30d="long", sales_rows_90d="long",
 )
+#: outcome of each slice of a back-load
+BACKLOAD_SLICES = _table(
+    start_date="date", end_date="date", status="string", loaded="long", products="long", errors="long", message="string",
+)
 STOCK = _table(
     warehouse_id="string", product_id="string", qty=QTY, unit_cost=QTY,
     unit_price=QTY, stock_tag="string", updated_at="timestamp",
@@ -126,6 +130,7 @@ TABLES = {
     "products": PRODUCTS,
     "sellers": SELLERS,
     "sales": SALES,
+    "backload_slices": BACKLOAD_SLICES,
     "daily_sums": DAILY_SUMS,
     "rolling_sums": ROLLING_SUMS,
     "stock_daily": STOCK_DAILY,
@@ -145,6 +150,7 @@ HIDDEN = {"sales": ["batch_id"], "alerts": ["done"], "transfers": ["done"], "pur
 #: partition columns of the tables on disk
 PARTITIONS = {
     "sales": ["sale_date", "batch_id"],
+    "backload_slices": ["start_date"],
     "daily_sums": ["sale_date"],
     "rolling_sums": ["as_of"],
     "stock_daily": ["snapshot_date"],

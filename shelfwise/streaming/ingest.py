@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfwise.functions.sizes import Scratch
 from shelfwise.plans.load import (
     SALES_TAG,
     STOCK_TAG,
@@ -18,7 +19,9 @@ from shelfwise.plans.load import (
     sales_records,
     stock_records,
 )
-from shelfwise.sources.payloads import stream_payloads
+from shelfwise.sources.pages import page_gaps, page_records, split_complete
+from shelfwise.sources.payloads import SALES_ENVELOPE, stream_payloads
+from shelfwise.sources.storage import _files, table_path
 
 
 def _run(stream: DataFrame, handle: Callable[[DataFrame, str], object], checkpoint: str) -> StreamingQuery:
@@ -36,10 +39,36 @@ def _run(stream: DataFrame, handle: Callable[[DataFrame, str], object], checkpoi
     )
 
 
+def _with_held(batch: DataFrame, root: str, name: str, page_size: int) -> DataFrame:
+    """Pages of whole feeds among the batch and what the batches before held back; the rest is held on.
+
+    What is held after a batch has a folder of the batch's name, formed of the one before, so a
+    repeated batch finds what it has found at first.
+    """
+    spark = batch.sparkSession
+    stream, _, number = name.rpartition("-")
+    folder = f"{table_path(root, 'held_pages')}/{stream}"
+    files, before = _files(spark, f"{folder}/{int(number) - 1}")
+    rows = batch
+    if files.exists(before):
+        rows = batch.unionByName(spark.read.schema(batch.schema).parquet(before.toString()))
+    with Scratch(spark) as scratch:
+        kept = scratch.keep(rows)
+        gaps = scratch.keep(page_gaps(page_records(kept, SALES_TAG, SALES_ENVELOPE), page_size))
+        whole, waiting = split_complete(kept, gaps)
+        waiting.write.mode("overwrite").parquet(f"{folder}/{number}")
+        whole.write.mode("overwrite").parquet(f"{folder}/whole-{number}")
+    return spark.read.schema(batch.schema).parquet(f"{folder}/whole-{number}")
+
+
 def ingest_sales(
-    spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int = 1000
+    spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int = 1000, page_size: int | None = None
 ) -> StreamingQuery:
+    """With a page size, pages of a feed wait until all of them have come, over any number of batches."""
+
     def handle(batch: DataFrame, name: str) -> None:
+        if page_size:
+            batch = _with_held(batch, root, name, page_size)
         keep_bad_payloads(batch, root, "sales", SALES_TAG, name)
         load_sales(batch.sparkSession, root, sales_records(batch), batch=name)
 

@@ -284,6 +284,73 @@ def test_a_stream_that_lost_its_last_commit_repeats_the_batch(spark, tmp_path):
     assert rows(read(spark, root, "sales")) == before and len(before) == 2
 
 
+def test_a_feed_with_a_hole_waits(spark, tmp_path):
+    root, inbox = str(tmp_path / "db"), tmp_path / "in"
+    land(inbox, "a_p1.json", [sale(1), sale(2)])
+    land(inbox, "a_p3.json", [sale(5)])
+    land(inbox, "b_p1.json", [sale(11), sale(12)])
+    land(inbox, "b_p2.json", [sale(13)])
+    land(inbox, "c_p1.json", [sale(21)])
+    land(inbox, "c_p2.json", [sale(22), sale(23)])
+    plan = select_load(TODAY, "sales")
+    got = load.run_load(spark, root, plan, str(inbox), None, page_size=2)["sales"]
+    gap = lambda feed, kind, page: {"feed": feed, "kind": kind, "first_page": page, "last_page": page}
+    assert got["held"] == [gap("a_p.json", "missing", 2), gap("c_p.json", "short", 1), gap("c_p.json", "open", 3)]
+    assert [r[0] for r in rows(read(spark, root, "sales"), "doc_no")] == ["11", "12", "13"]
+    land(inbox, "a_p2.json", [sale(3), sale(4)])
+    got = load.run_load(spark, root, plan, str(inbox), None, page_size=2)["sales"]
+    assert {g["feed"] for g in got["held"]} == {"c_p.json"} and got["inserted"] == 5
+
+
+def test_a_stream_holds_pages_back_over_batches(spark, tmp_path):
+    inbox, root, cp = tmp_path / "in", str(tmp_path / "db"), str(tmp_path / "cp")
+    run = lambda: ingest.ingest_sales(spark, str(inbox), root, cp, page_size=2).awaitTermination()
+    stored = lambda: sorted(int(r[0]) for r in rows(read(spark, root, "sales"), "doc_no"))
+    land(inbox, "a_p1.json", [sale(1), sale(2)])
+    run()
+    assert stored() == []
+    land(inbox, "a_p3.json", [sale(5)])
+    land(inbox, "b_p1.json", [sale(11)])
+    run()
+    assert stored() == [11]
+    land(inbox, "a_p2.json", [sale(3), sale(4)])
+    run()
+    ingest.forget_last_batch(spark, cp)
+    run()
+    assert stored() == [1, 2, 3, 4, 5, 11]
+
+
+def test_a_back_load_does_failed_slices_again(spark, tmp_path, monkeypatch):
+    from shelfwise.plans import backload
+    from shelfwise.sources.payloads import read_payloads
+
+    root = str(tmp_path / "db")
+    on = lambda no, n, **kw: sale(no, FECHA=days_ago(n).isoformat(), **kw)
+    land(tmp_path / "in", "s_1.json", [on(1, 20), on(2, 19), on(3, 12), on(3, 12), on(4, 11, PREFIJO=None), on(5, 3, CANTID="?")])
+    recs = load.sales_records(read_payloads(spark, str(tmp_path / "in")))
+    args = (spark, root, recs, days_ago(20), days_ago(0))
+    plain, calls = load.load_sales, []
+
+    def broken(*a, **kw):
+        calls.append(kw["batch"])
+        got = plain(*a, **kw)
+        if kw["batch"] == f"slice-{days_ago(13).isoformat()}":
+            raise RuntimeError("lost after it was stored")
+        return got
+
+    with monkeypatch.context() as m:
+        m.setattr(load, "load_sales", broken)
+        first = rows(backload.back_load(*args), "start_date", "status", "loaded", "errors")
+    assert first == [(days_ago(20), "done", 2, 0), (days_ago(13), "failed", 0, 0), (days_ago(6), "done", 1, 1)]
+    assert len(calls) == 3
+    with monkeypatch.context() as m:
+        m.setattr(load, "load_sales", lambda *a, **kw: calls.append(kw["batch"]) or plain(*a, **kw))
+        again = rows(backload.back_load(*args), "start_date", "status", "loaded", "message")
+    assert calls[3:] == [f"slice-{days_ago(13).isoformat()}"]
+    assert [r[:3] for r in again] == [(days_ago(20), "done", 2), (days_ago(13), "done", 2), (days_ago(6), "done", 1)]
+    assert read(spark, root, "sales").count() == sum(r[2] for r in again) == 5
+
+
 def test_stored_keys_survive_a_compaction_and_a_new_session_name(spark, tmp_path):
     from shelfwise.sources.ledger import SalesKeys
 
