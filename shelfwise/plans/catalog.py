@@ -22,6 +22,7 @@ from shelfwise.sources import tpch_model as M
 from shelfwise.sources.changelog import ChangeLog, tag_stock
 from shelfwise.sources.ledger import SalesKeys
 from shelfwise.sources.rolling import RollingSales
+from shelfwise.sources.trigrams import NameIndex
 from shelfwise.streaming import ingest
 from shelfwise.tables import Tables
 
@@ -1024,3 +1025,13 @@ def back_load(t, spark, sf_dir):
     backload.back_load(spark, root, feed, span["a"], span["b"])
     rows = backload.back_load(spark, root, feed, span["a"], span["b"])
     return rows.select("start_date", "end_date", "status", "loaded", "products", "errors")
+
+
+@query
+def product_search_indexed(t, spark, sf_dir):
+    """The search by an index of the product texts, to which half of the products were added later."""
+    index = NameIndex(spark, _root(spark))
+    odd = F.col("product_id") % 2 == 1
+    index.build(t.products.filter(~odd))
+    index.add(t.products.filter(odd))
+    return index.search(t.products, t.brands, t.stock, SEARCH_TEXT)

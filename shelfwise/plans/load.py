@@ -36,6 +36,7 @@ from shelfwise.sources.storage import (
     replace_table,
     table_path,
 )
+from shelfwise.sources.trigrams import NameIndex
 
 #: name part of the result element in each feed (fixed values)
 SALES_TAG = "Result"
@@ -58,8 +59,12 @@ def _load_products(
 ) -> int:
     rows = scratch.keep(R.product_rows(records, key_field))
     batch = map_brands(rows, read_table(spark, root, "brands"))
-    merged = merge_products(read_table(spark, root, "products"), batch)
+    known = read_table(spark, root, "products")
+    merged = scratch.keep(merge_products(known, batch))
+    texts = ["product_id", "name", "code"]
+    changed = scratch.keep(merged.select(*texts).exceptAll(known.select(*texts)))
     replace_table(merged, root, "products")
+    NameIndex(spark, root).add(changed)
     return rows.count()
 
 

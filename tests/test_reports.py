@@ -6,6 +6,7 @@ from world import TODAY, days_ago, one, rows, tables
 from shelfwise.functions.filters import Filters
 from shelfwise.operators import metrics, reports, views
 from shelfwise.plans import daily
+from shelfwise.sources.trigrams import NameIndex
 
 
 def alert_rows(spark, n=4, days=0):
@@ -226,3 +227,28 @@ def test_views_on_metrics(spark):
     low = views.low_rotation(*args)
     assert rows(low, "product_id", "rotation") == [("P", "SIN MOVIMIENTO 90 DÍAS"), ("Q", "ESPERADO (Marca clase D)")]
     assert [r["product_id"] for r in views.in_view_order("low_rotation", low).collect()] == ["P", "Q"]
+
+
+@pytest.mark.parametrize("text", ["ring", "RING", "r_ng", "ri%g", "in", "a%b", "x1y", "P\\1", "ñandú", "ring 2", "zzz", "%", "ng 2"])
+def test_search_by_index_equals_a_full_scan(spark, tmp_path, text):
+    names = ["Ring 2 mm", "Spring", "r-ng", "RiNg", "ranger", "Ñandú", "a very long b", "x", None]
+    t = tables(spark)
+    products = spark.createDataFrame(
+        [(f"P\\{i}" if i == 1 else f"P{i}", n, None if i == 3 else f"X{i}Y{i}", "A") for i, n in enumerate(names)],
+        "product_id string, name string, code string, brand_id string",
+    )
+    index = NameIndex(spark, str(tmp_path))
+    assert index.candidates("ring") is None  # nothing was built
+    index.build(products.filter("product_id < 'P4'"))
+    index.add(products.filter("product_id >= 'P4'"))
+    got = rows(index.search(products, t.brands, t.stock, text), "product_id")
+    assert got == rows(reports.product_search(products, t.brands, t.stock, text), "product_id")
+
+
+def test_a_search_reads_only_its_postings(spark, tmp_path):
+    products = spark.createDataFrame([(f"P{i}", f"name {i}", "A", "A") for i in range(50)], "product_id string, name string, code string, brand_id string")
+    index = NameIndex(spark, str(tmp_path))
+    index.build(products)
+    plan = spark._jvm.PythonSQLUtils.explainString(index.candidates("ame 49")._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [bucket" in plan and "PushedFilters: [In(gram" in plan
+    assert rows(index.candidates("ame 49"), "product") == [("P49",)]
