@@ -218,6 +218,43 @@ SELECT d.doc_id, CASE WHEN g.gone IS NULL THEN d.text ELSE array_to_string(
 FROM documents d LEFT JOIN gone g ON g.doc_id IS NOT DISTINCT FROM d.doc_id AND g.text = d.text
 """
 
+#: texts as hexadecimal digits, so that bytes can be cut; strings are told apart by their MD5
+_REPEATS = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents
+),
+-- cut from blocks, as a place in a long text is found by counting
+blocks AS (
+  SELECT doc_id, n, b, substr(h, 2000 * b + 1, 2198) AS block
+  FROM (SELECT *, unnest(range(0, (n - 100) // 1000 + 1)) AS b FROM docs WHERE n >= 100)
+),
+keyed AS (
+  SELECT doc_id, 1000 * b + i AS p, md5_number(substr(block, 2 * i + 1, 200)) AS k
+  FROM (SELECT *, unnest(range(0, least(1000, n - 99 - 1000 * b))) AS i FROM blocks)
+),
+again AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS nth FROM keyed) WHERE nth > 1
+),
+marked AS (
+  SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100, FALSE) AS goes_on FROM again
+),
+numbered AS (
+  SELECT doc_id, p, sum((NOT goes_on)::INTEGER) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS span FROM marked
+),
+spans AS (SELECT doc_id, span, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, span),
+pieces AS (
+  SELECT s.doc_id, s.a, s.b, lag(s.b, 1, 0) OVER (PARTITION BY s.doc_id ORDER BY s.a) AS since FROM spans s
+),
+cut AS (
+  SELECT q.doc_id, sum(q.b - q.a)::BIGINT AS removed, count(*) AS n_spans, max(q.b) AS until,
+    string_agg(substr(d.h, 2 * q.since + 1, 2 * (q.a - q.since)), '' ORDER BY q.a) AS head
+  FROM pieces q JOIN docs d USING (doc_id) GROUP BY q.doc_id
+)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(c.removed, 0) AS n_removed, coalesce(c.n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN c.removed IS NULL THEN d.h ELSE c.head || substr(d.h, 2 * c.until + 1) END)) AS kept_sha256
+FROM docs d LEFT JOIN cut c USING (doc_id)
+"""
+
 #: the CRC-32 of the id's digits is formed bit by bit
 _TRIE = r"""
 WITH told AS (
@@ -265,5 +302,6 @@ ORACLES: dict[str, str] = {
     "op3_source_mix": _MIXING,
     "op5_url_verdicts": _URLS,
     "op7_warc_records": _WARC,
+    "op11_repeated_bytes": _REPEATS,
     "op13_conversation_trie": _TRIE,
 }
