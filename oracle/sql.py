@@ -786,11 +786,14 @@ FROM m_regions g JOIN (
   FROM m_regions LEFT JOIN f_points p USING (region_id) LEFT JOIN f_inflated USING (warehouse_id)
   GROUP BY region_id) USING (region_id)"""
 Q["stock_by_type"] = f"""
-SELECT t.wtype, COUNT(DISTINCT w.warehouse_id) AS warehouses, COUNT(DISTINCT s.product_id) AS products,
-  {d('COALESCE(SUM(s.qty), 0)')} AS units, {d('COALESCE(SUM(s.qty * s.unit_cost), 0)')} AS cost_value,
-  {d('COALESCE(SUM(s.qty * s.unit_price), 0)')} AS sale_value
-FROM (SELECT DISTINCT wtype FROM m_warehouses) t LEFT JOIN m_warehouses w ON w.wtype = t.wtype
-LEFT JOIN m_stock s ON s.warehouse_id = w.warehouse_id GROUP BY t.wtype"""
+WITH held AS (
+  SELECT warehouse_id, SUM(qty) AS units, SUM(qty * unit_cost) AS cost, SUM(qty * unit_price) AS sale
+  FROM m_stock GROUP BY warehouse_id),
+kinds AS (SELECT wtype, product_id FROM m_stock JOIN m_warehouses USING (warehouse_id) GROUP BY ALL),
+variety AS (SELECT wtype, COUNT(product_id) AS products FROM kinds GROUP BY wtype)
+SELECT w.wtype, COUNT(*) AS warehouses, COALESCE(MAX(v.products), 0) AS products,
+  {d('COALESCE(SUM(units), 0)')} AS units, {d('COALESCE(SUM(cost), 0)')} AS cost_value, {d('COALESCE(SUM(sale), 0)')} AS sale_value
+FROM m_warehouses w LEFT JOIN held USING (warehouse_id) LEFT JOIN variety v USING (wtype) GROUP BY w.wtype"""
 CTES["v_described"] = """
 SELECT m.*, p.name AS product_name, b.name AS brand_name, b.category, b.abc_class, b.cover_days,
   w.name AS warehouse_name, w.wtype, w.region_id

@@ -755,8 +755,7 @@ def history_summary(t, spark, sf_dir):
 @query
 def week_ranges(t, spark, sf_dir):
     """The slices of the period the sales cover."""
-    span = t.sales.agg(F.min("sale_date").alias("a"), F.max("sale_date").alias("b")).first()
-    return calendar.week_ranges(spark, span["a"], span["b"])
+    return calendar.weeks_of(t.sales.agg(F.min("sale_date").alias("first"), F.max("sale_date").alias("last")))
 
 
 # --- lifecycle ---------------------------------------------------------------------

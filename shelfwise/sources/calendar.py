@@ -19,6 +19,13 @@ def week_ranges(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame
     return spark.range(max(weeks, 0)).select(start.alias("start_date"), end.alias("end_date"))
 
 
+def weeks_of(span: DataFrame) -> DataFrame:
+    """The same slices of a row with first and last day, which stays in the plan."""
+    start = F.explode(F.sequence("first", "last", F.expr(f"INTERVAL {SLICE_DAYS} DAYS")))
+    weeks = span.select(start.alias("start_date"), "last")
+    return weeks.select("start_date", F.least(F.date_add("start_date", SLICE_DAYS - 1), "last").alias("end_date"))
+
+
 def slice_start(day: Column, first: dt.date) -> Column:
     """Start of the slice a day falls in: arithmetic, so no range join is needed."""
     number = F.floor(F.datediff(day, F.lit(first)) / SLICE_DAYS)
