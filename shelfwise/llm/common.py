@@ -131,18 +131,24 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def _bytes(name: str, kind: str) -> Column:
+    """About the bytes of a value; nested ones by their JSON form, which is no shorter."""
+    if kind in ("string", "binary"):
+        size = F.octet_length(name)
+    elif kind.startswith(("array", "struct", "map")):
+        size = F.octet_length(F.to_json(F.struct(F.col(name))))
+    else:
+        return F.lit(8)
+    return F.coalesce(size, F.lit(0))
+
+
 def hint_if_small(df: DataFrame, work: Work) -> DataFrame:
     """Keep df and hint its broadcast if its counted rows and bytes are within the bounds.
 
     Beyond them the join is left to Spark, which shuffles and splits skewed keys.
     """
     kept = work.keep(df)
-    width = reduce(
-        lambda a, b: a + b,
-        [
-            F.coalesce(F.length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8) for c, kind in kept.dtypes
-        ],
-    )
+    width = reduce(lambda a, b: a + b, [_bytes(c, kind) for c, kind in kept.dtypes])
     rows, width = kept.agg(F.count(F.lit(1)), F.sum(width)).first()
     small = rows <= BROADCAST_ROWS and (width or 0) <= BROADCAST_BYTES
     return F.broadcast(kept) if small else kept
