@@ -1024,6 +1024,9 @@ FROM lines l LEFT JOIN rows_of r ON r.a = l.a GROUP BY l.a, l.b"""
 Q["product_search_indexed"] = Q["product_search"]
 
 
+Q["daily_efficiency_intervals"] = Q["daily_efficiency"]
+
+
 def _needed(body: str) -> list[str]:
     """The CTEs a query uses, directly or through others, in definition order."""
     found: set[str] = set()

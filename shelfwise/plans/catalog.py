@@ -20,6 +20,7 @@ from shelfwise.plans import backload, daily, load
 from shelfwise.sources import calendar, pages, payloads, records, storage
 from shelfwise.sources import tpch_model as M
 from shelfwise.sources.changelog import ChangeLog, tag_stock
+from shelfwise.sources.intervals import SnapshotHistory
 from shelfwise.sources.ledger import SalesKeys
 from shelfwise.sources.rolling import RollingSales
 from shelfwise.sources.trigrams import NameIndex
@@ -1034,3 +1035,14 @@ def product_search_indexed(t, spark, sf_dir):
     index.build(t.products.filter(~odd))
     index.add(t.products.filter(odd))
     return index.search(t.products, t.brands, t.stock, SEARCH_TEXT)
+
+
+@query
+def daily_efficiency_intervals(t, spark, sf_dir):
+    """The report over snapshots that were stored as changes and are rebuilt from them."""
+    history = SnapshotHistory(spark, _root(spark), base_days=10)
+    days = [AS_OF - dt.timedelta(days=7 * k) for k in sorted(M.SNAPSHOT_WEEKS, reverse=True)]
+    for day in days:
+        history.store(day, t.stock_daily.filter(F.col("snapshot_date") == F.lit(day)))
+    rebuilt = history.days(days).withColumns({k: F.col(k).cast("long") for k in merges.STOCK_KEY})
+    return reports.daily_efficiency(t.sales, t.stock, rebuilt, t.warehouses, AS_OF)

@@ -74,6 +74,8 @@ STOCK_DAILY = _table(
     snapshot_date="date", warehouse_id="string", product_id="string", qty=QTY,
     unit_cost=QTY, unit_price=QTY, stock_tag="string",
 )
+#: daily stock as what changed, and whole snapshots of some days
+STOCK_CHANGES = T.StructType([*STOCK_DAILY.fields, T.StructField("gone", T.BooleanType())])
 METRICS = _table(
     calc_date="date", product_id="string", warehouse_id="string", stock=QTY,
     stock_value=MONEY, q7=QTY, q30=QTY, q90=QTY, sales_rows_30d="long", daily=QTY,
@@ -134,6 +136,8 @@ TABLES = {
     "daily_sums": DAILY_SUMS,
     "rolling_sums": ROLLING_SUMS,
     "stock_daily": STOCK_DAILY,
+    "stock_changes": STOCK_CHANGES,
+    "stock_bases": STOCK_DAILY,
     "stock": STOCK,
     "metrics": METRICS,
     "alerts": ALERTS,
@@ -154,6 +158,8 @@ PARTITIONS = {
     "daily_sums": ["sale_date"],
     "rolling_sums": ["as_of"],
     "stock_daily": ["snapshot_date"],
+    "stock_changes": ["snapshot_date"],
+    "stock_bases": ["snapshot_date"],
     "stock": ["warehouse_id"],
     "metrics": ["calc_date"],
     "alerts": ["generated_on", "done"],
