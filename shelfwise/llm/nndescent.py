@@ -281,7 +281,10 @@ class NeighbourGraph:
                 i, j = np.nonzero(given @ unit.T >= threshold)
                 apart = mine[i] != names[j]
                 i, j = i[apart], j[apart]
-                got = (known[j] == mine[i][:, None]).any(axis=1).astype(np.int64)
+                got = np.zeros(len(j), dtype=np.int64)
+                for at in range(0, len(j), 20_000):  # links of dense groups are many
+                    some = slice(at, at + 20_000)
+                    got[some] = (known[j[some]] == mine[i[some]][:, None]).any(axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(names[j]), pa.array(got)], names=["node", "got"])
 
         total = {True: [0, 0], False: [0, 0]}
