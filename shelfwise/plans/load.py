@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.sizes import Scratch, broadcast_if_small
+from shelfwise.functions.sizes import Scratch
 from shelfwise.operators.merges import (
     map_brands,
     merge_products,
@@ -34,6 +34,7 @@ from shelfwise.sources.storage import (
     read_table,
     replace_partitions,
     replace_table,
+    stock_part,
     table_path,
 )
 from shelfwise.sources.trigrams import NameIndex
@@ -60,17 +61,20 @@ def _load_products(
     rows = scratch.keep(R.product_rows(records, key_field))
     batch = map_brands(rows, read_table(spark, root, "brands"))
     known = read_table(spark, root, "products")
-    merged = scratch.keep(merge_products(known, batch))
-    texts = ["product_id", "name", "code"]
-    changed = scratch.keep(merged.select(*texts).exceptAll(known.select(*texts)))
-    replace_table(merged, root, "products")
-    NameIndex(spark, root).add(changed)
+    merged, index = merge_products(known, batch), NameIndex(spark, root)
+    if index.exists():  # only it asks which texts have changed
+        merged, texts = scratch.keep(merged), ["product_id", "name", "code"]
+        changed = scratch.keep(merged.select(*texts).exceptAll(known.select(*texts)))
+        replace_table(merged, root, "products")
+        index.add(changed)
+    else:
+        replace_table(merged, root, "products")
     return rows.count()
 
 
 def load_sales(
     spark: SparkSession, root: str, records: DataFrame,
-    first: dt.date | None = None, last: dt.date | None = None, batch: str | None = None,
+    first: dt.date | None = None, last: dt.date | None = None, batch: str | None = None, kept: bool = False,
 ) -> dict[str, int]:
     """Products first, then sales that are not stored yet.
 
@@ -78,11 +82,11 @@ def load_sales(
     same are stored like all others, and are counted as ``outside``. Rows whose key is
     complete are stored once however often they come. A named batch that is repeated replaces
     what it has left before: its rows, those with a NULL in the key too, and its
-    quarantined records.
+    quarantined records. ``kept`` records are read from a table and are not kept again.
     """
     name = batch or new_batch()
     with Scratch(spark) as scratch:
-        records = scratch.keep(records)
+        records = records if kept else scratch.keep(records)
         rows = R.sales_rows(records)
         products = _load_products(spark, root, records, "REFER", scratch)
         bad = R.bad_sales(records)
@@ -117,11 +121,12 @@ def load_stock(
         bad = R.bad_stock(records)
         _keep_bad(bad, root, "stock_records", batch)
         rows = R.stock_rows(records)
-        stored = read_table(spark, root, "stock")
+        stored = read_table(spark, root, "stock", hidden=True)
         if not zero_missing:
-            # only warehouses of the feed are read (dynamic pruning) and rewritten
-            touched = broadcast_if_small(rows.select("warehouse_id").distinct())
-            stored = stored.join(touched, "warehouse_id", "left_semi")
+            # only parts with warehouses of the feed are read (dynamic pruning) and rewritten; a row a part
+            touched = F.broadcast(rows.select(stock_part().alias("part")).distinct())
+            stored = stored.join(touched, "part", "left_semi")
+        stored = stored.drop("part")
         current = merge_stock(stored, rows, ORDER, zero_missing=zero_missing)
         replace_partitions(current, root, "stock", spread=True)
         snapshot = rows.withColumn("snapshot_date", F.lit(day))

@@ -65,9 +65,12 @@ class NameIndex:
 
     def add(self, products: DataFrame) -> None:
         """New and changed products, if there is an index."""
-        if self._stored() is not None:
+        if self.exists():
             self._write(products, "append")
 
+    def exists(self) -> bool:
+        return self._stored() is not None
+
     def _stored(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(_SCHEMA).parquet(self.path)
