@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.filters import sales_points
-from shelfwise.functions.sizes import Scratch
 from shelfwise.operators.metrics import KEY
 from shelfwise.params import DEFAULTS, Params
 from shelfwise.sources.storage import _clear_day, _files, read_table, replace_partitions, table_path
@@ -64,10 +63,8 @@ class RollingSales:
         sums = sold.groupBy("sale_date", *KEY).agg(
             F.coalesce(F.sum("qty"), F.lit(0)).alias("units"), F.count(F.lit(1)).alias("sales_rows")
         )
-        with Scratch(self.spark) as scratch:
-            rows = scratch.keep(sums)
-            replace_partitions(rows, self.root, "daily_sums")
-            left = {r["sale_date"] for r in rows.select("sale_date").distinct().collect()}
+        replace_partitions(sums, self.root, "daily_sums", spread=True)
+        left = {r["sale_date"] for r in sold.select("sale_date").distinct().collect()}  # a row a day
         for day in set(days) - left:
             _clear_day(self.spark, self.root, "daily_sums", day)
 
