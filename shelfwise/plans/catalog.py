@@ -657,6 +657,8 @@ def _sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGE_DOCUMENTS = 200
+#: of a landed page, some megabytes of text
+MOST_PAGE_DOCUMENTS = 8000
 SOURCES = 50
 
 
@@ -859,15 +861,21 @@ def page_report(t, spark, sf_dir):
 # --- loads: landed, stored and read back -------------------------------------------
 
 
+def _landed_documents(last: int) -> int:
+    """Documents of a landed page: more where there are more, so that pages stay about a thousand, up to a bounded text."""
+    return min(max(PAGE_DOCUMENTS, last // 1000), MOST_PAGE_DOCUMENTS)
+
+
 def _landed_sales(spark: SparkSession, sf_dir: str) -> str:
     """The sales lines as payload files, one for each page; some lines lack their document's prefix."""
     feed = _sales_feed(spark, sf_dir)
+    last = M.sales(spark, sf_dir).agg(F.coalesce(F.max("doc_no"), F.lit(0)).alias("last")).first()["last"]
     feed = feed.withColumn("PREFIJO", F.when(F.col("NUMDOC").cast("long") % NO_PREFIX != 0, F.col("PREFIJO")))
     fields = [c for c in feed.columns if c != "seq"]
-    pages = _pages(feed, fields, F.floor(F.col("NUMDOC").cast("long") / PAGE_DOCUMENTS))
+    pages = _pages(feed, fields, F.floor(F.col("NUMDOC").cast("long") / _landed_documents(last)))
     folder = f"{_root(spark)}/sales"
     rows = _enveloped(pages, payloads.SALES_ENVELOPE).select("body", "page")
-    rows.repartition("page").write.partitionBy("page").text(folder)
+    rows.write.partitionBy("page").text(folder)  # a page is a row by now
     return folder
 
 
