@@ -65,7 +65,7 @@ class SnapshotHistory:
                 *(F.col(f"new.{v}").alias(v) for v in VALUES),
                 gone.alias("gone"),
             )
-            written = write_day(scratch.keep(rows), self.root, "stock_changes", day)
+            written = write_day(rows, self.root, "stock_changes", day)  # reads earlier days only
             bases = [d for d in self._stored("stock_bases", day) if d < day]
             if not bases or (day - bases[-1]).days >= self.base_days:
                 write_day(now.withColumn("snapshot_date", F.lit(day)), self.root, "stock_bases", day)
