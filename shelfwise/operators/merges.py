@@ -18,16 +18,23 @@ def _has_key(keys: list[str]) -> Column:
 
 
 def one_per_key(batch: DataFrame, keys: list[str], order: list[str], last: bool) -> DataFrame:
-    """The first or last row of each key, as an aggregate that combines on the map side."""
-    rest = [c for c in batch.columns if c not in keys]
-    row = F.struct(*rest)
-    pick = (F.max_by if last else F.min_by)(row, F.struct(*order))
+    """The first or last row of each key, as an aggregate that combines on the map side.
+
+    The row begins with what orders it, so no column is shuffled twice; rows equal in that
+    are told apart by their other columns.
+    """
+    rest = [c for c in batch.columns if c not in [*keys, *order]]
+    pick = (F.max if last else F.min)(F.struct(*order, *rest))
     grouped = batch.groupBy(*keys).agg(pick.alias("r"))
     return grouped.select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in batch.columns])
 
 
 def new_sales(
-    existing: DataFrame | None, batch: DataFrame, order: list[str], keys: list[str] | None = None
+    existing: DataFrame | None,
+    batch: DataFrame,
+    order: list[str],
+    keys: list[str] | None = None,
+    large: bool = False,
 ) -> DataFrame:
     """Rows of the batch to append: first row per key, unless the key is stored already.
 
@@ -36,12 +43,15 @@ def new_sales(
     read for its keys only. While the batch's keys are few enough for Spark to
     broadcast, by their measured size, it is filtered where it is read. Beyond that a
     history in buckets by key (``ledger.SalesKeys``) meets them bucket by bucket and stays
-    where it is; any other one is shuffled.
+    where it is; any other one is shuffled. A batch known to be ``large`` meets the history
+    at once, without forming its keys a second time for the broadcast.
     """
     keys = keys or SALES_KEY
     keyed = one_per_key(batch.filter(_has_key(keys)), keys, order, last=False)
     if existing is not None:
-        known = existing.select(*keys).join(keyed.select(*keys), keys, "left_semi")
+        known = existing.select(*keys)
+        if not large:
+            known = known.join(keyed.select(*keys), keys, "left_semi")
         keyed = keyed.join(known, keys, "left_anti")
     return keyed.unionByName(batch.filter(~_has_key(keys)))
 

@@ -4,6 +4,7 @@ from decimal import Decimal
 from world import rows
 
 from shelfwise.operators import lifecycle, merges
+from shelfwise.sources.ledger import SalesKeys
 
 SALES = "doc_prefix string, doc_no string, product_id string, qty int, seq int"
 
@@ -106,3 +107,22 @@ def test_retag(spark):
     items = spark.createDataFrame([("P", "W"), ("P", "W"), ("Q", ""), ("Z", "W")], "product_id string, warehouse_id string")
     assert rows(lifecycle.retag_stock(s, items, " NEW ")) == [("P", "W", "NEW", True), ("Q", "W", None, False)]
     assert rows(lifecycle.retag_stock(s, items, "  "))[0] == ("P", "W", None, True)
+
+
+def test_a_large_batch_is_formed_once_for_its_keys(spark, tmp_path):
+    keys = SalesKeys(spark, str(tmp_path), buckets=2)
+    row = ["IF(id = 9, NULL, 'A') AS doc_prefix", "CAST(id AS string) AS doc_no", "'P' AS product_id"]
+    keys.add(spark.range(0, 4).selectExpr(*row), "old")
+    batch = spark.range(2, 10).selectExpr(*row, "id AS seq")
+    fresh = merges.new_sales(keys.stored(), batch, ["seq"], large=True)
+    assert rows(fresh, "doc_no") == rows(merges.new_sales(keys.stored(), batch, ["seq"]), "doc_no")
+    assert rows(fresh, "doc_no") == [(str(i),) for i in range(4, 10)]
+    assert fresh._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 2  # rows with a whole key, and the others
+
+
+def test_rows_of_one_order_are_told_apart_and_no_column_is_taken_twice(spark):
+    df = spark.createDataFrame([("A", 1, 7), ("A", 1, 5), ("A", 2, 1), ("B", None, 4), ("B", 0, 9)], "k string, o int, v int")
+    first, last = (merges.one_per_key(df, ["k"], ["o"], last=way) for way in (False, True))
+    assert rows(first, "k", "o", "v") == [("A", 1, 5), ("B", None, 4)]
+    assert rows(last, "k", "o", "v") == [("A", 2, 1), ("B", 0, 9)]
+    assert "min_by" not in first._jdf.queryExecution().optimizedPlan().toString()
