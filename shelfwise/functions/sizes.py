@@ -12,6 +12,8 @@ BROADCAST_ROWS = 100_000
 PARTITION_ROWS = 250_000
 #: what a task reads of a shuffle and of files, compressed: sorted in memory it is some forty times as much
 TASK_BYTES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m", "spark.sql.files.maxPartitionBytes": "32m"}
+#: rows of a join's smaller side that a task keeps in a hash table
+HASHED_ROWS = 500_000
 _PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -37,6 +39,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def hash_if_bounded(df: DataFrame, partitions: int) -> DataFrame:
+    """Hint a hash table of df a partition, so that the other side need not be sorted, if it stays bounded."""
+    return df.hint("shuffle_hash") if is_small(df, HASHED_ROWS * partitions) else df
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of jobs that have ended.
+
+    It does so when the driver's garbage is collected, which may not happen for hours in a large heap.
+    """
+    spark._jvm.System.gc()
+
+
 def bound_tasks(spark: SparkSession, rows: int) -> None:
     """Settings of the session that keep what a task sorts in memory the same however many rows there are.
 
@@ -78,10 +93,11 @@ class Scratch:
         self.folder = f"{shared_folder(spark)}/shelfwise-{uuid.uuid4().hex}"
         self._tables = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        """df as a table; ``by`` names a column whose values have a folder each."""
         self._tables += 1
         path = f"{self.folder}/{self._tables}"
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Scratch:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.sizes import Scratch, hash_if_bounded
 
 SALES_KEY = ["doc_prefix", "doc_no", "product_id"]
 STOCK_KEY = ["warehouse_id", "product_id"]
@@ -35,6 +36,8 @@ def new_sales(
     order: list[str],
     keys: list[str] | None = None,
     large: bool = False,
+    scratch: Scratch | None = None,
+    buckets: int = 1,
 ) -> DataFrame:
     """Rows of the batch to append: first row per key, unless the key is stored already.
 
@@ -44,9 +47,13 @@ def new_sales(
     broadcast, by their measured size, it is filtered where it is read. Beyond that a
     history in buckets by key (``ledger.SalesKeys``) meets them bucket by bucket and stays
     where it is; any other one is shuffled. A batch known to be ``large`` meets the history
-    at once, without forming its keys a second time for the broadcast.
+    at once, without forming its keys a second time for the broadcast. With a scratch folder,
+    for a batch that is read from a table, only keys are shuffled to find those that came twice or
+    are stored, and whole rows only of these; ``buckets`` are those of the history.
     """
     keys = keys or SALES_KEY
+    if scratch is not None and existing is not None:
+        return _new_by_contested(existing, batch, order, keys, scratch, buckets)
     keyed = one_per_key(batch.filter(_has_key(keys)), keys, order, last=False)
     if existing is not None:
         known = existing.select(*keys)
@@ -56,6 +63,21 @@ def new_sales(
     return keyed.unionByName(batch.filter(~_has_key(keys)))
 
 
+def _new_by_contested(
+    existing: DataFrame, batch: DataFrame, order: list[str], keys: list[str], scratch: Scratch, buckets: int
+) -> DataFrame:
+    """The rows of ``new_sales``; a row whose key came once and is not stored is taken as it is read."""
+    keyed = batch.filter(_has_key(keys))
+    counted = scratch.keep(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")))
+    known = existing.select(*keys).join(hash_if_bounded(counted.select(*keys), buckets), keys, "left_semi")
+    stored = scratch.keep(known.distinct())
+    again = counted.filter("times > 1").select(*keys)
+    contested = scratch.keep(again.unionByName(stored).distinct())
+    single = keyed.join(contested, keys, "left_anti")
+    first = one_per_key(keyed.join(contested, keys, "left_semi"), keys, order, last=False).join(stored, keys, "left_anti")
+    return single.unionByName(first).unionByName(batch.filter(~_has_key(keys)))
+
+
 def merge_sales(existing: DataFrame, batch: DataFrame, order: list[str]) -> DataFrame:
     """The whole table after an insert-ignore; a load appends ``new_sales`` instead."""
     fresh = new_sales(existing, batch, order).select(*existing.columns)

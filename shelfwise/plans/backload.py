@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.sizes import Scratch
+from shelfwise.functions.sizes import Scratch, free_shuffles
 from shelfwise.plans import load
 from shelfwise.sources.calendar import slice_start, week_ranges
 from shelfwise.sources.storage import read_table, replace_partitions
 
 DONE, FAILED = "done", "failed"
+#: partitions that the records of all slices are dealt to, at most
+MOST_PARTS = 512
 
 
 def outcomes(spark: SparkSession, root: str) -> DataFrame:
@@ -43,7 +45,10 @@ def back_load(spark: SparkSession, root: str, records: DataFrame, first: dt.date
     inside = records.filter(day.between(F.lit(first), F.lit(last))).withColumn("slice", slice_start(day, first))
     inside = inside.filter(F.col("slice").isin([start for start, _ in to_do]))
     with Scratch(spark) as scratch:
-        dealt = scratch.keep(inside.hint("rebalance", "slice").sortWithinPartitions("slice"))
+        # a folder a slice: the code that reads one is the same for all; a slice has work for all cores
+        cores = spark.sparkContext.defaultParallelism
+        parts = max(cores, min(len(to_do) * cores, MOST_PARTS))
+        dealt = scratch.keep(inside.repartition(parts, "slice", F.pmod(F.xxhash64("seq"), F.lit(cores))), by="slice")
         for start, end in to_do:
             part = dealt.filter(F.col("slice") == F.lit(start)).drop("slice")
             try:
@@ -64,4 +69,5 @@ def back_load(spark: SparkSession, root: str, records: DataFrame, first: dt.date
                 ),
             )
             replace_partitions(noted, root, "backload_slices")
+            free_shuffles(spark)
     return _between(spark, root, first, last)

@@ -1027,11 +1027,12 @@ def page_gaps(t, spark, sf_dir):
 def back_load(t, spark, sf_dir):
     """All sales lines loaded week by week, in two calls of which the second finds nothing to do."""
     span = t.sales.agg(F.min("sale_date").alias("a"), F.max("sale_date").alias("b")).first()
-    root, feed = _root(spark), load.sales_records(payloads.read_payloads(spark, _landed_sales(spark, sf_dir)))
     half = span["a"] + dt.timedelta(days=55)
-    backload.back_load(spark, root, feed, span["a"], half)
-    backload.back_load(spark, root, feed, span["a"], span["b"])
-    rows = backload.back_load(spark, root, feed, span["a"], span["b"])
+    with sizes.Scratch(spark) as scratch:  # both calls read the records that were parsed once
+        root, feed = _root(spark), scratch.keep(load.sales_records(payloads.read_payloads(spark, _landed_sales(spark, sf_dir))))
+        backload.back_load(spark, root, feed, span["a"], half)
+        backload.back_load(spark, root, feed, span["a"], span["b"])
+        rows = backload.back_load(spark, root, feed, span["a"], span["b"])
     return rows.select("start_date", "end_date", "status", "loaded", "products", "errors")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.sizes import Scratch
@@ -87,16 +87,15 @@ def load_sales(
     name = batch or new_batch()
     with Scratch(spark) as scratch:
         records = records if kept else scratch.keep(records)
-        rows = R.sales_rows(records)
-        products = _load_products(spark, root, records, "REFER", scratch)
-        bad = R.bad_sales(records)
-        _keep_bad(bad, root, "sales_records", batch)
+        rows, seen = R.sales_rows(records), Observation()
+        day = F.col("FECHA").try_cast("date")
+        outside = F.lit(False) if first is None else ~day.between(F.lit(first), F.lit(last or first))
+        counted = records.observe(seen, F.count_if(day.isNotNull()).alias("processed"), F.count_if(outside).alias("outside"))
+        products = _load_products(spark, root, counted, "REFER", scratch)
+        counts = seen.get
+        bad = _keep_bad(R.bad_sales(records), root, "sales_records", batch)
         keys = SalesKeys(spark, root)
-        fresh = scratch.keep(new_sales(keys.stored(without=name), rows, ORDER))
-        inside = F.lit(True)
-        if first is not None:
-            inside = F.col("sale_date").between(F.lit(first), F.lit(last or first))
-        counts = rows.agg(F.count(F.lit(1)).alias("processed"), F.count_if(~inside).alias("outside")).first()
+        fresh = scratch.keep(new_sales(keys.stored(without=name), rows, ORDER, scratch=scratch, buckets=keys.buckets))
         inserted = append_sales(fresh, root, name)
         # a batch lost in between does not meet its own keys when it is repeated
         keys.add(fresh, name)
@@ -106,7 +105,7 @@ def load_sales(
             "outside": counts["outside"],
             "inserted": inserted,
             "products": products,
-            "quarantined": bad.count(),
+            "quarantined": bad,
         }
 
 
@@ -118,8 +117,7 @@ def load_stock(
     with Scratch(spark) as scratch:
         records = scratch.keep(records)
         products = _load_products(spark, root, records, "REFERENCIA", scratch)
-        bad = R.bad_stock(records)
-        _keep_bad(bad, root, "stock_records", batch)
+        bad = _keep_bad(R.bad_stock(records), root, "stock_records", batch)
         rows = R.stock_rows(records)
         stored = read_table(spark, root, "stock", hidden=True)
         if not zero_missing:
@@ -133,16 +131,18 @@ def load_stock(
         same_day = F.col("snapshot_date") == F.lit(day)
         today = read_table(spark, root, "stock_daily").filter(same_day)
         replace_partitions(merge_snapshot(today, snapshot, ORDER), root, "stock_daily")
-        return {"processed": rows.count(), "products": products, "quarantined": bad.count()}
+        return {"processed": rows.count(), "products": products, "quarantined": bad}
 
 
-def _keep_bad(bad: DataFrame, root: str, kind: str, batch: str | None) -> None:
-    """Bad records go to a JSON folder of their kind; a named batch has a folder of its own there."""
-    path = table_path(root, f"quarantine/{kind}")
+def _keep_bad(bad: DataFrame, root: str, kind: str, batch: str | None) -> int:
+    """Bad records go to a JSON folder of their kind; a named batch has a folder of its own there. Returns their number."""
+    path, seen = table_path(root, f"quarantine/{kind}"), Observation()
+    bad = bad.observe(seen, F.count(F.lit(1)).alias("rows"))
     if batch is None:
         bad.write.mode("append").json(path)
     else:
         bad.write.mode("overwrite").json(f"{path}/batch={batch}")
+    return seen.get["rows"]
 
 
 def keep_bad_payloads(

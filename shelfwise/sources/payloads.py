@@ -15,6 +15,8 @@ STOCK_ENVELOPE = ("inventario", "data", "resultado")
 
 PAGE_SIZE = 1000
 MAX_PAGES = 100
+#: different characters written by their number that are replaced a pass each
+FEW_ENTITIES = 32
 
 
 def _landed(raw: DataFrame) -> DataFrame:
@@ -47,19 +49,26 @@ def _xml_text(body: Column, tag: str) -> Column:
     text = _numeric_entities(text)
     for entity, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
         text = F.replace(text, F.lit(f"&{entity};"), F.lit(char))
-    return F.nullif(F.trim(text), F.lit(""))
+    return let(F.trim(text), lambda t: F.when(t != "", t))
 
 
 def _numeric_entities(text: Column) -> Column:
-    """Characters written by their number, decimal or hexadecimal; others stay as they are."""
+    """Characters written by their number, decimal or hexadecimal; others stay as they are.
 
-    def one(part: Column) -> Column:
+    Few different ones are replaced throughout the text, each in one pass. What could become part of
+    another one (digits, letters, ``&``, ``#`` and ``;``) is replaced one by one in what is left, as
+    are all of a text with many different ones.
+    """
+
+    def char_of(part: Column) -> Column:
         hexadecimal = F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1)
         decimal = F.conv(F.regexp_extract(part, r"^([0-9]{1,7});", 1), 10, 16)
         code = F.lpad(F.when(hexadecimal != "", hexadecimal).otherwise(decimal), 8, "0")
-        char = F.decode(F.unhex(code), "UTF-32")
+        return F.decode(F.unhex(code), "UTF-32")
+
+    def one(part: Column) -> Column:
         known = part.rlike(r"^([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});")
-        return F.when(known, F.concat(char, F.regexp_replace(part, "(?s)^[^;]*;", ""))).otherwise(
+        return F.when(known, F.concat(char_of(part), F.regexp_replace(part, "(?s)^[^;]*;", ""))).otherwise(
             F.concat(F.lit("&#"), part)
         )
 
@@ -67,7 +76,21 @@ def _numeric_entities(text: Column) -> Column:
         rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one)
         return F.concat(F.get(parts, 0), F.array_join(rest, ""))
 
-    return F.when(F.contains(text, F.lit("&#")), let(F.split(text, "&#"), decoded)).otherwise(text)
+    def throughout(value: Column, part: Column) -> Column:
+        def replaced(char: Column) -> Column:
+            return F.when(char.rlike("[0-9A-Za-z&#;]"), value).otherwise(F.replace(value, F.concat(F.lit("&#"), part), char))
+
+        return let(char_of(part), replaced)
+
+    def each(value: Column) -> Column:
+        parts = F.regexp_extract_all(value, F.lit(r"&#([xX][0-9a-fA-F]{1,6};|[0-9]{1,7};)"), F.lit(1))
+        few = lambda p: F.when(F.size(p) <= FEW_ENTITIES, F.aggregate(p, value, throughout)).otherwise(value)
+        return let(F.array_distinct(parts), few)
+
+    def rest(value: Column) -> Column:
+        return F.when(F.contains(value, F.lit("&#")), let(F.split(value, "&#"), decoded)).otherwise(value)
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&#")), let(let(t, each), rest)).otherwise(t))
 
 
 def _is_json(text: Column) -> Column:
@@ -87,19 +110,21 @@ def decode(landed: DataFrame, result_tag: str) -> DataFrame:
     """
     span = F.nullif(F.regexp_extract("body", r"(?s)(\[\{.*\}\])", 1), F.lit(""))
     element = _xml_text(F.col("body"), result_tag)
-    texts = F.filter(F.array(span, element), lambda t: t.isNotNull())
-
-    def judge(candidates: Column) -> Column:
-        valid = F.filter(candidates, _is_json)
-        return F.struct(
-            F.get(valid, 0).alias("payload"),
-            F.when(F.size(valid) > 0, "ok")
-            .when(F.size(candidates) > 0, "raw")
-            .otherwise("error")
-            .alias("status"),
-        )
 
-    return landed.withColumn("found", let(texts, judge)).select(
+    def result(payload: Column, status: str) -> Column:
+        return F.struct(payload.cast("string").alias("payload"), F.lit(status).alias("status"))
+
+    def judge(first: Column) -> Column:
+        def second(text: Column) -> Column:
+            failed = F.when(first.isNotNull() | text.isNotNull(), result(F.lit(None), "raw")).otherwise(
+                result(F.lit(None), "error")
+            )
+            return F.when(_is_json(text), result(text, "ok")).otherwise(failed)
+
+        # the element is looked for only where it is needed
+        return F.when(_is_json(first), result(first, "ok")).otherwise(let(element, second))
+
+    return landed.withColumn("found", let(span, judge)).select(
         "source", "page", "body", "found.payload", "found.status"
     )
 
@@ -112,9 +137,12 @@ def record_lists(decoded: DataFrame, envelope: Sequence[str]) -> DataFrame:
     names = F.array(*(F.lit(k) for k in envelope))
 
     def unwrap(payload: Column) -> Column:
-        present = F.filter(names, lambda k: F.array_contains(F.json_object_keys(payload), k))
-        path = F.concat(F.lit("$."), F.get(present, 0))
-        nested = F.call_function("get_json_object", payload, path)
+        def under(keys: Column) -> Column:
+            present = F.filter(names, lambda k: F.array_contains(keys, k))
+            path = F.concat(F.lit("$."), F.get(present, 0))
+            return F.call_function("get_json_object", payload, path)
+
+        nested = let(F.json_object_keys(payload), under)
         return F.when(F.ltrim(payload).startswith("["), payload).otherwise(nested)
 
     return decoded.withColumn("records", let(F.col("payload"), unwrap))

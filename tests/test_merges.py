@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 from world import rows
 
+from shelfwise.functions.sizes import Scratch
 from shelfwise.operators import lifecycle, merges
 from shelfwise.sources.ledger import SalesKeys
 
@@ -126,3 +128,20 @@ def test_rows_of_one_order_are_told_apart_and_no_column_is_taken_twice(spark):
     assert rows(first, "k", "o", "v") == [("A", 1, 5), ("B", None, 4)]
     assert rows(last, "k", "o", "v") == [("A", 2, 1), ("B", 0, 9)]
     assert "min_by" not in first._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_row_whose_key_came_once_is_not_shuffled(spark):
+    rng = random.Random(5)
+    text = lambda n: rng.choice([None, *"abcdef"[:n]])
+    data = [(text(2), text(6), text(6), rng.randrange(4), i % 7) for i in range(300)]
+    ddl = "doc_prefix string, doc_no string, product_id string, seq int, qty int"
+    batch, stored = spark.createDataFrame(data, ddl), spark.createDataFrame(data[:40], ddl).select(*merges.SALES_KEY)
+    plain = lambda df: sorted((tuple(r) for r in df.select(*batch.columns).collect()), key=str)
+    with Scratch(spark) as scratch:
+        kept = scratch.keep(batch)
+        got = merges.new_sales(stored, kept, ["seq"], scratch=scratch)
+        assert plain(got) == plain(merges.new_sales(stored, batch, ["seq"]))
+        got = merges.new_sales(stored.limit(0), scratch.keep(batch.dropDuplicates(merges.SALES_KEY)), ["seq"], scratch=scratch)
+        first = got._jdf.queryExecution().optimizedPlan().toString()
+        assert first.count("Aggregate") == 1  # of the rows that are contested, here none; the others pass
+        assert plain(got) == plain(merges.new_sales(None, batch.dropDuplicates(merges.SALES_KEY), ["seq"]))

@@ -182,3 +182,21 @@ def test_every_sales_line_is_judged(spark):
     decoded = payloads.decode(catalog._line_payloads(feed), "Result")
     got = {r["status"]: r["n"] for r in decoded.groupBy("status").agg(F.count("*").alias("n")).collect()}
     assert got == {"ok": 32, "raw": 4, "error": 4}
+
+
+def test_characters_by_number_are_replaced_once_each(spark):
+    texts = {
+        "&#34;a&#x22;&#34;": '"a"\'"'.replace("'", ""), "&#38;#34;": "&#34;", "&&#35;34;": "&#34;", "&#&#51;4;&#x41;": "&#34;A",
+        "&#;&#zz;&#12345678;&#128512;": "&#;&#zz;&#12345678;\U0001f600", "&#38;lt;": "&lt;", "none": "none",
+        "".join(f"&#{n};" for n in range(1000, 1100)): "".join(map(chr, range(1000, 1100))),
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", payloads._numeric_entities(F.col("t")).alias("r"))
+    assert {r["t"]: r["r"] for r in got.collect()} == texts
+    # a text's few different ones are replaced in a pass each, not one by one
+    assert "aggregate" in str(payloads._numeric_entities(F.col("t")))
+
+
+def test_the_element_counts_where_the_list_is_no_json(spark):
+    found = payloads.decode(landed(spark, "[{bad}] <Result>[1]</Result>", "[{bad}] <Result>z</Result>", "[{bad}]", "none"), "Result")
+    assert rows(found, "page", "payload", "status") == [(0, "[1]", "ok"), (1, None, "raw"), (2, None, "raw"), (3, None, "error")]
