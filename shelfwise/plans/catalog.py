@@ -875,7 +875,8 @@ def _landed_sales(spark: SparkSession, sf_dir: str) -> str:
     pages = _pages(feed, fields, F.floor(F.col("NUMDOC").cast("long") / _landed_documents(last)))
     folder = f"{_root(spark)}/sales"
     rows = _enveloped(pages, payloads.SALES_ENVELOPE).select("body", "page")
-    rows.write.partitionBy("page").text(folder)  # a page is a row by now
+    rows.write.partitionBy("page").option("compression", "gzip").text(folder)  # a page is a row by now
+    sizes.free_shuffles(spark)
     return folder
 
 

@@ -18,6 +18,10 @@ from shelfwise.schemas import HIDDEN, PARTITIONS, STOCK_PARTS, TABLES
 from shelfwise.tables import Tables
 
 
+#: of the tables' files: a third smaller than Spark's default
+COMPRESSION = "zstd"
+
+
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, name)
 
@@ -75,7 +79,7 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 def _writer(df: DataFrame, name: str):
     parts = PARTITIONS.get(name, [])
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
     return writer.partitionBy(*parts) if parts else writer
 
 
@@ -146,7 +150,8 @@ def append_sales(df: DataFrame, root: str, batch: str | None = None) -> int:
     rows = conform(df.withColumn("batch_id", F.lit(batch or new_batch())), "sales")
     rows = rows.hint("rebalance", "sale_date").sortWithinPartitions("sale_date", "product_id")
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("append").partitionBy(*PARTITIONS["sales"]).parquet(table_path(root, "sales"))
+    writer = rows.write.mode("append").partitionBy(*PARTITIONS["sales"]).option("compression", COMPRESSION)
+    writer.parquet(table_path(root, "sales"))
     return seen.get["rows"]
 
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwise.functions.sizes import Scratch
+from shelfwise.functions.sizes import Scratch, free_shuffles
 from shelfwise.plans.load import (
     SALES_TAG,
     STOCK_TAG,
@@ -71,6 +71,7 @@ def ingest_sales(
             batch = _with_held(batch, root, name, page_size)
         keep_bad_payloads(batch, root, "sales", SALES_TAG, name)
         load_sales(batch.sparkSession, root, sales_records(batch), batch=name)
+        free_shuffles(batch.sparkSession)
 
     return _run(stream_payloads(spark, landing, max_files), handle, checkpoint)
 
@@ -86,6 +87,7 @@ def ingest_stock(
     def handle(batch: DataFrame, name: str) -> None:
         keep_bad_payloads(batch, root, "stock", STOCK_TAG, name)
         load_stock(batch.sparkSession, root, stock_records(batch), day, batch=name)
+        free_shuffles(batch.sparkSession)
 
     return _run(stream_payloads(spark, landing, max_files), handle, checkpoint)
 

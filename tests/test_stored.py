@@ -61,3 +61,18 @@ def test_outputs_are_those_of_the_whole_position(spark, folder):
     for stored, formed in pairs:
         assert stored.schema.simpleString() == formed.schema.simpleString()
         assert formed.count() and sorted(map(repr, stored.collect())) == sorted(map(repr, formed.collect()))
+
+
+def test_landed_pages_are_compressed_and_parsed_alike(spark, folder):
+    from shelfwise.plans import catalog, load
+    from shelfwise.sources.payloads import read_payloads
+
+    orders = [(n, "O" if n % 2 else "F") for n in range(1, 7)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string").write.parquet(f"{folder}/orders.parquet")
+    landing = catalog._landed_sales(spark, folder)
+    files = [f for _, _, names in os.walk(landing.removeprefix("file:")) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    records = load.sales_records(read_payloads(spark, landing))
+    assert sorted((r["NUMDOC"], r["REFER"], r["PREFIJO"]) for r in records.collect()) == [
+        (str(n), str(p), state) for (n, state), p in zip(orders, (1, 2, 3, 3, 1, 2), strict=True)
+    ]
