@@ -1052,8 +1052,9 @@ def daily_efficiency_intervals(t, spark, sf_dir):
     """The report over snapshots that were stored as changes and are rebuilt from them."""
     history = SnapshotHistory(spark, _root(spark), base_days=10)
     days = [AS_OF - dt.timedelta(days=7 * k) for k in sorted(M.SNAPSHOT_WEEKS, reverse=True)]
-    snapshots = sizes.Scratch(spark).keep(t.stock_daily)
-    for day in days:
-        history.store(day, snapshots.filter(F.col("snapshot_date") == F.lit(day)))
+    with sizes.Scratch(spark) as scratch:
+        snapshots = M.stock_daily(scratch.keep(t.stock))
+        for day in days:
+            history.store(day, snapshots.filter(F.col("snapshot_date") == F.lit(day)))
     rebuilt = history.days(days).withColumns({k: F.col(k).cast("long") for k in merges.STOCK_KEY})
     return reports.daily_efficiency(t.sales, t.stock, rebuilt, t.warehouses, AS_OF)

@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.sizes import Scratch
+from shelfwise.functions.sizes import Scratch, free_shuffles
 from shelfwise.operators.merges import STOCK_KEY
-from shelfwise.sources.storage import _files, read_table, table_path, write_day
+from shelfwise.sources.storage import _files, conform, read_table, table_path, write_day
 
 VALUES = ["qty", "unit_cost", "unit_price", "stock_tag"]
 #: days after which a whole snapshot is kept as well, so that a day is rebuilt from so many days' changes at most
@@ -52,23 +52,30 @@ class SnapshotHistory:
 
     def store(self, day: dt.date, snapshot: DataFrame) -> int:
         """Keep what a day's whole snapshot (one row an item) changes; the number of changes."""
-        before = self.as_of(day - dt.timedelta(days=1))
+        before = day - dt.timedelta(days=1)
+        bases = [d for d in self._stored("stock_bases", day) if d < day]
+        due = not bases or (day - bases[-1]).days >= self.base_days
+        today = conform(snapshot.select(*STOCK_KEY, *VALUES).withColumns({"snapshot_date": F.lit(day), "gone": F.lit(False)}), "stock_changes")
         with Scratch(self.spark) as scratch:
-            now = scratch.keep(snapshot.select(*STOCK_KEY, *VALUES))
-            old = before.select(*STOCK_KEY, F.struct(*VALUES).alias("old"))
-            new = now.select(*STOCK_KEY, F.struct(*VALUES).alias("new"))
-            both = old.join(new, STOCK_KEY, "full").filter(~F.col("old").eqNullSafe(F.col("new")))
-            gone = F.col("new").isNull()
-            rows = both.select(
+            now = scratch.keep(today) if due else today  # read twice then
+            # one shuffle for what is stored and what is new: each row beside the one before it of its item
+            order = Window.partitionBy(*STOCK_KEY).orderBy("snapshot_date")
+            last = F.lag(F.struct(*VALUES, "gone")).over(order)
+            both = self._since(before, before).unionByName(now).sortWithinPartitions(*STOCK_KEY)  # sorted, they shuffle as fewer bytes
+            rows = both.withColumns({"last": last, "next": F.lead("snapshot_date").over(order)})
+            new = F.col("snapshot_date") == F.lit(day)
+            came = new & ~F.struct(*VALUES, "gone").eqNullSafe(F.col("last"))
+            went = ~new & F.col("next").isNull() & ~F.col("gone")
+            rows = rows.filter(came | went).select(
                 F.lit(day).alias("snapshot_date"),
                 *STOCK_KEY,
-                *(F.col(f"new.{v}").alias(v) for v in VALUES),
-                gone.alias("gone"),
+                *(F.when(new, F.col(v)).alias(v) for v in VALUES),
+                (~new).alias("gone"),
             )
             written = write_day(rows, self.root, "stock_changes", day)  # reads earlier days only
-            bases = [d for d in self._stored("stock_bases", day) if d < day]
-            if not bases or (day - bases[-1]).days >= self.base_days:
-                write_day(now.withColumn("snapshot_date", F.lit(day)), self.root, "stock_bases", day)
+            if due:
+                write_day(now.drop("gone"), self.root, "stock_bases", day)
+        free_shuffles(self.spark)
         return written
 
     def intervals(self, first: dt.date, last: dt.date) -> DataFrame:

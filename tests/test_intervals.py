@@ -44,3 +44,18 @@ def test_every_day_is_rebuilt_from_changes(spark, tmp_path):
     got = history.days(some)
     for day in some:
         assert read(got.filter(F.col("snapshot_date") == F.lit(day))) == plain(dict(days)[day])
+
+
+def test_a_day_without_a_base_keeps_no_copy_of_the_snapshot(spark, tmp_path, monkeypatch):
+    from shelfwise.functions.sizes import Scratch
+
+    ddl = "warehouse_id long, product_id long, qty decimal(15,5), unit_cost decimal(15,5), unit_price decimal(15,5), stock_tag string"
+    day = lambda n: spark.range(9).selectExpr("id % 2", "id", f"id * {n}", "1", "2", "NULL").toDF(*[c.split()[0] for c in ddl.split(", ")])
+    history, kept, plain = SnapshotHistory(spark, str(tmp_path)), [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, by=None: kept.append(1) or plain(self, df, by))
+    assert history.store(TODAY, day(1)) == 9 and len(kept) == 1
+    tomorrow = TODAY + dt.timedelta(days=1)
+    assert history.store(tomorrow, day(2).filter("product_id < 8")) == 8  # 7 changed, one went
+    assert len(kept) == 1
+    got = rows(history.as_of(tomorrow), "product_id", "qty")
+    assert sorted((int(p), int(q)) for p, q in got) == [(n, 2 * n) for n in range(8)]
