@@ -107,6 +107,26 @@ def test_a_day_of_which_all_was_handled_has_nothing_pending(spark, tmp_path):
     assert rows(read(spark, root, "alerts")) == before == rows(log.current())
 
 
+def test_a_compaction_keeps_no_copy_of_the_table(spark, tmp_path, monkeypatch):
+    root, days = str(tmp_path), [TODAY - dt.timedelta(days=n) for n in (0, 1)]
+    ddl = "alert_type string, product_id string, warehouse_id string, state string, generated_on date"
+    alerts = spark.createDataFrame([("A", p, "W", "PENDIENTE", d) for d in days for p in "pqr"], ddl)
+    storage.replace_partitions(alerts, root, "alerts")
+    log = ChangeLog(spark, root, "alerts")
+    change = alerts.filter((F.col("generated_on") == F.lit(TODAY)) | (F.col("product_id") == "p")).select(
+        *log.kind.keys, F.lit("VISTA").alias("state"), F.lit("u").alias("user"), F.lit(None).cast("timestamp").alias("at"), F.lit(1).alias("seq")
+    )
+    log.append(change, "a")
+
+    def fail(*_a, **_k):
+        raise AssertionError("a copy")
+
+    monkeypatch.setattr(Scratch, "keep", fail)
+    assert log.compact() == 1
+    want = sorted((d, p, "VISTA" if d == TODAY or p == "p" else "PENDIENTE") for d in days for p in "pqr")
+    assert rows(read(spark, root, "alerts"), "generated_on", "product_id", "state") == want  # today has none pending
+
+
 def test_tags_are_logged_and_folded_in(spark, tmp_path):
     root = str(tmp_path)
     write_world(spark, root, **WORLD)
