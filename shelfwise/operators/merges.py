@@ -70,9 +70,10 @@ def _new_by_contested(
     keyed = batch.filter(_has_key(keys))
     counted = scratch.keep(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")))
     known = existing.select(*keys).join(hash_if_bounded(counted.select(*keys), buckets), keys, "left_semi")
-    stored = scratch.keep(known.distinct())
-    again = counted.filter("times > 1").select(*keys)
-    contested = scratch.keep(again.unionByName(stored).distinct())
+    again = counted.filter("times > 1").select(*keys, F.lit(False).alias("known"))
+    found = again.unionByName(known.withColumn("known", F.lit(True)))
+    contested = scratch.keep(found.groupBy(*keys).agg(F.max("known").alias("known")))
+    stored, contested = contested.filter("known").select(*keys), contested.select(*keys)
     single = keyed.join(contested, keys, "left_anti")
     first = one_per_key(keyed.join(contested, keys, "left_semi"), keys, order, last=False).join(stored, keys, "left_anti")
     return single.unionByName(first).unionByName(batch.filter(~_has_key(keys)))
